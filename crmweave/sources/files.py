@@ -1,0 +1,13 @@
+"""File lookup on whatever file system a path belongs to."""
+
+from __future__ import annotations
+
+from pyspark.sql import SparkSession
+
+
+def glob_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Existing paths that match a glob, sorted."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return sorted(status.getPath().toString() for status in found or [])
