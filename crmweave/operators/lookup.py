@@ -36,7 +36,7 @@ _MEMBER = "__member"
 
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of the optimised plan."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:

@@ -60,7 +60,7 @@ def _schema_line(stream: str, types: dict[str, list[str]]) -> str:
         "schema": {"type": "object", "properties": properties},
         "key_properties": [],
     }
-    return json.dumps(message, ensure_ascii=False)
+    return json.dumps(message, ensure_ascii=False, separators=(",", ":"))
 
 
 def observed_types(df: DataFrame, json_columns: tuple[str, ...]) -> DataFrame:

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 CONTACTS, ACCOUNTS = "contacts", "accounts"
 SALESFORCE_ACCOUNT = "Account"
 
-_BLOCKS = "map<string,struct<mapping:map<string,map<string,map<string,string>>>>>"
+_BLOCKS = "map<string,string>"
+_FLOWS = "map<string,map<string,map<string,string>>>"
 
 
 def read_tenant_configs(spark: SparkSession, path: str) -> DataFrame:
@@ -25,7 +26,8 @@ def read_tenant_configs(spark: SparkSession, path: str) -> DataFrame:
 def mapping_keys(configs: DataFrame) -> DataFrame:
     """Every mapping key of every flow, in document order: (tenant, flow, ord, key, fields)."""
     blocks = configs.select("tenant", F.explode(F.from_json("config", _BLOCKS)).alias("b", "v"))
-    flows = blocks.select("tenant", F.explode("v.mapping").alias("flow", "keys"))
+    mapping = F.from_json(F.get_json_object("v", "$.mapping"), _FLOWS)
+    flows = blocks.select("tenant", F.explode(mapping).alias("flow", "keys"))
     return flows.select("tenant", "flow", F.posexplode("keys").alias("ord", "key", "fields"))
 
 
