@@ -41,10 +41,10 @@ def sql_clean(c: str) -> str:
 )
 def iso_timestamp(t: Tables):
     events = t.table("events").select(
-        F.col("event_id").alias("row_id"), cleaning.iso_timestamp(F.col("ts")).alias("iso")
+        F.col("event_id").alias("row_id"), cleaning.iso_timestamp("ts").alias("iso")
     )
     orders = t.table("orders").select(
-        F.col("o_orderkey").alias("row_id"), cleaning.iso_timestamp(F.col("o_orderdate")).alias("iso")
+        F.col("o_orderkey").alias("row_id"), cleaning.iso_timestamp("o_orderdate").alias("iso")
     )
     return events.unionByName(orders)
 
@@ -56,7 +56,7 @@ def iso_timestamp(t: Tables):
 )
 def null_nonfinite(t: Tables):
     return t.view("crm_contacts").select(
-        "id", cleaning.null_nonfinite(F.col("first_name")).alias("first_name")
+        "id", cleaning.null_nonfinite("first_name").alias("first_name")
     )
 
 
@@ -66,7 +66,7 @@ def null_nonfinite(t: Tables):
     AS zip FROM crm_contacts""",
 )
 def repair_comma_number(t: Tables):
-    return t.view("crm_contacts").select("id", cleaning.repair_comma_number(F.col("zip")).alias("zip"))
+    return t.view("crm_contacts").select("id", cleaning.repair_comma_number("zip").alias("zip"))
 
 
 @check(
@@ -77,8 +77,8 @@ def repair_comma_number(t: Tables):
 def flag_container(t: Tables):
     return t.view("crm_contacts").select(
         "id",
-        cleaning.is_container_literal(F.col("zip")).alias("zip_flag"),
-        cleaning.is_container_literal(F.col("list_memberships")).alias("lists_flag"),
+        cleaning.is_container_literal("zip").alias("zip_flag"),
+        cleaning.is_container_literal("list_memberships").alias("lists_flag"),
     )
 
 
@@ -88,7 +88,7 @@ def flag_container(t: Tables):
     FROM documents""",
 )
 def flag_container_documents(t: Tables):
-    flags = t.table("documents").select(cleaning.is_container_literal(F.col("text")).alias("f"))
+    flags = t.table("documents").select(cleaning.is_container_literal("text").alias("f"))
     return flags.agg(F.count("*").alias("n"), F.count_if("f").alias("containers"))
 
 
@@ -107,7 +107,7 @@ def sanitize_record(t: Tables):
         F.struct("zip", F.col("first_name").alias("name")).alias("object"),
     )
     clean = cleaning.sanitize_record(nested)
-    as_json = {c: F.to_json(c, jsontext.KEEP_NULLS) for c in ("pair", "object")}
+    as_json = {c: F.to_json(c, {"ignoreNullFields": "false"}) for c in ("pair", "object")}
     return clean.withColumns(as_json)
 
 
@@ -122,9 +122,8 @@ def sanitize_record(t: Tables):
          ELSE to_json(global_unsubscribe)::VARCHAR END || ',"x"]}' AS data FROM crm_contacts""",
 )
 def coerce_bool_strings(t: Tables):
-    flag = F.col("global_unsubscribe")
     data = jsontext.json_with_nulls(
-        F.col("id"), flag.alias("flag"), F.array(flag, F.lit("x")).alias("list")
+        ["id", "global_unsubscribe AS flag", "array(global_unsubscribe, 'x') AS list"]
     )
     return t.view("crm_contacts").select("id", jsontext.coerce_bool_strings(data).alias("data"))
 
@@ -203,7 +202,7 @@ def owner_full_name(t: Tables):
 )
 def parse_list_ids(t: Tables):
     return t.view("crm_contacts").select(
-        "id", F.to_json(text.parse_list_ids(F.col("list_memberships"))).alias("ids")
+        "id", F.to_json(text.parse_list_ids("list_memberships")).alias("ids")
     )
 
 

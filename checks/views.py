@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from crmweave.session import prepare_session
 
@@ -116,6 +117,10 @@ HUBSPOT_CONTACT = {
 }
 
 
+# Schemas by path: inferring one takes a job of its own.
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 class Tables:
     """The given tables and the views above, for one data folder."""
 
@@ -124,7 +129,10 @@ class Tables:
         self.sf_dir = sf_dir
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        path = f"{self.sf_dir}/{name}.parquet"
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
 
     def view(self, name: str) -> DataFrame:
         text = re.sub(r"FROM (\w+)", r"FROM {\1}", VIEWS[name])

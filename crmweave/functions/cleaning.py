@@ -1,4 +1,8 @@
-"""Repairs that keep values readable for strict JSON consumers downstream."""
+"""Repairs that keep values readable for strict JSON consumers downstream.
+
+The functions take a SQL expression as text; a column name is one. Cleaning a record means one
+such expression per column, which is built as text so that a wide record stays cheap to plan.
+"""
 
 from __future__ import annotations
 
@@ -9,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from crmweave.functions.text import named
+from crmweave.functions.text import quoted
 
 # Tokens, time format, and the comma-number forms.
 NONFINITE_TOKENS = ["NaN", "Infinity", "-Infinity"]
@@ -23,47 +27,73 @@ DECIMAL_COMMA = r"^[+-]?[0-9]+,[0-9]{1,2}$"
 # A literal of the container kind needs one of these characters ...
 CONTAINER_HINT = r"[,\[{(]"
 # ... and cannot open with a letter, save a string prefix or a named constant.
-LITERAL_START = r"^\s*(?:[^A-Za-z\s]|[bBfFrRuU]{1,2}['\"]|None|True|False|set)"
+LITERAL_START = r"^\s*(?:[^A-Za-z\s]|[bBfFrRuU]{1,2}['\x22]|None|True|False|set)"
+
+_TOKENS = ", ".join(f"'{t}'" for t in NONFINITE_TOKENS)
+
+
+def _bare(text: str) -> str:
+    return f"btrim({text}, '{LITERAL_SPACE}')"
+
+
+def _is_comma_number(text: str) -> str:
+    return (
+        f"(contains({text}, ',') AND {_bare(text)} RLIKE r'{GROUPED_NUMBER}'"
+        f" AND NOT {_bare(text)} RLIKE r'{DECIMAL_COMMA}')"
+    )
+
+
+def _sanitize(text: str) -> str:
+    return (
+        f"CASE WHEN {text} IN ({_TOKENS}) THEN NULL"
+        f" WHEN {_is_comma_number(text)} THEN replace({_bare(text)}, ',', '') ELSE {text} END"
+    )
+
 
+def _iso(ts: str) -> str:
+    return f'date_format({ts}, "{ISO_FORMAT}")'
 
-def iso_timestamp(ts: Column) -> Column:
+
+def iso_timestamp(ts: str) -> Column:
     """Instant in UTC as ISO 8601 with microseconds; null stays null."""
-    return F.date_format(ts, ISO_FORMAT)
+    return F.expr(_iso(ts))
+
+
+def is_nonfinite(text: str) -> Column:
+    """True for text that is exactly a non-finite number token."""
+    return F.expr(f"{text} IN ({_TOKENS})")
 
 
-def null_nonfinite(text: Column) -> Column:
+def null_nonfinite(text: str) -> Column:
     """Null for text that is exactly a non-finite number token."""
-    return F.when(~text.isin(NONFINITE_TOKENS), text)
+    return F.expr(f"CASE WHEN {text} IN ({_TOKENS}) THEN NULL ELSE {text} END")
 
 
-def is_comma_number(text: Column) -> Column:
+def is_comma_number(text: str) -> Column:
     """True where text is a number with grouping commas that is safe to rewrite.
 
     Leading zeros and one comma before one or two digits (a decimal comma) are not safe.
     """
-    bare = F.btrim(text, F.lit(LITERAL_SPACE))
-    return F.contains(text, F.lit(",")) & bare.rlike(GROUPED_NUMBER) & ~bare.rlike(DECIMAL_COMMA)
+    return F.expr(_is_comma_number(text))
 
 
-def repair_comma_number(text: Column) -> Column:
+def repair_comma_number(text: str) -> Column:
     """Take the commas out of a grouped number; other text is unchanged."""
-    bare = F.btrim(text, F.lit(LITERAL_SPACE))
-    return F.when(is_comma_number(text), F.replace(bare, F.lit(","), F.lit(""))).otherwise(text)
+    return F.expr(
+        f"CASE WHEN {_is_comma_number(text)} THEN replace({_bare(text)}, ',', '') ELSE {text} END"
+    )
 
 
-def sanitize_text(text: Column) -> Column:
+def sanitize_text(text: str) -> Column:
     """``null_nonfinite`` then ``repair_comma_number``."""
-    return F.when(~text.isin(NONFINITE_TOKENS), repair_comma_number(text))
-
-
-def null_nan(number: Column) -> Column:
-    """NaN becomes null."""
-    return F.when(~F.isnan(number), number)
+    return F.expr(_sanitize(text))
 
 
-def may_be_container(text: Column) -> Column:
+def may_be_container(text: str) -> Column:
     """Cheap test that every literal container passes."""
-    return F.coalesce(text.rlike(CONTAINER_HINT) & text.rlike(LITERAL_START), F.lit(False))
+    return F.expr(
+        f"coalesce({text} RLIKE r'{CONTAINER_HINT}' AND {text} RLIKE r\"{LITERAL_START}\", false)"
+    )
 
 
 @F.pandas_udf(T.BooleanType())
@@ -79,12 +109,12 @@ def _is_literal_container(text: pd.Series) -> pd.Series:
     return text.map(check).astype(bool)
 
 
-def is_container_literal(text: Column) -> Column:
+def is_container_literal(text: str) -> Column:
     """True where text reads as a Python tuple, list, dict or set literal.
 
     Only hinted text is handed to Python; the rest travels as null.
     """
-    return _is_literal_container(F.when(may_be_container(text), text))
+    return _is_literal_container(F.when(may_be_container(text), F.expr(text)))
 
 
 def _needs_cleaning(dtype: T.DataType) -> bool:
@@ -100,54 +130,57 @@ def _needs_cleaning(dtype: T.DataType) -> bool:
     )
 
 
-def clean_value(c: Column, dtype: T.DataType, text: bool = True) -> Column:
-    """Clean a value of any type, down to the leaves of structs, arrays and map values.
+def clean_sql(value: str, dtype: T.DataType, text: bool = True, depth: int = 0) -> str:
+    """SQL that cleans a value of any type, down to the leaves of structs, arrays and map values.
 
     NaN becomes null and instants become ISO text; with ``text``, strings are sanitised.
     """
     if not _needs_cleaning(dtype):
-        return c
+        return value
     if isinstance(dtype, T.StringType):
-        return sanitize_text(c) if text else c
+        return _sanitize(value) if text else value
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        return null_nan(c)
+        return f"CASE WHEN isnan({value}) THEN NULL ELSE {value} END"
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return iso_timestamp(c)
+        return _iso(value)
     if isinstance(dtype, T.ArrayType):
-        return F.transform(c, lambda x: clean_value(x, dtype.elementType, text))
+        x = f"x{depth}"
+        return f"transform({value}, {x} -> {clean_sql(x, dtype.elementType, text, depth + 1)})"
     if isinstance(dtype, T.MapType):
-        return F.transform_values(c, lambda _, v: clean_value(v, dtype.valueType, text))
-    fields = [
-        clean_value(c.getField(f.name), f.dataType, text).alias(f.name) for f in dtype.fields
-    ]
-    return F.when(c.isNotNull(), F.struct(*fields))
+        k, v = f"k{depth}", f"v{depth}"
+        cleaned = clean_sql(v, dtype.valueType, text, depth + 1)
+        return f"transform_values({value}, ({k}, {v}) -> {cleaned})"
+    fields = ", ".join(
+        f"{clean_sql(f'{value}.{quoted(f.name)}', f.dataType, text, depth)} AS {quoted(f.name)}"
+        for f in dtype.fields
+    )
+    return f"CASE WHEN {value} IS NOT NULL THEN struct({fields}) END"
 
 
-def text_leaves(c: Column, dtype: T.DataType) -> Column | None:
-    """All string leaves of a value as one array, or None where its type holds none."""
+def text_leaves_sql(value: str, dtype: T.DataType, depth: int = 0) -> str | None:
+    """SQL for all string leaves of a value as one array; None where its type holds none."""
     if isinstance(dtype, T.StringType):
-        return F.array(c)
+        return f"array({value})"
     if isinstance(dtype, T.ArrayType):
-        if text_leaves(c, dtype.elementType) is None:
-            return None
-        return F.flatten(F.transform(c, lambda x: text_leaves(x, dtype.elementType)))
+        x = f"x{depth}"
+        inner = text_leaves_sql(x, dtype.elementType, depth + 1)
+        return inner and f"flatten(transform({value}, {x} -> {inner}))"
     if isinstance(dtype, T.MapType):
-        return text_leaves(F.map_values(c), T.ArrayType(dtype.valueType))
+        return text_leaves_sql(f"map_values({value})", T.ArrayType(dtype.valueType), depth)
     if isinstance(dtype, T.StructType):
-        parts = [text_leaves(c.getField(f.name), f.dataType) for f in dtype.fields]
-        parts = [F.coalesce(p, F.array().cast("array<string>")) for p in parts if p is not None]
-        return F.concat(*parts) if parts else None
+        parts = [
+            text_leaves_sql(f"{value}.{quoted(f.name)}", f.dataType, depth) for f in dtype.fields
+        ]
+        filled = [f"coalesce({p}, cast(array() AS array<string>))" for p in parts if p]
+        return f"concat({', '.join(filled)})" if filled else None
     return None
 
 
-def clean_columns(df: DataFrame, names: list[str] | None = None) -> list[Column]:
-    """The columns of ``df``, sanitised, under their own names and metadata."""
-    wanted = df.schema.fields if names is None else [df.schema[n] for n in names]
-    return [
-        clean_value(named(f.name), f.dataType).alias(f.name, metadata=f.metadata) for f in wanted
-    ]
-
-
 def sanitize_record(df: DataFrame) -> DataFrame:
     """Sanitise every column, key columns included, in one projection."""
-    return df.select(*clean_columns(df))
+    return df.selectExpr(
+        *[
+            f"{clean_sql(quoted(f.name), f.dataType)} AS {quoted(f.name)}"
+            for f in df.schema.fields
+        ]
+    )

@@ -5,12 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-KEEP_NULLS = {"ignoreNullFields": "false"}
 
 
-def json_with_nulls(*fields: Column) -> Column:
-    """One JSON object of the fields, null fields written as ``null``."""
-    return F.to_json(F.struct(*fields), KEEP_NULLS)
+def json_with_nulls(fields: list[str]) -> Column:
+    """One JSON object of the SQL expressions, null fields written as ``null``."""
+    return F.expr(f"to_json(struct({', '.join(fields)}), map('ignoreNullFields', 'false'))")
 
 
 def coerce_bool_strings(json: Column) -> Column:

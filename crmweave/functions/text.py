@@ -16,9 +16,14 @@ UNSUBSCRIBE_PREFIX = "communication-preferences/v4/statuses/"
 UNSUBSCRIBE_SUFFIX = "/unsubscribe-all?channel=EMAIL"
 
 
+def quoted(name: str) -> str:
+    """A column name as SQL, also where it holds dots or brackets."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def named(name: str) -> Column:
-    """Column by exact name, also where the name holds dots or brackets."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    """Column by exact name."""
+    return F.col(quoted(name))
 
 
 def strip(c: Column) -> Column:
@@ -73,23 +78,26 @@ def unsubscribe_path(email: Column) -> Column:
     )
 
 
-def parse_list_ids(memberships: Column) -> Column:
-    """List ids in a membership field: a JSON array, one JSON scalar, or comma-separated text."""
-    parsed = F.try_parse_json(memberships)
-    is_array = F.startswith(F.schema_of_variant(parsed), F.lit("ARRAY"))
-    from_array = F.filter(F.from_json(memberships, "array<string>"), lambda x: x.isNotNull())
-    from_text = F.filter(F.transform(F.split(memberships, ","), strip), lambda x: x != "")
-    ids = (
-        F.when(parsed.isNull(), from_text)
-        .when(is_array, from_array)
-        .otherwise(F.array(memberships))
-    )
-    return F.when(F.size(ids) > 0, ids)
+def list_ids_sql(memberships: str, is_array: bool = False) -> str:
+    """SQL for the list ids in a membership field, null where there are none.
 
-
-def list_ids(memberships: Column, is_array: bool) -> Column:
-    """``parse_list_ids`` for text, or the non-null items of a native array as text."""
-    if not is_array:
-        return parse_list_ids(memberships.cast("string"))
-    items = F.filter(memberships.cast("array<string>"), lambda x: x.isNotNull())
-    return F.when(F.size(items) > 0, items)
+    The field is a native array, a JSON array, one JSON scalar, or comma-separated text.
+    """
+    if is_array:
+        items = f"filter(cast({memberships} AS array<string>), x -> x IS NOT NULL)"
+    else:
+        text = f"cast({memberships} AS string)"
+        parsed = f"try_parse_json({text})"
+        items = (
+            f"CASE WHEN {parsed} IS NULL THEN"
+            f" filter(transform(split({text}, ','), x -> btrim(x, '{WHITESPACE}')), x -> x <> '')"
+            f" WHEN startswith(schema_of_variant({parsed}), 'ARRAY') THEN"
+            f" filter(from_json({text}, 'array<string>'), x -> x IS NOT NULL)"
+            f" ELSE array({text}) END"
+        )
+    return f"get(filter(array({items}), ids -> size(ids) > 0), 0)"
+
+
+def parse_list_ids(memberships: str, is_array: bool = False) -> Column:
+    """List ids in a membership field, given as a SQL expression."""
+    return F.expr(list_ids_sql(memberships, is_array))

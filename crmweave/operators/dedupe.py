@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crmweave.functions.jsontext import json_with_nulls
-from crmweave.functions.text import id_as_text, named
+from crmweave.functions.text import id_as_text, named, quoted
 from crmweave.operators.lookup import anti_join, lookup_join
 from crmweave.operators.mapping import EXTERNAL_ID
 
@@ -33,7 +33,7 @@ def drop_sent(df: DataFrame, sent: DataFrame | None, changed: DataFrame | None =
 
 def content_hash(df: DataFrame) -> Column:
     """Hash of a row's content, independent of column order."""
-    return F.sha2(json_with_nulls(*[named(c) for c in sorted(df.columns)]), 256)
+    return F.sha2(json_with_nulls([quoted(c) for c in sorted(df.columns)]), 256)
 
 
 def detect_changed(df: DataFrame, stored: DataFrame | None, pk: str = EXTERNAL_ID) -> DataFrame:
@@ -62,12 +62,12 @@ def latest_per_key(df: DataFrame, pk: str, order_by: str | None = None) -> DataF
     content = content_hash(df)
     order = F.struct(named(order_by), content) if order_by else content
     keyless = F.when(named(pk).isNull(), content)
-    row = F.struct(*[named(c) for c in df.columns])
+    row = F.expr(f"struct({', '.join(map(quoted, df.columns))})")
     picked = df.groupBy(named(pk).alias("__pk"), keyless.alias("__keyless")).agg(
         F.max_by(row, order).alias("__row")
     )
-    kept = [c for c in df.columns if c != order_by]
-    return picked.select(*[F.col("__row").getField(c).alias(c) for c in kept])
+    kept = [quoted(c) for c in df.columns if c != order_by]
+    return picked.selectExpr(*[f"__row.{c} AS {c}" for c in kept])
 
 
 def upsert_snapshot(

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from crmweave.functions.text import id_as_text, list_ids, named, owner_full_name
+from crmweave.functions.text import id_as_text, list_ids_sql, named, owner_full_name
 from crmweave.operators.filters import drop_archived
 from crmweave.operators.lookup import fits_broadcast, lookup_join, unique_lookup
 
@@ -75,24 +75,23 @@ def enrich_list_memberships(df: DataFrame, lookup: DataFrame | None) -> DataFram
     if MEMBERSHIPS not in df.columns:
         return df.withColumn(DETAILS, F.lit(None).cast("array<struct<id:string,name:string>>"))
     field = df.schema[MEMBERSHIPS]
-    ids = list_ids(named(MEMBERSHIPS), isinstance(field.dataType, T.ArrayType))
+    ids = list_ids_sql(MEMBERSHIPS, isinstance(field.dataType, T.ArrayType))
     df = df.drop(DETAILS)
     if lookup is None:
-        details = F.transform(ids, lambda i: _detail(i, F.lit("")))
-        return df.withColumn(DETAILS, details).drop(MEMBERSHIPS)
+        return df.withColumn(DETAILS, _details(ids, "''")).drop(MEMBERSHIPS)
     if fits_broadcast(lookup, INLINE_LIST_BYTES):
         names = df.withColumn("__names", _bucketed_names(lookup))
-        details = F.transform(ids, lambda i: _detail(i, _name_of(i)))
+        details = _details(ids, f"coalesce(get(__names, {_bucket('i')})[i], '')")
         return names.withColumn(DETAILS, details).drop("__names", MEMBERSHIPS)
     return _join_list_names(df, ids, lookup).drop(MEMBERSHIPS)
 
 
-def _detail(list_id: Column, name: Column) -> Column:
-    return F.struct(list_id.alias("id"), F.coalesce(name, F.lit("")).alias("name"))
+def _details(ids: str, name: str) -> Column:
+    return F.expr(f"transform({ids}, i -> struct(i AS id, {name} AS name))")
 
 
-def _bucket(list_id: Column) -> Column:
-    return F.pmod(F.xxhash64(list_id), F.lit(_BUCKETS)).cast("int")
+def _bucket(list_id: str) -> str:
+    return f"cast(pmod(xxhash64({list_id}), {_BUCKETS}) AS int)"
 
 
 def _bucketed_names(lookup: DataFrame) -> Column:
@@ -100,39 +99,24 @@ def _bucketed_names(lookup: DataFrame) -> Column:
 
     A map is searched entry by entry, so ids are hashed to a bucket first.
     """
-    buckets = lookup.groupBy(_bucket(F.col("listId")).alias("b")).agg(
-        F.map_from_entries(F.collect_list(F.struct("listId", "name"))).alias("names")
+    buckets = lookup.groupBy(F.expr(f"{_bucket('listId')} AS b")).agg(
+        F.expr("map_from_entries(collect_list(struct(listId, name))) AS names")
     )
-    by_bucket = buckets.agg(F.map_from_entries(F.collect_list(F.struct("b", "names"))).alias("m"))
-    dense = F.transform(F.sequence(F.lit(0), F.lit(_BUCKETS - 1)), lambda i: F.col("m")[i])
-    return by_bucket.select(dense).scalar()
+    by_bucket = buckets.agg(F.expr("map_from_entries(collect_list(struct(b, names))) AS m"))
+    return by_bucket.selectExpr(f"transform(sequence(0, {_BUCKETS - 1}), i -> m[i])").scalar()
 
 
-def _name_of(list_id: Column) -> Column:
-    return F.get(F.col("__names"), _bucket(list_id))[list_id]
-
-
-def _join_list_names(df: DataFrame, ids: Column, lookup: DataFrame) -> DataFrame:
+def _join_list_names(df: DataFrame, ids: str, lookup: DataFrame) -> DataFrame:
     """Resolve every distinct membership value once, then join the answers back to the rows."""
-    key = named(MEMBERSHIPS).cast("string")
-    distinct = df.select(key.alias("__memberships"), ids.alias("__ids")).where(
-        F.col("__ids").isNotNull()
+    text = f"cast({MEMBERSHIPS} AS string)"
+    distinct = df.where(f"{MEMBERSHIPS} IS NOT NULL").groupBy(F.expr(text).alias("__text")).agg(
+        F.any_value(MEMBERSHIPS).alias(MEMBERSHIPS)
     )
-    distinct = distinct.dropDuplicates(["__memberships"])
-    pairs = distinct.select("__memberships", F.posexplode("__ids").alias("pos", "id"))
+    pairs = distinct.selectExpr("__text", f"posexplode({ids}) AS (pos, id)")
     resolved = (
         lookup_join(pairs, lookup, "id", "listId")
-        .groupBy("__memberships")
-        .agg(
-            F.sort_array(
-                F.collect_list(F.struct("pos", "id", F.coalesce("name", F.lit("")).alias("name")))
-            ).alias("__sorted")
-        )
-        .select(
-            "__memberships",
-            F.transform("__sorted", lambda x: F.struct(x["id"], x["name"])).alias(DETAILS),
-        )
-    )
-    return lookup_join(df.withColumn("__text", key), resolved, "__text", "__memberships").drop(
-        "__text"
+        .groupBy("__text")
+        .agg(F.expr("sort_array(collect_list(struct(pos, id, coalesce(name, '') AS name))) AS s"))
+        .selectExpr("__text", f"transform(s, x -> struct(x.id, x.name)) AS {DETAILS}")
     )
+    return lookup_join(df.withColumn("__on", F.expr(text)), resolved, "__on", "__text").drop("__on")

@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from crmweave.functions.cleaning import clean_value
+from crmweave.functions.cleaning import clean_sql
 from crmweave.functions.jsontext import coerce_bool_strings, json_with_nulls
-from crmweave.functions.text import id_as_text, named
+from crmweave.functions.text import id_as_text, quoted
 from crmweave.operators.filters import require_lookup_key
 from crmweave.operators.nesting import SPARSE
 
@@ -27,11 +27,11 @@ def default_id_field(df: DataFrame) -> str | None:
     return next((n for n in ("id", "Id") if n in df.columns), None)
 
 
-def _data_field(field: T.StructField, text: bool) -> Column:
-    value = clean_value(named(field.name), field.dataType, text)
+def _data_field(field: T.StructField, text: bool) -> str:
+    value = clean_sql(quoted(field.name), field.dataType, text)
     if field.metadata == SPARSE and isinstance(field.dataType, (T.StructType, T.ArrayType)):
-        value = F.parse_json(F.to_json(value))
-    return value.alias(field.name)
+        value = f"parse_json(to_json({value}))"
+    return f"{value} AS {quoted(field.name)}"
 
 
 def wrap_envelope(
@@ -60,13 +60,12 @@ def wrap_envelope(
             return df.sparkSession.createDataFrame([], ENVELOPE)
         raise ValueError(f"cannot wrap {stream!r}: no column {missing[0] or 'id/Id'!r}")
 
-    data = json_with_nulls(*[_data_field(f, sanitize) for f in df.schema.fields])
+    data = json_with_nulls([_data_field(f, sanitize) for f in df.schema.fields])
     if bool_strings:
         data = coerce_bool_strings(data)
 
     def key(name: str) -> Column:
-        text = id_as_text(clean_value(named(name), df.schema[name].dataType, sanitize))
-        return clean_value(text, T.StringType(), sanitize)
+        return id_as_text(F.expr(clean_sql(quoted(name), df.schema[name].dataType, sanitize)))
 
     return require_lookup_key(df, lookup_field).select(
         data.alias("data"),

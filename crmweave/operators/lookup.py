@@ -4,15 +4,14 @@ All joins of the library are left, semi or anti joins of a wide record table wit
 lookup. When Catalyst's size estimate lets the lookup be broadcast, a plain join is written
 and nothing is shuffled. Otherwise the record side is prepared for the shuffle:
 
-* keys holding more than ``1/HOT_SHARE`` of the rows are found with ``approx_top_k`` (one
-  narrow pass, bounded sketches, no shuffle of keys) and their lookup rows, at most
-  ``HOT_KEYS``, are joined by broadcast;
+* the ``HOT_KEYS`` most frequent keys are found with ``approx_top_k`` (one narrow pass over
+  the key column, bounded sketches, no shuffle of keys) and joined by broadcast;
 * rows already joined, and rows without a key, take part in the shuffle join under keys that
   match nothing, spread over ``SPREAD`` values, so they land evenly on all tasks.
 
 The result does not depend on which keys the sketch reports: a key is only left out of the
-shuffle join after the broadcast side has answered for it. Moderately frequent keys below
-the share are split by AQE's skew join, which the plain exchange under the join allows.
+shuffle join after the broadcast side has answered for it. What skew is left below those
+keys is split by AQE's skew join, which the plain exchange under the join allows.
 """
 
 from __future__ import annotations
@@ -20,11 +19,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crmweave.functions.text import id_as_text, named
+from crmweave.functions.text import id_as_text, named, quoted
 
 HOT_KEYS = 1000
-HOT_SHARE = 1000
-TRACKED_KEYS = 20_000
+TRACKED_KEYS = 4096
+SKETCH_GROUPS = 512
 SPREAD = 1 << 20
 
 _KEY = "__key"
@@ -50,38 +49,39 @@ def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
 
 
 def unique_lookup(
-    df: DataFrame, key: str, values: list[str], order_by: str | Column | None = None
+    df: DataFrame, key: str, values: list[str], order_by: str | None = None
 ) -> DataFrame:
     """One row per key: the last in ``order_by`` order, by default the largest values.
 
     ``max_by`` combines on the map side, so a key with many copies is reduced before the
     shuffle.
     """
-    picked = F.struct(*[named(v) for v in values])
-    order = picked if order_by is None else F.struct(_as_column(order_by), picked)
-    last = F.max_by(picked, order).alias("__last")
+    row = f"struct({', '.join(map(quoted, values))})"
+    order = f"struct({quoted(order_by)}, {row})" if order_by else row
     return (
-        df.where(named(key).isNotNull())
-        .groupBy(named(key).alias(key))
-        .agg(last)
-        .select(named(key), *[F.col("__last").getField(v).alias(v) for v in values])
+        df.where(f"{quoted(key)} IS NOT NULL")
+        .groupBy(named(key))
+        .agg(F.expr(f"max_by({row}, {order}) AS __last"))
+        .selectExpr(quoted(key), *[f"__last.{quoted(v)} AS {quoted(v)}" for v in values])
     )
 
 
-def _as_column(c: str | Column) -> Column:
-    return named(c) if isinstance(c, str) else c
-
-
 def _hot_keys(facts: DataFrame, key: Column) -> DataFrame:
-    top = facts.select(key.alias(_KEY)).where(F.col(_KEY).isNotNull())
-    top = top.agg(
-        F.expr(f"approx_top_k({_KEY}, {HOT_KEYS}, {TRACKED_KEYS})").alias("top"),
-        F.count("*").alias("n"),
+    """The most frequent keys, at most ``HOT_KEYS``, from sketches merged in two steps."""
+    group = F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("g")
+    local = (
+        facts.select(key.alias(_KEY), group)
+        .where(F.col(_KEY).isNotNull())
+        .groupBy("g")
+        .agg(F.expr(f"approx_top_k({_KEY}, {HOT_KEYS}, {TRACKED_KEYS})").alias("top"))
     )
     return (
-        top.select(F.explode("top").alias("t"), "n")
-        .where(F.col("t.count") * HOT_SHARE > F.col("n"))
-        .select(F.col("t.item").alias(_HOT))
+        local.select(F.inline("top").alias(_HOT, "n"))
+        .groupBy(_HOT)
+        .agg(F.sum("n").alias("n"))
+        .orderBy(F.desc("n"), _HOT)
+        .limit(HOT_KEYS)
+        .select(_HOT)
     )
 
 
@@ -107,14 +107,13 @@ def lookup_join(
     ``facts`` has one row per key too, so no key can be hot.
     """
     values = [c for c in lookup.columns if c != key]
-    keep = [named(c) for c in facts.columns]
-    lookup = lookup.select(id_as_text(named(key)).alias(_KEY), *[named(v) for v in values])
+    lookup = lookup.selectExpr(f"cast({quoted(key)} AS string) AS {_KEY}", *map(quoted, values))
     fact_key = id_as_text(named(on))
 
     if unique or fits_broadcast(lookup):
-        joined = facts.join(lookup, fact_key == F.col(_KEY), "left")
-        return joined.select(*keep, *[named(v) for v in values])
+        return facts.join(lookup, fact_key == F.col(_KEY), "left").drop(_KEY)
 
+    kept = [quoted(c) for c in facts.columns]
     hot = F.broadcast(_hot_answers(facts, fact_key, lookup, values))
     facts = facts.join(hot, fact_key == F.col(_HOT), "left")
     facts = facts.withColumn(
@@ -125,8 +124,10 @@ def lookup_join(
         F.concat(F.lit("="), F.col(_KEY)).alias(_KEY), F.struct(*[named(v) for v in values]).alias(_HIT)
     )
     joined = facts.join(cold, _KEY, "left")
-    answer = F.coalesce(F.col(_HIT), F.col(_HOT_HIT))
-    return joined.select(*keep, *[answer.getField(v).alias(v) for v in values])
+    answers = [
+        f"coalesce({_HIT}, {_HOT_HIT}).{quoted(v)} AS {quoted(v)}" for v in values
+    ]
+    return joined.selectExpr(*kept, *answers)
 
 
 def _hot_answers(facts: DataFrame, key: Column, lookup: DataFrame, values: list[str]) -> DataFrame:

@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crmweave.functions.cleaning import (
-    NONFINITE_TOKENS,
     is_comma_number,
     is_container_literal,
+    is_nonfinite,
     may_be_container,
-    text_leaves,
+    text_leaves_sql,
 )
-from crmweave.functions.text import named
+from crmweave.functions.text import quoted
 from crmweave.operators.accounts import CONTACT, HELD, ROUTE, route_contacts
 from crmweave.operators.filters import approval_state, has_lookup_key, is_flagged
 
@@ -61,14 +61,7 @@ def enrichment_coverage(df: DataFrame) -> DataFrame:
     )
 
 
-_ENTRIES = "array<struct<column_name:string,value:string>>"
-
-
-def _named_values(name: str, leaves: Column) -> Column:
-    pairs = F.transform(
-        leaves, lambda v: F.struct(F.lit(name).alias("column_name"), v.alias("value"))
-    )
-    return F.coalesce(pairs, F.array().cast(_ENTRIES))
+_NO_ENTRIES = "cast(array() AS array<struct<column_name:string,value:string>>)"
 
 
 def sanitize_report(df: DataFrame) -> DataFrame:
@@ -79,21 +72,19 @@ def sanitize_report(df: DataFrame) -> DataFrame:
     """
     found = []
     for field in df.schema.fields:
-        leaves = text_leaves(named(field.name), field.dataType)
+        leaves = text_leaves_sql(quoted(field.name), field.dataType)
         if leaves is not None:
-            found.append(_named_values(field.name, leaves))
-    empty = F.array().cast(_ENTRIES)
-    entries = df.select(F.explode(F.concat(*found) if found else empty).alias("e"))
-    value = F.col("value")
-    suspicious = entries.select("e.column_name", "e.value").where(
-        value.isin(NONFINITE_TOKENS) | may_be_container(value)
-    )
-    settled = F.when(value.isin(NONFINITE_TOKENS), "nonfinite").when(
-        is_comma_number(value), "comma_number"
+            name = field.name.replace("'", "\\'")
+            pairs = f"transform({leaves}, v -> struct('{name}' AS column_name, v AS value))"
+            found.append(f"coalesce({pairs}, {_NO_ENTRIES})")
+    entries = df.selectExpr(f"inline(concat({', '.join([*found, _NO_ENTRIES])}))")
+    suspicious = entries.where(is_nonfinite("value") | may_be_container("value"))
+    settled = F.when(is_nonfinite("value"), "nonfinite").when(
+        is_comma_number("value"), "comma_number"
     )
     judged = suspicious.withColumn("reason", settled)
-    flagged = F.when(is_container_literal(F.when(F.col("reason").isNull(), value)),
-                     "flagged_container")
+    unsettled = is_container_literal("CASE WHEN reason IS NULL THEN value END")
+    flagged = F.when(unsettled, "flagged_container")
     judged = judged.withColumn("reason", F.coalesce("reason", flagged))
     return (
         judged.where(F.col("reason").isNotNull())

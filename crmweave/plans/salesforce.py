@@ -55,12 +55,14 @@ def contacts_write(
     snapshots: dict[str, DataFrame] | None = None,
     dynamic_contact_mapping: bool = True,
     order_by: str | None = None,
+    unique_ids: bool = False,
 ) -> WriteResult:
     """App contacts to ``Contact`` and ``Lead``.
 
     ``accounts`` is the account id map; ``sent`` and ``snapshots`` hold the id map and the
     record snapshot of each object. A run emits the whole batch, and the rows of earlier
-    batches that were never acknowledged.
+    batches that were never acknowledged. Of several rows with one id the last by
+    ``order_by`` counts; ``unique_ids`` says there are none, so the batch is not shuffled.
     """
     if dynamic_contact_mapping:
         routed = route_contacts(contacts, accounts).where(F.col(ROUTE) != HELD)
@@ -72,12 +74,14 @@ def contacts_write(
             continue
         people = select_contact_data("salesforce", stream, routed)
         mapped = map_stream(people, stream, mapping, keep=(order_by,) if order_by else ())
-        batch = latest_per_key(mapped, EXTERNAL_ID, order_by)
+        batch = mapped.drop(order_by or "") if unique_ids else (
+            latest_per_key(mapped, EXTERNAL_ID, order_by)
+        )
         pending = merged = batch
         old = (snapshots or {}).get(stream)
         if old is not None:
             # The batch counts as changed, so only rows carried over can be dropped as sent.
-            carried = carried_over(old, batch)
+            carried = carried_over(old, mapped)
             unsent = drop_sent(carried, (sent or {}).get(stream))
             merged = carried.unionByName(batch, allowMissingColumns=True)
             pending = unsent.unionByName(batch, allowMissingColumns=True)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from crmweave.functions.jsontext import splice
-from crmweave.functions.text import named
+from crmweave.functions.text import named, quoted
 
 # The type list of a column, before what its values add.
 SCALAR_TYPES = ["null", "boolean", "string", "integer", "number"]
@@ -24,8 +24,8 @@ def singer_records(df: DataFrame, stream: str, json_columns: JsonColumns | None
     JSON text columns are embedded as they are, so nulls inside them stay.
     """
     embedded = list(json_columns or {})
-    plain = [named(c) for c in df.columns if c not in embedded]
-    record = F.to_json(F.struct(*plain)) if plain else F.lit("{}")
+    plain = [quoted(c) for c in df.columns if c not in embedded]
+    record = F.expr(f"to_json(struct({', '.join(plain)}))") if plain else F.lit("{}")
     for name in reversed(embedded):
         record = splice(name, named(name), record)
     head = f'{{"type":"RECORD","stream":{json.dumps(stream, ensure_ascii=False)},"record":'
