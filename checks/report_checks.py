@@ -60,9 +60,8 @@ def approvals(t: Tables):
     WHERE NOT coalesce(archived, FALSE)""",
 )
 def coverage(t: Tables):
-    enriched = hubspot.enrich_read(
-        t.hubspot_contacts(), "contacts", t.owners(), t.lists(), t.view("account_id_map")
-    )
+    lookups = hubspot.prepare_lookups(t.owners(), t.lists(), t.view("account_id_map"))
+    enriched = hubspot.enrich_read(t.hubspot_contacts(), "contacts", lookups)
     return reports.enrichment_coverage(enriched)
 
 

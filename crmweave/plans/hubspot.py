@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -81,36 +83,42 @@ def unsubscribe_requests(contacts: DataFrame) -> DataFrame:
     )
 
 
-def enrich_read(
-    stream: DataFrame,
-    name: str,
-    owners: DataFrame | None,
-    lists: DataFrame | None,
-    accounts: DataFrame | None,
-) -> DataFrame:
-    """Live rows of a read stream with account, owner and list columns.
+@dataclass
+class Lookups:
+    """The lookup tables of a read, prepared once and shared by its streams."""
 
-    ``accounts`` is the company id map; each lookup may be absent.
-    """
-    owner_column = OWNER_COLUMN if OWNER_COLUMN in stream.columns else None
-    live = ensure_columns(drop_archived(stream), EXPECTED[name])
-    if name == "contacts":
-        companies = None if accounts is None else account_lookup(accounts)
-        live = resolve_company_account(live, companies)
-    live = enrich_owner(live, None if owners is None else owner_lookup(owners), owner_column)
-    return enrich_list_memberships(live, None if lists is None else list_lookup(lists))
+    owners: DataFrame | None = None
+    lists: DataFrame | None = None
+    companies: DataFrame | None = None
 
 
-def read_stream(
-    stream: DataFrame,
-    name: str,
+def prepare_lookups(
     owners: DataFrame | None = None,
     lists: DataFrame | None = None,
     accounts: DataFrame | None = None,
-) -> DataFrame:
+) -> Lookups:
+    """From the owner and list streams and the company id map; each may be absent."""
+    return Lookups(
+        None if owners is None else owner_lookup(owners),
+        None if lists is None else list_lookup(lists),
+        None if accounts is None else account_lookup(accounts),
+    )
+
+
+def enrich_read(stream: DataFrame, name: str, lookups: Lookups) -> DataFrame:
+    """Live rows of a read stream with account, owner and list columns."""
+    owner_column = OWNER_COLUMN if OWNER_COLUMN in stream.columns else None
+    live = ensure_columns(drop_archived(stream), EXPECTED[name])
+    if name == "contacts":
+        live = resolve_company_account(live, lookups.companies)
+    live = enrich_owner(live, lookups.owners, owner_column)
+    return enrich_list_memberships(live, lookups.lists)
+
+
+def read_stream(stream: DataFrame, name: str, lookups: Lookups) -> DataFrame:
     """Contacts or companies as envelopes."""
     return wrap_envelope(
-        enrich_read(stream, name, owners, lists, accounts),
+        enrich_read(stream, name, lookups),
         SOURCE,
         name,
         id_field="id",
@@ -126,14 +134,13 @@ def output_name(stream: str, stream_names: dict[str, str]) -> str:
     return {connector: target for target, connector in stream_names.items()}.get(stream, stream)
 
 
-def read(streams: dict[str, DataFrame], stream_names: dict[str, str],
-         accounts: DataFrame | None) -> dict[str, DataFrame]:
+def read(
+    streams: dict[str, DataFrame], stream_names: dict[str, str], accounts: DataFrame | None
+) -> dict[str, DataFrame]:
     """Contacts and companies among the streams, enriched and wrapped, by output stream."""
-    owners, lists = streams.get("owners"), streams.get("lists")
+    lookups = prepare_lookups(streams.get("owners"), streams.get("lists"), accounts)
     return {
-        output_name(name, stream_names): read_stream(streams[name], name, owners, lists, accounts)
+        output_name(name, stream_names): read_stream(streams[name], name, lookups)
         for name in READ_STREAMS
         if name in streams
     }
-
-
