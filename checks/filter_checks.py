@@ -50,7 +50,7 @@ def truthy(t: Tables):
 
 @check("not_pending", f"SELECT id, NOT {SQL_PENDING} AS ok FROM crm_contacts")
 def pending(t: Tables):
-    ok = filters.not_pending(F.col("pending_fields"), T.StringType(), FIELD)
+    ok = filters.not_pending("pending_fields", T.StringType(), FIELD)
     return t.view("crm_contacts").select("id", ok.alias("ok"))
 
 

@@ -12,6 +12,19 @@ def json_with_nulls(fields: list[str]) -> Column:
     return F.expr(f"to_json(struct({', '.join(fields)}), map('ignoreNullFields', 'false'))")
 
 
+def is_json_sql(text: str) -> str:
+    """SQL that is true where the text is one whole JSON value.
+
+    Spark's JSON functions stop at the end of the first value. Text that is still one value
+    inside brackets, and inside an object, has nothing after it.
+    """
+    strict = "map('allowSingleQuotes', 'false')"
+    return (
+        f"(size(from_json(concat('[', {text}, ']'), 'array<string>', {strict})) = 1 AND"
+        f" size(from_json(concat('{{\"v\":', {text}, '}}'), 'map<string,string>', {strict})) = 1)"
+    )
+
+
 def coerce_bool_strings(json: Column) -> Column:
     """Turn string leaves ``"true"``/``"false"`` (any case) of JSON text into booleans.
 

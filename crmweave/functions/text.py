@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from crmweave.functions.jsontext import is_json_sql
+
 # Every character the sync treats as blank space.
 WHITESPACE = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
@@ -87,11 +89,10 @@ def list_ids_sql(memberships: str, is_array: bool = False) -> str:
         items = f"filter(cast({memberships} AS array<string>), x -> x IS NOT NULL)"
     else:
         text = f"cast({memberships} AS string)"
-        parsed = f"try_parse_json({text})"
         items = (
-            f"CASE WHEN {parsed} IS NULL THEN"
+            f"CASE WHEN NOT coalesce({is_json_sql(text)}, false) THEN"
             f" filter(transform(split({text}, ','), x -> btrim(x, '{WHITESPACE}')), x -> x <> '')"
-            f" WHEN startswith(schema_of_variant({parsed}), 'ARRAY') THEN"
+            f" WHEN startswith(btrim({text}, '{WHITESPACE}'), '[') THEN"
             f" filter(from_json({text}, 'array<string>'), x -> x IS NOT NULL)"
             f" ELSE array({text}) END"
         )

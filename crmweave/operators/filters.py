@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from crmweave.functions.text import is_blank, named, strip
+from crmweave.functions.jsontext import is_json_sql
+from crmweave.functions.text import WHITESPACE, is_blank, named, strip
 
 # Words that stand for "nothing" or "yes" in text fields.
 TRUE_WORDS = ["true", "1"]
@@ -54,24 +55,24 @@ def require_lookup_key(df: DataFrame, name: str) -> DataFrame:
     return df.where(has_lookup_key(name))
 
 
-def not_pending(c: Column, dtype: T.DataType, field: str) -> Column:
-    """True unless ``field`` waits for approval.
+def not_pending(value: str, dtype: T.DataType, field: str) -> Column:
+    """True unless ``field`` waits for approval; ``value`` is a SQL expression.
 
     The list of waiting fields is an array, JSON array text, or free text that names them.
     """
+    name = "'" + field.replace("\\", "\\\\").replace("'", "\\'") + "'"
     if isinstance(dtype, T.ArrayType):
-        return ~F.coalesce(F.array_contains(c, field), F.lit(False))
+        return F.expr(f"NOT coalesce(array_contains({value}, {name}), false)")
     if not isinstance(dtype, T.StringType):
         return F.lit(True)
-    text = strip(c)
-    is_json = F.startswith(text, F.lit("[")) & F.try_parse_json(text).isNotNull()
-    listed = F.array_contains(F.from_json(text, "array<string>"), field)
-    waiting = (
-        F.when(F.lower(text).isin(NOTHING_PENDING), F.lit(False))
-        .when(is_json, listed)
-        .otherwise(F.contains(text, F.lit(field)))
+    text = f"btrim({value}, '{WHITESPACE}')"
+    nothing = ", ".join(f"'{word}'" for word in NOTHING_PENDING)
+    return F.expr(
+        f"NOT coalesce(CASE WHEN lower({text}) IN ({nothing}) THEN false"
+        f" WHEN startswith({text}, '[') AND {is_json_sql(text)} THEN"
+        f" array_contains(from_json({text}, 'array<string>'), {name})"
+        f" ELSE contains({text}, {name}) END, false)"
     )
-    return ~F.coalesce(waiting, F.lit(False))
 
 
 def not_rejected(c: Column, dtype: T.DataType) -> Column:
@@ -87,7 +88,7 @@ def approval_state(df: DataFrame, field: str) -> tuple[Column, Column]:
     free = F.lit(True)
     pending, rejected = free, free
     if PENDING_COLUMN in types:
-        pending = not_pending(named(PENDING_COLUMN), types[PENDING_COLUMN], field)
+        pending = not_pending(PENDING_COLUMN, types[PENDING_COLUMN], field)
     if REJECTION_COLUMN in types:
         rejected = not_rejected(named(REJECTION_COLUMN), types[REJECTION_COLUMN])
     return pending, rejected

@@ -19,10 +19,9 @@ PARQUET_EXTENSION = ".parquet"
 
 Schema = T.StructType | str
 
-_CORRUPT = "__corrupt"
-_MESSAGE = f"type string, stream string, record string, {_CORRUPT} string"
+_MESSAGES = "array<struct<type:string,stream:string,record:string>>"
 # Strict JSON, save the bare NaN and Infinity that JSON writers are known to emit.
-_STRICT = {"columnNameOfCorruptRecord": _CORRUPT, "allowSingleQuotes": "false"}
+_STRICT = {"allowSingleQuotes": "false"}
 
 
 def stream_paths(
@@ -71,15 +70,12 @@ def parse_records(
     skipped; any other object is itself a record.
     """
     text = strip(F.col(column))
-    message = F.from_json(text, _MESSAGE, _STRICT)
-    # The record parser stops at the closing brace; only a brace followed by something else
-    # calls for the full parse that notices trailing text.
-    trailing = text.rlike(r"\}\s*[^\s,}\]]")
+    # Inside brackets, a line with anything after its object is not one valid element.
+    messages = F.from_json(F.concat(F.lit("["), text, F.lit("]")), _MESSAGES, _STRICT)
     parsed = (
-        lines.select(text.alias("text"), message.alias("m"), trailing.alias("trailing"))
-        .where(F.startswith("text", F.lit("{")) & F.endswith("text", F.lit("}")))
-        .where(F.col(f"m.{_CORRUPT}").isNull())
-        .where(~F.col("trailing") | F.try_parse_json("text").isNotNull())
+        lines.select(text.alias("text"), messages.alias("messages"))
+        .where("startswith(text, '{') AND size(messages) = 1")
+        .select("text", F.get("messages", F.lit(0)).alias("m"))
     )
     kind = F.coalesce(F.col("m.type"), F.lit(""))
     is_record = kind == "RECORD"

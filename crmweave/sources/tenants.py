@@ -34,7 +34,8 @@ def mapping_keys(configs: DataFrame) -> DataFrame:
 def _two_parts(keys: DataFrame) -> DataFrame:
     parts = F.split("key", "/")
     return keys.where(F.size(parts) == 2).select(
-        "tenant", "flow", "ord", parts[0].alias("target"), parts[1].alias("connector"), "fields"
+        "tenant", "flow", "ord", F.get(parts, F.lit(0)).alias("target"),
+        F.get(parts, F.lit(1)).alias("connector"), "fields",
     )
 
 
