@@ -344,7 +344,7 @@ def _written_lines(t: Tables) -> DataFrame:
     folder = scratch_path(t.spark, "output")
     leads = t.view("crm_contacts").select("id", "first_name", "email", "zip")
     path = write_singer(marketo.read_stream(leads), "leads", folder, ENVELOPE_JSON)
-    return t.spark.read.text(path).withColumnRenamed("value", "line")
+    return t.spark.read.text(f"{path}/*").withColumnRenamed("value", "line")
 
 
 @check(

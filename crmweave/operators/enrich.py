@@ -61,16 +61,25 @@ def account_lookup(id_map: DataFrame, order_by: str | None = None) -> DataFrame:
     return unique_lookup(filled, "InputId", ["RemoteId"], order_by)
 
 
-def enrich_owner(df: DataFrame, lookup: DataFrame | None, owner_column: str | None) -> DataFrame:
+def enrich_owner(
+    df: DataFrame,
+    lookup: DataFrame | None,
+    owner_column: str | None,
+    keys_from: DataFrame | None = None,
+) -> DataFrame:
     """Owner id becomes owner name and email; without a lookup or column they are null."""
     if lookup is None or not owner_column or owner_column not in df.columns:
         missing = [c for c in OWNER_COLUMNS if c not in df.columns]
         return df.withColumns({c: F.lit(None).cast("string") for c in missing}) if missing else df
-    joined = lookup_join(df.drop(*OWNER_COLUMNS), lookup, owner_column, "owner_key")
+    joined = lookup_join(
+        df.drop(*OWNER_COLUMNS), lookup, owner_column, "owner_key", keys_from=keys_from
+    )
     return joined.drop(owner_column)
 
 
-def enrich_list_memberships(df: DataFrame, lookup: DataFrame | None) -> DataFrame:
+def enrich_list_memberships(
+    df: DataFrame, lookup: DataFrame | None, keys_from: DataFrame | None = None
+) -> DataFrame:
     """List ids become ``[{id, name}]`` in id order; an unknown id has the empty name."""
     if MEMBERSHIPS not in df.columns:
         return df.withColumn(DETAILS, F.lit(None).cast("array<struct<id:string,name:string>>"))
@@ -83,7 +92,7 @@ def enrich_list_memberships(df: DataFrame, lookup: DataFrame | None) -> DataFram
         names = df.withColumn("__names", _bucketed_names(lookup))
         details = _details(ids, f"coalesce(get(__names, {_bucket('i')})[i], '')")
         return names.withColumn(DETAILS, details).drop("__names", MEMBERSHIPS)
-    return _join_list_names(df, ids, lookup).drop(MEMBERSHIPS)
+    return _join_list_names(df, ids, lookup, df if keys_from is None else keys_from).drop(MEMBERSHIPS)
 
 
 def _details(ids: str, name: str) -> Column:
@@ -106,10 +115,13 @@ def _bucketed_names(lookup: DataFrame) -> Column:
     return by_bucket.selectExpr(f"transform(sequence(0, {_BUCKETS - 1}), i -> m[i])").scalar()
 
 
-def _join_list_names(df: DataFrame, ids: str, lookup: DataFrame) -> DataFrame:
+def _join_list_names(
+    df: DataFrame, ids: str, lookup: DataFrame, keys_from: DataFrame
+) -> DataFrame:
     """Resolve every distinct membership value once, then join the answers back to the rows."""
-    text = f"cast({MEMBERSHIPS} AS string)"
-    distinct = df.where(f"{MEMBERSHIPS} IS NOT NULL").groupBy(F.expr(text).alias("__text")).agg(
+    text = F.expr(f"cast({MEMBERSHIPS} AS string)")
+    keyed = keys_from.withColumn("__on", text)
+    distinct = keyed.where(f"{MEMBERSHIPS} IS NOT NULL").groupBy(F.col("__on").alias("__text")).agg(
         F.any_value(MEMBERSHIPS).alias(MEMBERSHIPS)
     )
     pairs = distinct.selectExpr("__text", f"posexplode({ids}) AS (pos, id)")
@@ -119,4 +131,5 @@ def _join_list_names(df: DataFrame, ids: str, lookup: DataFrame) -> DataFrame:
         .agg(F.expr("sort_array(collect_list(struct(pos, id, coalesce(name, '') AS name))) AS s"))
         .selectExpr("__text", f"transform(s, x -> struct(x.id, x.name)) AS {DETAILS}")
     )
-    return lookup_join(df.withColumn("__on", F.expr(text)), resolved, "__on", "__text").drop("__on")
+    facts = df.withColumn("__on", text)
+    return lookup_join(facts, resolved, "__on", "__text", keys_from=keyed).drop("__on")

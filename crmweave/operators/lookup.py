@@ -99,12 +99,18 @@ def _row_hash(facts: DataFrame) -> Column:
 
 
 def lookup_join(
-    facts: DataFrame, lookup: DataFrame, on: str, key: str, unique: bool = False
+    facts: DataFrame,
+    lookup: DataFrame,
+    on: str,
+    key: str,
+    unique: bool = False,
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
     """Left join ``facts.on = lookup.key`` as text, adding the lookup's other columns.
 
     ``lookup`` must be unique on ``key``. A null key matches nothing. ``unique`` says that
-    ``facts`` has one row per key too, so no key can be hot.
+    ``facts`` has one row per key too, so no key can be hot. ``keys_from`` is a frame with
+    the same ``on`` column but a cheaper plan, for finding hot keys in a chain of joins.
     """
     values = [c for c in lookup.columns if c != key]
     lookup = lookup.selectExpr(f"cast({quoted(key)} AS string) AS {_KEY}", *map(quoted, values))
@@ -114,7 +120,8 @@ def lookup_join(
         return facts.join(lookup, fact_key == F.col(_KEY), "left").drop(_KEY)
 
     kept = [quoted(c) for c in facts.columns]
-    hot = F.broadcast(_hot_answers(facts, fact_key, lookup, values))
+    hot_keys = _hot_keys(facts if keys_from is None else keys_from, fact_key)
+    hot = F.broadcast(_hot_answers(hot_keys, lookup, values))
     facts = facts.join(hot, fact_key == F.col(_HOT), "left")
     facts = facts.withColumn(
         _KEY,
@@ -130,13 +137,13 @@ def lookup_join(
     return joined.selectExpr(*kept, *answers)
 
 
-def _hot_answers(facts: DataFrame, key: Column, lookup: DataFrame, values: list[str]) -> DataFrame:
+def _hot_answers(hot_keys: DataFrame, lookup: DataFrame, values: list[str]) -> DataFrame:
     """The hot keys with their lookup rows, if any: at most ``HOT_KEYS`` rows.
 
     The sketch is referenced once, so "hot" and "has an answer" cannot disagree.
     """
     hit = F.when(F.col(_KEY).isNotNull(), F.struct(*[named(v) for v in values]))
-    joined = _hot_keys(facts, key).join(lookup, F.col(_HOT) == F.col(_KEY), "left")
+    joined = hot_keys.join(lookup, F.col(_HOT) == F.col(_KEY), "left")
     return joined.select(_HOT, hit.alias(_HOT_HIT))
 
 

@@ -108,11 +108,11 @@ def prepare_lookups(
 def enrich_read(stream: DataFrame, name: str, lookups: Lookups) -> DataFrame:
     """Live rows of a read stream with account, owner and list columns."""
     owner_column = OWNER_COLUMN if OWNER_COLUMN in stream.columns else None
-    live = ensure_columns(drop_archived(stream), EXPECTED[name])
+    base = live = ensure_columns(drop_archived(stream), EXPECTED[name])
     if name == "contacts":
         live = resolve_company_account(live, lookups.companies)
-    live = enrich_owner(live, lookups.owners, owner_column)
-    return enrich_list_memberships(live, lookups.lists)
+    live = enrich_owner(live, lookups.owners, owner_column, keys_from=base)
+    return enrich_list_memberships(live, lookups.lists, keys_from=base)
 
 
 def read_stream(stream: DataFrame, name: str, lookups: Lookups) -> DataFrame:

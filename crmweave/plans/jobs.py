@@ -73,7 +73,7 @@ class SyncRun:
 
     def finish(self, result: WriteResult) -> list[str]:
         """Write the records, then the state that counts them as handled."""
-        paths = [self.emit(s, df, schema_line=True) for s, df in result.records.items()]
+        paths = [self.emit(s, df) for s, df in result.records.items()]
         for name, df in result.state.items():
             self.store.write(f"{name}_{self.flow}", df)
         return [p for p in paths if p]
@@ -105,6 +105,7 @@ def salesforce_write(
             {s: m for s, m in states.items() if m is not None},
             dynamic_contact_mapping,
             order_by,
+            materialise=run.materialise,
         )
         paths += run.finish(result)
     return paths

@@ -56,6 +56,7 @@ def contacts_write(
     dynamic_contact_mapping: bool = True,
     order_by: str | None = None,
     unique_ids: bool = False,
+    materialise: Materialise = stay_lazy,
 ) -> WriteResult:
     """App contacts to ``Contact`` and ``Lead``.
 
@@ -77,11 +78,13 @@ def contacts_write(
         batch = mapped.drop(order_by or "") if unique_ids else (
             latest_per_key(mapped, EXTERNAL_ID, order_by)
         )
+        batch = materialise(batch, f"{stream}.batch")
         pending = merged = batch
         old = (snapshots or {}).get(stream)
         if old is not None:
             # The batch counts as changed, so only rows carried over can be dropped as sent.
-            carried = carried_over(old, mapped)
+            # A lazy plan takes the batch's ids before its rows are reduced to one per id.
+            carried = carried_over(old, mapped if materialise is stay_lazy else batch)
             unsent = drop_sent(carried, (sent or {}).get(stream))
             merged = carried.unionByName(batch, allowMissingColumns=True)
             pending = unsent.unionByName(batch, allowMissingColumns=True)

@@ -14,6 +14,8 @@ from crmweave.functions.text import named, quoted
 # The type list of a column, before what its values add.
 SCALAR_TYPES = ["null", "boolean", "string", "integer", "number"]
 
+SCHEMA_FOLDER, RECORDS_FOLDER = "0-schema", "1-records"
+
 # Columns that hold JSON text, by the JSON type of their values.
 JsonColumns = dict[str, str]
 
@@ -86,21 +88,18 @@ def write_singer(
     stream: str,
     output_dir: str,
     json_columns: JsonColumns | None = None,
-    schema_line: bool = True,
     mode: str = "errorifexists",
 ) -> str | None:
-    """Write a stream's lines to its own directory; an empty frame writes nothing.
+    """Write a stream's lines to its own directory; the path, or None without any record.
 
-    The SCHEMA line is its own first partition, hence the first file by name.
+    The records go out in one pass. What was written, not the plan, is then asked whether
+    there are any; if so the SCHEMA line follows, in a folder that sorts before the records.
     """
-    if df.isEmpty():
-        return None
-    lines = singer_records(df, stream, json_columns)
-    if schema_line:
-        first = df.sparkSession.range(0, 1, 1, 1).select(
-            F.lit(singer_schema(df, stream, json_columns)).alias("line")
-        )
-        lines = first.unionByName(lines)
+    spark = df.sparkSession
     path = f"{output_dir}/{stream}"
-    lines.write.mode(mode).text(path)
+    singer_records(df, stream, json_columns).write.mode(mode).text(f"{path}/{RECORDS_FOLDER}")
+    if spark.read.text(f"{path}/{RECORDS_FOLDER}").isEmpty():
+        return None
+    line = F.lit(singer_schema(df, stream, json_columns)).alias("line")
+    spark.range(0, 1, 1, 1).select(line).write.mode(mode).text(f"{path}/{SCHEMA_FOLDER}")
     return path

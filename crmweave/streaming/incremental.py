@@ -34,7 +34,7 @@ def write_available(
     """Run ``transform`` over all files not handled yet, then stop.
 
     Every batch has its own directory and overwrites it when it is repeated, so a restart
-    after a failure neither loses nor doubles lines. Each directory opens with a SCHEMA line.
+    after a failure neither loses nor doubles lines. Each directory has its SCHEMA line.
     """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:

@@ -25,7 +25,7 @@ def test_new_files_are_written_once(spark, tmp_path):
         ).awaitTermination(120)
         lines = [
             json.loads(line)
-            for part in sorted(out.glob("batch=*/leads/part-*"))
+            for part in sorted(out.glob("batch=*/leads/*/part-*"))
             for line in part.read_text().splitlines()
         ]
         return sorted(m["record"]["sourceRecordId"] for m in lines if m["type"] == "RECORD")
