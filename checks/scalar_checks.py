@@ -122,10 +122,10 @@ def sanitize_record(t: Tables):
          ELSE to_json(global_unsubscribe)::VARCHAR END || ',"x"]}' AS data FROM crm_contacts""",
 )
 def coerce_bool_strings(t: Tables):
-    data = jsontext.json_with_nulls(
-        ["id", "global_unsubscribe AS flag", "array(global_unsubscribe, 'x') AS list"]
+    rows = t.view("crm_contacts").selectExpr(
+        "id", "global_unsubscribe AS flag", "array(global_unsubscribe, 'x') AS list"
     )
-    return t.view("crm_contacts").select("id", jsontext.coerce_bool_strings(data).alias("data"))
+    return rows.select("id", jsontext.json_with_bools(rows.schema).alias("data"))
 
 
 _NAN_IF = "CASE WHEN s_suppkey % 4 = 0 THEN CAST('NaN' AS DOUBLE) ELSE s_acctbal END"

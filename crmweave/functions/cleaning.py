@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from crmweave.functions.text import quoted
+from crmweave.functions.jsontext import quoted
+
 
 # Tokens, time format, and the comma-number forms.
 NONFINITE_TOKENS = ["NaN", "Infinity", "-Infinity"]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from crmweave.functions.jsontext import is_json_sql
+from crmweave.functions.jsontext import is_json_sql, quoted
 
 # Every character the sync treats as blank space.
 WHITESPACE = (
@@ -18,11 +18,6 @@ UNSUBSCRIBE_PREFIX = "communication-preferences/v4/statuses/"
 UNSUBSCRIBE_SUFFIX = "/unsubscribe-all?channel=EMAIL"
 
 
-def quoted(name: str) -> str:
-    """A column name as SQL, also where it holds dots or brackets."""
-    return "`" + name.replace("`", "``") + "`"
-
-
 def named(name: str) -> Column:
     """Column by exact name."""
     return F.col(quoted(name))
@@ -89,12 +84,19 @@ def list_ids_sql(memberships: str, is_array: bool = False) -> str:
         items = f"filter(cast({memberships} AS array<string>), x -> x IS NOT NULL)"
     else:
         text = f"cast({memberships} AS string)"
+        # In brackets, so that text after the array is noticed; parsed once, as variable ``a``.
+        arrays = (
+            f"from_json(concat('[', {text}, ']'), 'array<array<string>>',"
+            " map('allowSingleQuotes', 'false'))"
+        )
+        split = f"filter(transform(split({text}, ','), x -> btrim(x, '{WHITESPACE}')), x -> x <> '')"
+        listed = (
+            f"get(transform(array({arrays}), a -> CASE WHEN size(a) = 1 AND get(a, 0) IS NOT NULL"
+            f" THEN filter(get(a, 0), x -> x IS NOT NULL) ELSE {split} END), 0)"
+        )
         items = (
-            f"CASE WHEN NOT coalesce({is_json_sql(text)}, false) THEN"
-            f" filter(transform(split({text}, ','), x -> btrim(x, '{WHITESPACE}')), x -> x <> '')"
-            f" WHEN startswith(btrim({text}, '{WHITESPACE}'), '[') THEN"
-            f" filter(from_json({text}, 'array<string>'), x -> x IS NOT NULL)"
-            f" ELSE array({text}) END"
+            f"CASE WHEN startswith(btrim({text}, '{WHITESPACE}'), '[') THEN {listed}"
+            f" WHEN {is_json_sql(text)} THEN array({text}) ELSE {split} END"
         )
     return f"get(filter(array({items}), ids -> size(ids) > 0), 0)"
 

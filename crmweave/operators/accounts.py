@@ -11,35 +11,38 @@ from crmweave.operators.mapping import ensure_columns, rename_id_map
 
 CONTACT, LEAD, HELD = "Contact", "Lead", "Held"
 ROUTE = "__route"
-_REMOTE = "RemoteAccountId"
+REMOTE = "RemoteAccountId"
 
 
 def synced_accounts(id_map: DataFrame) -> DataFrame:
     """Accounts the CRM has acknowledged, as ``(AccountId, RemoteAccountId)``."""
-    return rename_id_map(id_map, "AccountId", _REMOTE).where(F.col(_REMOTE).isNotNull())
+    return rename_id_map(id_map, "AccountId", REMOTE).where(F.col(REMOTE).isNotNull())
 
 
 def _account_lookup(id_map: DataFrame) -> DataFrame:
-    return unique_lookup(synced_accounts(id_map), "AccountId", [_REMOTE])
+    return unique_lookup(synced_accounts(id_map), "AccountId", [REMOTE])
 
 
-def route_contacts(contacts: DataFrame, id_map: DataFrame | None) -> DataFrame:
+def route_contacts(
+    contacts: DataFrame, id_map: DataFrame | None, keep_remote: bool = False
+) -> DataFrame:
     """Mark every contact ``Contact``, ``Lead`` or ``Held`` in column ``__route``, in one join.
 
     Linked to a synced account: Contact. Named account that is not synced yet: Held.
-    No account: Lead.
+    No account: Lead. ``keep_remote`` keeps the account's CRM id as ``RemoteAccountId``.
     """
     contacts = ensure_columns(contacts, {"accountId": "string"})
     if id_map is None:
-        linked = contacts.withColumn(_REMOTE, F.lit(None).cast("string"))
+        linked = contacts.withColumn(REMOTE, F.lit(None).cast("string"))
     else:
         linked = lookup_join(contacts, _account_lookup(id_map), "accountId", "AccountId")
     route = (
-        F.when(F.col(_REMOTE).isNotNull(), CONTACT)
+        F.when(F.col(REMOTE).isNotNull(), CONTACT)
         .when(is_blank(named("accountId")), LEAD)
         .otherwise(HELD)
     )
-    return linked.withColumn(ROUTE, route).drop(_REMOTE)
+    routed = linked.withColumn(ROUTE, route)
+    return routed if keep_remote else routed.drop(REMOTE)
 
 
 def hold_back_pending(contacts: DataFrame, id_map: DataFrame | None) -> DataFrame:
@@ -80,7 +83,7 @@ def attach_account_id(people: DataFrame, id_map: DataFrame | None) -> DataFrame:
     none_synced = synced_accounts(id_map).limit(1).agg(F.count("*") == 0).scalar()
     names = [c for c in people.columns if c != "InputAccountId"]
     attached = [
-        F.when(none_synced, named(c)).otherwise(F.col(_REMOTE)).alias(c)
+        F.when(none_synced, named(c)).otherwise(F.col(REMOTE)).alias(c)
         if c == "AccountId"
         else named(c)
         for c in names

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crmweave.functions.jsontext import json_with_nulls
-from crmweave.functions.text import id_as_text, named, quoted
+from crmweave.functions.jsontext import json_with_nulls, quoted
+from crmweave.functions.text import id_as_text, named
 from crmweave.operators.lookup import anti_join, lookup_join
 from crmweave.operators.mapping import EXTERNAL_ID
 

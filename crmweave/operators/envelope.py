@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from crmweave.functions.cleaning import clean_sql
-from crmweave.functions.jsontext import coerce_bool_strings, json_with_nulls
-from crmweave.functions.text import id_as_text, quoted
+from crmweave.functions.jsontext import json_with_bools, json_with_nulls, quoted
+from crmweave.functions.text import id_as_text, named
 from crmweave.operators.filters import require_lookup_key
 from crmweave.operators.nesting import SPARSE
 
@@ -27,7 +27,7 @@ def default_id_field(df: DataFrame) -> str | None:
     return next((n for n in ("id", "Id") if n in df.columns), None)
 
 
-def _data_field(field: T.StructField, text: bool) -> str:
+def _cleaned(field: T.StructField, text: bool) -> str:
     value = clean_sql(quoted(field.name), field.dataType, text)
     if field.metadata == SPARSE and isinstance(field.dataType, (T.StructType, T.ArrayType)):
         value = f"parse_json(to_json({value}))"
@@ -60,18 +60,19 @@ def wrap_envelope(
             return df.sparkSession.createDataFrame([], ENVELOPE)
         raise ValueError(f"cannot wrap {stream!r}: no column {missing[0] or 'id/Id'!r}")
 
-    data = json_with_nulls([_data_field(f, sanitize) for f in df.schema.fields])
+    # Cleaned in a projection of its own: the JSON step uses each value more than once.
+    cleaned = require_lookup_key(df, lookup_field).selectExpr(
+        *[_cleaned(f, sanitize) for f in df.schema.fields]
+    )
     if bool_strings:
-        data = coerce_bool_strings(data)
-
-    def key(name: str) -> Column:
-        return id_as_text(F.expr(clean_sql(quoted(name), df.schema[name].dataType, sanitize)))
-
-    return require_lookup_key(df, lookup_field).select(
+        data = json_with_bools(cleaned.schema)
+    else:
+        data = json_with_nulls([quoted(c) for c in cleaned.columns])
+    return cleaned.select(
         data.alias("data"),
-        key(id_field).alias("sourceRecordId"),
+        id_as_text(named(id_field)).alias("sourceRecordId"),
         F.lit(source).alias("source"),
-        key(lookup_field).alias("lookupKey"),
+        id_as_text(named(lookup_field)).alias("lookupKey"),
     )
 
 

@@ -19,7 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crmweave.functions.text import id_as_text, named, quoted
+from crmweave.functions.jsontext import quoted
+from crmweave.functions.text import id_as_text, named
 
 HOT_KEYS = 1000
 TRACKED_KEYS = 4096

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crmweave.functions.text import named
@@ -53,26 +53,32 @@ REMOTE_ID_FIELD = {"remote_id": "Id"}
 EXTERNAL_ID = "externalId"
 
 
+def mapped_sources(columns: list[str], fields: dict[str, str]) -> dict[str, str]:
+    """For each target of a mapping that exists, in mapping order, the input column behind it.
+
+    Sources are copied in input column order, and a copy sees the ones before it: where a
+    target is itself a later source, the copied value moves on.
+    """
+    fields = fields if "remote_id" in fields else fields | REMOTE_ID_FIELD
+    origin = {name: name for name in columns}
+    for source in columns:
+        if source in fields:
+            origin[fields[source]] = origin[source]
+    return {t: origin[t] for t in dict.fromkeys(fields.values()) if t in origin}
+
+
 def map_fields(df: DataFrame, fields: dict[str, str], keep: tuple[str, ...] = ()) -> DataFrame:
     """Rename by ``{source: target}`` and expose the unmapped ``id`` as ``externalId``.
 
-    Sources are copied in input column order, and a copy sees the ones before it: where a
-    target is itself a later source, the copied value moves on. The copies are folded into
-    expressions over the input, so the plan holds one projection. The output has the targets
-    that exist, in mapping order, then ``externalId``, then the ``keep`` columns unmapped.
+    The copies are worked out on names, so the plan holds one projection. The output has the
+    targets that exist, in mapping order, then ``externalId``, then the ``keep`` columns.
     """
     if not fields:
         raise ValueError("field mapping is empty")
-    fields = fields if "remote_id" in fields else fields | REMOTE_ID_FIELD
-    value: dict[str, Column] = {name: named(name) for name in df.columns}
-    for source in df.columns:
-        if source in fields:
-            value[fields[source]] = value[source]
-    targets = [t for t in dict.fromkeys(fields.values()) if t in value]
+    sources = mapped_sources(df.columns, fields)
     if "id" in df.columns:
-        value[EXTERNAL_ID] = named("id")
-        targets = list(dict.fromkeys([*targets, EXTERNAL_ID]))
-    return df.select(*[value[t].alias(t) for t in targets], *[named(k) for k in keep])
+        sources[EXTERNAL_ID] = "id"
+    return df.select(*[named(s).alias(t) for t, s in sources.items()], *[named(k) for k in keep])
 
 
 def map_stream(

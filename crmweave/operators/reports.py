@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from crmweave.functions.jsontext import quoted
 from crmweave.functions.cleaning import (
     is_comma_number,
     is_container_literal,
@@ -12,7 +13,6 @@ from crmweave.functions.cleaning import (
     may_be_container,
     text_leaves_sql,
 )
-from crmweave.functions.text import quoted
 from crmweave.operators.accounts import CONTACT, HELD, ROUTE, route_contacts
 from crmweave.operators.filters import approval_state, has_lookup_key, is_flagged
 

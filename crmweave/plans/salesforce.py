@@ -11,6 +11,7 @@ from crmweave.operators.accounts import (
     CONTACT,
     HELD,
     LEAD,
+    REMOTE,
     ROUTE,
     attach_account_id,
     resolve_sf_account,
@@ -20,7 +21,7 @@ from crmweave.operators.accounts import (
 from crmweave.operators.dedupe import carried_over, drop_sent, latest_per_key
 from crmweave.operators.envelope import union_person_streams, wrap_envelope
 from crmweave.operators.filters import drop_deleted
-from crmweave.operators.mapping import EXTERNAL_ID, map_stream, select_output
+from crmweave.operators.mapping import EXTERNAL_ID, map_stream, mapped_sources, select_output
 from crmweave.operators.nesting import nest_columns
 from crmweave.plans.common import write_if_new_or_changed
 from crmweave.plans.result import FieldMaps, Materialise, WriteResult, stay_lazy
@@ -66,7 +67,8 @@ def contacts_write(
     ``order_by`` counts; ``unique_ids`` says there are none, so the batch is not shuffled.
     """
     if dynamic_contact_mapping:
-        routed = route_contacts(contacts, accounts).where(F.col(ROUTE) != HELD)
+        routed = route_contacts(contacts, accounts, keep_remote=True)
+        routed = routed.where(F.col(ROUTE) != HELD)
     else:
         routed = contacts.withColumn(ROUTE, F.lit(CONTACT))
     result = WriteResult()
@@ -74,23 +76,34 @@ def contacts_write(
         if stream not in mapping or (stream == LEAD and not dynamic_contact_mapping):
             continue
         people = select_contact_data("salesforce", stream, routed)
-        mapped = map_stream(people, stream, mapping, keep=(order_by,) if order_by else ())
+        sources = mapped_sources([c for c in people.columns if c != REMOTE], mapping[stream])
+        # Where AccountId is the routed account, the routing join has already found its CRM id.
+        linked = stream == CONTACT and REMOTE in people.columns and (
+            sources.get("AccountId") == "accountId"
+        )
+        keep = ([order_by] if order_by else []) + ([REMOTE] if linked else [])
+        mapped = map_stream(people, stream, mapping, tuple(keep))
         batch = mapped.drop(order_by or "") if unique_ids else (
             latest_per_key(mapped, EXTERNAL_ID, order_by)
         )
         batch = materialise(batch, f"{stream}.batch")
-        pending = merged = batch
+        rows = batch.drop(REMOTE)
+        if linked:
+            pending = batch.withColumn("AccountId", F.col(REMOTE)).drop(REMOTE)
+        else:
+            pending = attach_account_id(rows, accounts) if stream == CONTACT else rows
+        merged = rows
         old = (snapshots or {}).get(stream)
         if old is not None:
             # The batch counts as changed, so only rows carried over can be dropped as sent.
             # A lazy plan takes the batch's ids before its rows are reduced to one per id.
             carried = carried_over(old, mapped if materialise is stay_lazy else batch)
             unsent = drop_sent(carried, (sent or {}).get(stream))
-            merged = carried.unionByName(batch, allowMissingColumns=True)
-            pending = unsent.unionByName(batch, allowMissingColumns=True)
-        if stream == CONTACT:
-            pending = attach_account_id(pending, accounts)
-        out = select_output(pending, batch.columns)
+            if stream == CONTACT:
+                unsent = attach_account_id(unsent, accounts)
+            merged = carried.unionByName(rows, allowMissingColumns=True)
+            pending = unsent.unionByName(pending, allowMissingColumns=True)
+        out = select_output(pending, rows.columns)
         if stream == LEAD and "Email" in out.columns:
             out = out.withColumn("Company", company_from_email(named("Email")))
         result.records[stream] = sanitize_record(out)

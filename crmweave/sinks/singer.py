@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from crmweave.functions.jsontext import splice
-from crmweave.functions.text import named, quoted
+from crmweave.functions.jsontext import quoted, splice
+from crmweave.functions.text import named
 
 # The type list of a column, before what its values add.
 SCALAR_TYPES = ["null", "boolean", "string", "integer", "number"]

@@ -100,8 +100,21 @@ def test_bool_strings_only_change_whole_leaves(spark_rows, left, right):
 def spark_rows(spark):
     rows = [(a, b) for a in LEAVES for b in LEAVES]
     frame = spark.createDataFrame(rows, "l string, r string")
-    data = jsontext.json_with_nulls(
-        ["l AS `true`", "array(r, l) AS b", "struct(r AS `false`) AS c", "map(coalesce(l, ''), r) AS m"]
+    shaped = frame.selectExpr(
+        "l AS `true`", "array(r, l) AS b", "struct(r AS `false`) AS c", "map(coalesce(l, ''), r) AS m"
     )
-    out = frame.select("l", "r", jsontext.coerce_bool_strings(data).alias("j")).collect()
-    return {(r.l, r.r): r.j for r in out}
+    out = shaped.select("`true`", "c.false", jsontext.json_with_bools(shaped.schema).alias("j"))
+    return {(r[0], r[1]): r.j for r in out.collect()}
+
+
+def test_nested_nulls_are_kept(spark):
+    frame = spark.sql(
+        "SELECT CAST(NULL AS STRING) AS a, named_struct('x', CAST(NULL AS STRING), 'y', 1) AS s,"
+        " CAST(NULL AS STRUCT<x: STRING>) AS n, array(named_struct('t', 'TRUE'), NULL) AS l,"
+        " map('k', CAST(NULL AS STRING)) AS m, CAST(NULL AS INT) AS i, true AS b"
+    )
+    text = frame.select(jsontext.json_with_bools(frame.schema).alias("j")).collect()[0].j
+    assert json.loads(text) == {
+        "a": None, "s": {"x": None, "y": 1}, "n": None, "l": [{"t": True}, None],
+        "m": {"k": None}, "i": None, "b": True,
+    }
