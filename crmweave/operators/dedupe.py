@@ -7,17 +7,25 @@ from pyspark.sql import functions as F
 
 from crmweave.functions.jsontext import json_with_nulls, quoted
 from crmweave.functions.text import id_as_text, named
-from crmweave.operators.lookup import anti_join, lookup_join
+from crmweave.operators.lookup import anti_join, fits_broadcast, lookup_join
 from crmweave.operators.mapping import EXTERNAL_ID
+from crmweave.session import Materialise, stay_lazy
 
 HASH = "content_hash"
 
 
-def drop_sent(df: DataFrame, sent: DataFrame | None, changed: DataFrame | None = None) -> DataFrame:
+def drop_sent(
+    df: DataFrame,
+    sent: DataFrame | None,
+    changed: DataFrame | None = None,
+    materialise: Materialise = stay_lazy,
+) -> DataFrame:
     """Keep rows whose ``externalId`` was never sent, or is in ``changed``.
 
     Ids that were sent and did not change are taken out of the id map first, so the wide
-    rows go through one anti join.
+    rows go through one join. With ``materialise`` and an id map too large to broadcast, the
+    ids that are due are found first: most runs send little of what they read, and then the
+    wide rows meet a small broadcast table instead of being shuffled.
     """
     if sent is None:
         return df
@@ -28,7 +36,13 @@ def drop_sent(df: DataFrame, sent: DataFrame | None, changed: DataFrame | None =
     settled = sent.select("InputId")
     if changed is not None:
         settled = anti_join(settled, changed, "InputId", EXTERNAL_ID)
-    return anti_join(df, settled, EXTERNAL_ID, "InputId")
+    if materialise is stay_lazy or fits_broadcast(settled):
+        return anti_join(df, settled, EXTERNAL_ID, "InputId")
+    ids = df.select(named(EXTERNAL_ID).cast("string").alias("__due")).where("__due IS NOT NULL")
+    due = anti_join(ids.distinct(), settled, "__due", "InputId", unique=True)
+    due = materialise(due, "due")
+    marked = lookup_join(df, due.withColumn("__is_due", F.lit(True)), EXTERNAL_ID, "__due")
+    return marked.where(f"__is_due OR {EXTERNAL_ID} IS NULL").drop("__is_due")
 
 
 def content_hash(df: DataFrame) -> Column:
@@ -90,4 +104,4 @@ def upsert_snapshot(
 
 def carried_over(old: DataFrame, new: DataFrame, pk: str = EXTERNAL_ID) -> DataFrame:
     """Stored rows that the batch does not replace."""
-    return anti_join(old.where(named(pk).isNotNull()), new, pk, pk)
+    return anti_join(old.where(named(pk).isNotNull()), new, pk, pk, unique=True)

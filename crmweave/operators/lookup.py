@@ -148,14 +148,19 @@ def _hot_answers(hot_keys: DataFrame, lookup: DataFrame, values: list[str]) -> D
     return joined.select(_HOT, hit.alias(_HOT_HIT))
 
 
-def anti_join(facts: DataFrame, keys: DataFrame, on: str, key: str) -> DataFrame:
-    """Rows of ``facts`` whose key, as text, is not in ``keys``; null keys are kept."""
+def anti_join(
+    facts: DataFrame, keys: DataFrame, on: str, key: str, unique: bool = False
+) -> DataFrame:
+    """Rows of ``facts`` whose key, as text, is not in ``keys``; null keys are kept.
+
+    ``unique`` says that ``facts`` has one row per key.
+    """
     keys = keys.select(id_as_text(named(key)).alias(_KEY))
     if fits_broadcast(keys):
         return facts.join(keys, id_as_text(named(on)) == F.col(_KEY), "left_anti")
     marked = keys.where(F.col(_KEY).isNotNull()).distinct().withColumn(_MEMBER, F.lit(True))
     return (
-        lookup_join(facts, marked, on, _KEY)
+        lookup_join(facts, marked, on, _KEY, unique=unique)
         .where(F.col(_MEMBER).isNull())
         .drop(_MEMBER)
     )

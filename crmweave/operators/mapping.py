@@ -73,8 +73,6 @@ def map_fields(df: DataFrame, fields: dict[str, str], keep: tuple[str, ...] = ()
     The copies are worked out on names, so the plan holds one projection. The output has the
     targets that exist, in mapping order, then ``externalId``, then the ``keep`` columns.
     """
-    if not fields:
-        raise ValueError("field mapping is empty")
     sources = mapped_sources(df.columns, fields)
     if "id" in df.columns:
         sources[EXTERNAL_ID] = "id"

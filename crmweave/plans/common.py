@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame
 from crmweave.functions.cleaning import sanitize_record
 from crmweave.operators.dedupe import detect_changed, drop_sent, upsert_snapshot
 from crmweave.operators.mapping import external_id_guard, map_stream
-from crmweave.plans.result import FieldMaps, Materialise, WriteResult, stay_lazy
+from crmweave.plans.result import FieldMaps, WriteResult
+from crmweave.session import Materialise, stay_lazy
 
 
 def write_if_new_or_changed(
@@ -21,7 +22,7 @@ def write_if_new_or_changed(
     df = external_id_guard(df)
     changed = materialise(detect_changed(df, stored), f"{stream}.changed")
     return WriteResult(
-        {stream: sanitize_record(drop_sent(df, sent, changed))},
+        {stream: sanitize_record(drop_sent(df, sent, changed, materialise))},
         {f"{stream}.content": upsert_snapshot(stored, changed, unique=True)},
     )
 
@@ -32,7 +33,12 @@ def passthrough_write(df: DataFrame) -> DataFrame:
 
 
 def mapped_write(
-    df: DataFrame, stream: str, mapping: FieldMaps, sent: DataFrame | None
+    df: DataFrame,
+    stream: str,
+    mapping: FieldMaps,
+    sent: DataFrame | None,
+    materialise: Materialise = stay_lazy,
 ) -> DataFrame:
     """A mapped stream without the records already sent."""
-    return sanitize_record(drop_sent(map_stream(df, stream, mapping), sent))
+    mapped = map_stream(df, stream, mapping)
+    return sanitize_record(drop_sent(mapped, sent, materialise=materialise))

@@ -30,7 +30,8 @@ from crmweave.operators.mapping import (
     prune_columns,
 )
 from crmweave.plans.common import write_if_new_or_changed
-from crmweave.plans.result import Materialise, WriteResult, stay_lazy
+from crmweave.plans.result import WriteResult
+from crmweave.session import Materialise, stay_lazy
 
 SOURCE = "HUBSPOT"
 OWNER_COLUMN = "hubspot_owner_id"
@@ -45,15 +46,17 @@ EXPECTED = {
 
 
 def contacts_write(
-    contacts: DataFrame, sent: DataFrame | None, changed: DataFrame | None = None
+    contacts: DataFrame,
+    sent: DataFrame | None,
+    changed: DataFrame | None = None,
+    materialise: Materialise = stay_lazy,
 ) -> DataFrame:
     """Contacts not sent yet, without read-only columns.
 
     Contacts are sent once; ``changed`` ids, if given, are sent again.
     """
-    return sanitize_record(
-        drop_sent(drop_read_only(contacts, HUBSPOT_CONTACT_READ_ONLY), sent, changed)
-    )
+    writable = drop_read_only(contacts, HUBSPOT_CONTACT_READ_ONLY)
+    return sanitize_record(drop_sent(writable, sent, changed, materialise))
 
 
 def accounts_write(
@@ -97,14 +100,21 @@ def prepare_lookups(
     lists: DataFrame | None = None,
     accounts: DataFrame | None = None,
 ) -> Lookups:
-    """From the owner and list streams and the company id map; each may be absent."""
+    """From the owner and list streams and the company id map.
+
+    Each may be absent; one that lacks its columns counts as absent.
+    """
     return Lookups(
-        None if owners is None else owner_lookup(owners),
-        None if lists is None else list_lookup(lists),
-        None if accounts is None else account_lookup(accounts),
+        owner_lookup(owners) if _has(owners, "id") else None,
+        list_lookup(lists) if _has(lists, "listId", "name") else None,
+        account_lookup(accounts) if _has(accounts, "InputId", "RemoteId") else None,
     )
 
 
+def _has(df: DataFrame | None, *names: str) -> bool:
+    return df is not None and set(names) <= set(df.columns)
+
+
 def enrich_read(stream: DataFrame, name: str, lookups: Lookups) -> DataFrame:
     """Live rows of a read stream with account, owner and list columns."""
     owner_column = OWNER_COLUMN if OWNER_COLUMN in stream.columns else None

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from crmweave.operators.accounts import CONTACT, LEAD
 from crmweave.plans import common, hubspot, marketo, salesforce
 from crmweave.plans.result import FieldMaps, WriteResult
-from crmweave.session import prepare_session, scratch_path
+from crmweave.session import prepare_session, write_table
 from crmweave.sinks.singer import write_singer
 from crmweave.sinks.snapshots import SnapshotStore
 from crmweave.sources.id_maps import read_id_map
@@ -63,11 +63,6 @@ class SyncRun:
     def state(self, name: str) -> DataFrame | None:
         return self.store.read(f"{name}_{self.flow}")
 
-    def materialise(self, df: DataFrame, label: str) -> DataFrame:
-        path = scratch_path(self.spark, label)
-        df.write.parquet(path)
-        return self.spark.read.parquet(path)
-
     def emit(self, stream: str, df: DataFrame, **options) -> str | None:
         return write_singer(df, stream, self.output_dir, **options)
 
@@ -90,7 +85,7 @@ def salesforce_write(
     if accounts is not None:
         result = salesforce.accounts_write(
             accounts, run.by_connector, run.id_map("Account"), run.state("Account.content"),
-            run.materialise,
+            write_table,
         )
         paths += run.finish(result)
     contacts = run.stream("contacts")
@@ -105,7 +100,7 @@ def salesforce_write(
             {s: m for s, m in states.items() if m is not None},
             dynamic_contact_mapping,
             order_by,
-            materialise=run.materialise,
+            materialise=write_table,
         )
         paths += run.finish(result)
     return paths
@@ -121,13 +116,13 @@ def hubspot_write(run: SyncRun) -> list[str]:
         name = run.stream_names["accounts"]
         result = hubspot.accounts_write(
             accounts, run.stream_names, run.id_map(name), run.state(f"{name}.content"),
-            run.materialise,
+            write_table,
         )
         paths += run.finish(result)
     contacts = run.stream("contacts")
     if contacts is not None:
         name = run.stream_names["contacts"]
-        records = hubspot.contacts_write(contacts, run.id_map(name))
+        records = hubspot.contacts_write(contacts, run.id_map(name), materialise=write_table)
         paths.append(run.emit(name, records))
         requests = hubspot.unsubscribe_requests(contacts)
         paths.append(run.emit("unsubscribe_requests", requests))
@@ -140,7 +135,8 @@ def marketo_write(run: SyncRun) -> list[str]:
     if contacts is None:
         return []
     name = marketo.output_name(run.stream_names)
-    path = run.emit(name, marketo.contacts_write(contacts, run.id_map(name)))
+    records = marketo.contacts_write(contacts, run.id_map(name), materialise=write_table)
+    path = run.emit(name, records)
     return [path] if path else []
 
 
@@ -154,7 +150,9 @@ def salesforce_read(run: SyncRun) -> list[str]:
 
 
 def hubspot_read(run: SyncRun) -> list[str]:
-    """Contacts and companies as envelopes."""
+    """Contacts and companies as envelopes; nothing for a flow without a mapping."""
+    if not run.by_target:
+        return []
     streams = {s: run.stream(s) for s in (*hubspot.READ_STREAMS, "owners", "lists")}
     streams = {s: df for s, df in streams.items() if df is not None}
     wrapped = hubspot.read(streams, run.stream_names, run.id_map("accounts"))
@@ -163,8 +161,8 @@ def hubspot_read(run: SyncRun) -> list[str]:
 
 
 def marketo_read(run: SyncRun) -> list[str]:
-    """Leads as envelopes."""
-    leads = run.stream(marketo.LEADS)
+    """Leads as envelopes; nothing for a flow without a mapping."""
+    leads = run.stream(marketo.LEADS) if run.by_target else None
     if leads is None:
         return []
     name = hubspot.output_name(marketo.LEADS, run.stream_names)
@@ -187,4 +185,5 @@ def mapped_write(run: SyncRun, stream: str) -> str | None:
     if df is None:
         return None
     name = run.stream_names[stream]
-    return run.emit(name, common.mapped_write(df, stream, run.by_target, run.id_map(name)))
+    sent = run.id_map(name)
+    return run.emit(name, common.mapped_write(df, stream, run.by_target, sent, write_table))

@@ -8,18 +8,21 @@ from crmweave.functions.cleaning import sanitize_record
 from crmweave.operators.dedupe import drop_sent
 from crmweave.operators.envelope import wrap_envelope
 from crmweave.operators.mapping import MARKETO_LEAD_READ_ONLY, drop_read_only
+from crmweave.session import Materialise, stay_lazy
 
 SOURCE = "MARKETO"
 LEADS = "leads"
 
 
 def contacts_write(
-    contacts: DataFrame, sent: DataFrame | None, changed: DataFrame | None = None
+    contacts: DataFrame,
+    sent: DataFrame | None,
+    changed: DataFrame | None = None,
+    materialise: Materialise = stay_lazy,
 ) -> DataFrame:
     """Contacts not sent yet, without read-only columns; no field mapping is needed."""
-    return sanitize_record(
-        drop_sent(drop_read_only(contacts, MARKETO_LEAD_READ_ONLY), sent, changed)
-    )
+    writable = drop_read_only(contacts, MARKETO_LEAD_READ_ONLY)
+    return sanitize_record(drop_sent(writable, sent, changed, materialise))
 
 
 def output_name(stream_names: dict[str, str]) -> str:

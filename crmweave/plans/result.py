@@ -2,18 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 
 FieldMaps = dict[str, dict[str, str]]
-# Writes an intermediate table and returns it as read back; plans stay lazy without one.
-Materialise = Callable[[DataFrame, str], DataFrame]
-
-
-def stay_lazy(df: DataFrame, label: str) -> DataFrame:
-    return df
 
 
 @dataclass

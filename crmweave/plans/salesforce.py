@@ -24,7 +24,8 @@ from crmweave.operators.filters import drop_deleted
 from crmweave.operators.mapping import EXTERNAL_ID, map_stream, mapped_sources, select_output
 from crmweave.operators.nesting import nest_columns
 from crmweave.plans.common import write_if_new_or_changed
-from crmweave.plans.result import FieldMaps, Materialise, WriteResult, stay_lazy
+from crmweave.plans.result import FieldMaps, WriteResult
+from crmweave.session import Materialise, stay_lazy
 
 ACCOUNT = "Account"
 SOURCE = "SALESFORCE"
@@ -65,6 +66,7 @@ def contacts_write(
     record snapshot of each object. A run emits the whole batch, and the rows of earlier
     batches that were never acknowledged. Of several rows with one id the last by
     ``order_by`` counts; ``unique_ids`` says there are none, so the batch is not shuffled.
+    With ``materialise``, an object the batch has no rows for is left as it is.
     """
     if dynamic_contact_mapping:
         routed = route_contacts(contacts, accounts, keep_remote=True)
@@ -87,6 +89,8 @@ def contacts_write(
             latest_per_key(mapped, EXTERNAL_ID, order_by)
         )
         batch = materialise(batch, f"{stream}.batch")
+        if materialise is not stay_lazy and batch.isEmpty():
+            continue
         rows = batch.drop(REMOTE)
         if linked:
             pending = batch.withColumn("AccountId", F.col(REMOTE)).drop(REMOTE)
@@ -98,7 +102,7 @@ def contacts_write(
             # The batch counts as changed, so only rows carried over can be dropped as sent.
             # A lazy plan takes the batch's ids before its rows are reduced to one per id.
             carried = carried_over(old, mapped if materialise is stay_lazy else batch)
-            unsent = drop_sent(carried, (sent or {}).get(stream))
+            unsent = drop_sent(carried, (sent or {}).get(stream), materialise=materialise)
             if stream == CONTACT:
                 unsent = attach_account_id(unsent, accounts)
             merged = carried.unionByName(rows, allowMissingColumns=True)

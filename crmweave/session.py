@@ -5,8 +5,12 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+# Writes an intermediate table and returns it as read back.
+Materialise = Callable[[DataFrame, str], DataFrame]
 
 # CRM field names differ by case alone (``id``/``Id``, ``accountId``/``AccountId``),
 # and every timestamp leaves in UTC.
@@ -35,3 +39,15 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     root = shared or os.path.join(tempfile.gettempdir(), "crmweave")
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def stay_lazy(df: DataFrame, label: str) -> DataFrame:
+    """The ``Materialise`` that writes nothing."""
+    return df
+
+
+def write_table(df: DataFrame, label: str) -> DataFrame:
+    """Write an intermediate table: lineage ends there, and its size is known from its files."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -60,7 +60,7 @@ def ids(records, key="externalId"):
     return sorted(r[key] for r in records)
 
 
-def test_accounts_are_sent_once_until_they_change(world):
+def test_accounts_are_sent_once_until_they_change(world, join_mode):
     schema = "id string, name string, domain string"
     accounts = [("1", "A", "NaN"), ("2", "B", "b.com"), ("3", "C", "1,316")]
     world.stage("accounts", accounts, schema)
@@ -137,6 +137,13 @@ def test_salesforce_people_over_several_runs(world):
     world.acknowledge("Lead", [("3", "L3"), ("4", "L4"), ("5", "L5")])
     third = world.run(jobs.salesforce_write, SF_MAPPING)
     assert ids(third["Lead"]) == ["5"]
+    # Without leads in the batch, leads still open are not sent again by this run.
+    world.acknowledge("Lead", [("4", "L4")])
+    world.stage("contacts", [("2", "Held", "h@x.com", "a2")], schema)
+    fourth = world.run(jobs.salesforce_write, SF_MAPPING)
+    assert list(fourth) == ["Contact"]
+    world.stage("contacts", [("6", "New", "z@x.com", "")], schema)
+    assert ids(world.run(jobs.salesforce_write, SF_MAPPING)["Lead"]) == ["3", "5", "6"]
 
 
 def test_people_are_conserved(world):
@@ -195,6 +202,7 @@ def test_hubspot_read(world):
     world.stage("owners", [("10", "Ann", None, "o@x")], "id string, firstName string, lastName string, email string")
     world.stage("lists", [(7, "Seven")], "listId int, name string")
     world.acknowledge("accounts", [("5", "uuid5")])
+    assert world.run(jobs.hubspot_read, {}) == {}
     got = world.run(jobs.hubspot_read, {"contacts/contacts": {}, "accounts/companies": {}})
     assert got["contacts"] == [{
         "data": {
@@ -211,7 +219,7 @@ def test_hubspot_read(world):
     }
 
 
-def test_marketo_both_ways(world):
+def test_marketo_both_ways(world, join_mode):
     world.stage("contacts", [("1", "a@x", "s"), ("2", "b@x", "s")],
                 "externalId string, email string, inferredCity string")
     world.acknowledge("leads", [("1", "M1")])

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from crmweave.operators import accounts, dedupe, enrich, envelope, filters, mapping, nesting, reports
+from crmweave.session import write_table
 
 
 def rows(df):
@@ -61,8 +62,7 @@ def test_missing_mapping_is_an_error(spark):
         mapping.map_stream(df, "contacts", {})
     with pytest.raises(ValueError):
         mapping.map_stream(df, "contacts", {"accounts": {"a": "b"}})
-    with pytest.raises(ValueError):
-        mapping.map_fields(df, {})
+    assert mapping.map_stream(df, "contacts", {"contacts": {}}).columns == ["externalId"]
 
 
 # Nesting
@@ -182,6 +182,8 @@ def test_drop_sent(join_mode, frame):
     assert dedupe.drop_sent(df, None) is df
     assert [r["n"] for r in rows(dedupe.drop_sent(df, sent))] == [3]
     assert {r["n"] for r in rows(dedupe.drop_sent(df, sent, changed))} == {2, 3}
+    assert {r["n"] for r in rows(dedupe.drop_sent(df, sent, changed, write_table))} == {2, 3}
+    assert [r["n"] for r in rows(dedupe.drop_sent(df, sent, None, write_table))] == [3]
     with pytest.raises(ValueError):
         dedupe.drop_sent(df.drop("externalId"), sent)
     with pytest.raises(ValueError):
