@@ -1,4 +1,8 @@
-"""CRM-shaped views of the given tables, as SQL text that Spark and DuckDB both read."""
+"""CRM-shaped views of the given tables, as SQL text that Spark and DuckDB both read.
+
+Every view covers its whole table. Remainders of ids decide which rows are dirty, deleted, sent
+or changed.
+"""
 
 from __future__ import annotations
 

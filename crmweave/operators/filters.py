@@ -35,7 +35,12 @@ def is_flagged(df: DataFrame, name: str) -> Column:
 
 def drop_flagged(df: DataFrame, name: str) -> DataFrame:
     """Remove rows whose flag is set; without the column the frame is unchanged."""
-    return df.where(~is_flagged(df, name)) if name in df.columns else df
+    if name not in df.columns:
+        return df
+    if isinstance(df.schema[name].dataType, T.BooleanType):
+        # In this form the filter reaches the parquet reader.
+        return df.where(named(name).isNull() | (named(name) == F.lit(False)))
+    return df.where(~is_flagged(df, name))
 
 
 def drop_archived(df: DataFrame) -> DataFrame:
@@ -52,7 +57,8 @@ def has_lookup_key(name: str) -> Column:
 
 def require_lookup_key(df: DataFrame, name: str) -> DataFrame:
     """Keep rows whose lookup value is neither null nor blank."""
-    return df.where(has_lookup_key(name))
+    # The null test by itself reaches the parquet reader.
+    return df.where(named(name).isNotNull() & has_lookup_key(name))
 
 
 def not_pending(value: str, dtype: T.DataType, field: str) -> Column:
