@@ -6,13 +6,13 @@ import duckdb
 import pytest
 
 import __spark_entry__
+from checks.registry import ORACLES, QUERIES
 from conftest import DATA
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages"
     " benchmark labels conversations"
 ).split()
-QUERIES, ORACLES = __spark_entry__.queries(), __spark_entry__.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -47,3 +47,5 @@ def test_entry(spark):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(__spark_entry__.queries())
+    assert set(ORACLES) <= set(__spark_entry__.oracle_sql())
