@@ -11,6 +11,7 @@ from crmweave.llm import (
     exact_dedup,
     license_scan,
     packing,
+    quality,
     sharding,
     simhash,
     token_count,
@@ -64,6 +65,11 @@ FROM grouped
 """
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality.score_documents(docs, labels)
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path(PACKED)
     return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary, SEQUENCE, END)
@@ -100,6 +106,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_shards": op4_shards,
     "op5_token_counts": op5_token_counts,
     "op6_exact_dedup": op6_exact_dedup,
+    "op8_quality": op8_quality,
     "op9_packing": op9_packing,
     "op10_url_filter": op10_url_filter,
 }
