@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from crmweave.llm import (
+    decontaminate,
     exact_dedup,
     license_scan,
     packing,
@@ -65,6 +66,11 @@ FROM grouped
 """
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontaminate.find_leaks(docs, items)
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return quality.score_documents(docs, labels)
@@ -106,6 +112,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_shards": op4_shards,
     "op5_token_counts": op5_token_counts,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_decontamination": op7_decontamination,
     "op8_quality": op8_quality,
     "op9_packing": op9_packing,
     "op10_url_filter": op10_url_filter,
