@@ -10,9 +10,11 @@ it has fingerprints: each is tied to one of its group. Components of the links a
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -119,13 +121,14 @@ def bits_at(mask: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.unpackbits(mask.view(np.uint8), bitorder="little"))
 
 
-def link_large(values: np.ndarray, radius: int) -> np.ndarray:
-    """Group of each value, named by its first member."""
+def link_large(values: np.ndarray, radius: int, nearest: bool) -> np.ndarray:
+    """Per value the place of its tie: the first of its group, or the nearest other value."""
     planes = planes_of(values)
     n, words = len(values), planes.shape[1]
-    group = np.arange(n)
+    tie = np.arange(n)
     for at in range(0, n, QUERIES):
-        first = at // BITS  # links to earlier values were found when those were asked
+        # For groups, links to earlier values were found when those were asked.
+        first = 0 if nearest else at // BITS
         bits = values[at : at + QUERIES] >> np.arange(BITS, dtype=np.uint64)[:, None] & np.uint64(1)
         masks = np.where(bits == 1, ALL, np.uint64(0))
         rest = planes[:, first:]
@@ -139,20 +142,27 @@ def link_large(values: np.ndarray, radius: int) -> np.ndarray:
         near = within(differ, masks.shape[1] * across, radius).reshape(-1, across)
         for i in np.flatnonzero(np.bitwise_count(near).sum(axis=1) > 1):
             places = bits_at(near[i]) + first * BITS
-            met = np.unique(group[places[places < n]])
-            if len(met) > 1:
-                group[np.isin(group, met)] = met[0]
-    return group
-
-
-def link_small(values: np.ndarray, cell: np.ndarray, radius: int) -> np.ndarray:
-    """Group of each value among those of its cell; ``cell`` is sorted, cells are small.
+            places = places[places < n]
+            if nearest:
+                places = places[places != at + i]
+                if len(places):
+                    far = np.bitwise_count(values[places] ^ values[at + i])
+                    tie[at + i] = places[far.argmin()]
+            else:
+                met = np.unique(tie[places])
+                if len(met) > 1:
+                    tie[np.isin(tie, met)] = met[0]
+    return tie
+
+
+def link_small(values: np.ndarray, cell: np.ndarray, radius: int, nearest: bool) -> np.ndarray:
+    """The same for many small cells at once; ``cell`` is sorted.
 
     The planes are compared with themselves shifted by 1, 2, ... places.
     """
     n = len(values)
     planes = planes_of(values)
-    group = np.arange(n)
+    tie = np.arange(n)
     size = int(np.diff(np.flatnonzero(np.r_[True, cell[1:] != cell[:-1], True])).max(initial=1))
     ones, others = [], []
     for lag in range(1, size):
@@ -173,31 +183,41 @@ def link_small(values: np.ndarray, cell: np.ndarray, radius: int) -> np.ndarray:
         hit = bits_at(full)
         ones.append(hit)
         others.append(hit + lag)
-    if ones:
-        a, b = np.concatenate(ones), np.concatenate(others)
-        while True:
-            least = np.minimum(group[a], group[b])
-            if (group[a] == least).all() and (group[b] == least).all():
-                break
-            np.minimum.at(group, a, least)
-            np.minimum.at(group, b, least)
-            group = group[group]
-    return group
-
-
-def link_cells(cell: np.ndarray, values: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links ``(value, value of its group)`` of whole cells; ``cell`` is sorted."""
+    if not ones:
+        return tie
+    a, b = np.concatenate(ones), np.concatenate(others)
+    if nearest:
+        far = np.bitwise_count(values[a] ^ values[b]).astype(np.int64)
+        best = np.full(n, np.iinfo(np.int64).max)
+        np.minimum.at(best, a, far << 40 | b)
+        np.minimum.at(best, b, far << 40 | a)
+        found = best < np.iinfo(np.int64).max
+        tie[found] = best[found] & ((1 << 40) - 1)
+        return tie
+    while True:
+        least = np.minimum(tie[a], tie[b])
+        if (tie[a] == least).all() and (tie[b] == least).all():
+            return tie
+        np.minimum.at(tie, a, least)
+        np.minimum.at(tie, b, least)
+        tie = tie[tie]
+
+
+def link_cells(
+    cell: np.ndarray, values: np.ndarray, radius: int, nearest: bool = False
+) -> tuple[np.ndarray, np.ndarray]:
+    """Links ``(value, value it is tied to)`` of whole cells; ``cell`` is sorted."""
     edges = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1], True])
     sizes = np.repeat(np.diff(edges), np.diff(edges))
-    group = np.arange(len(values))
+    tie = np.arange(len(values))
     small = np.flatnonzero((sizes > 1) & (sizes <= SMALL))
     if len(small):
-        group[small] = small[link_small(values[small], cell[small], radius)]
+        tie[small] = small[link_small(values[small], cell[small], radius, nearest)]
     for a, b in zip(edges[:-1], edges[1:]):
         if b - a > SMALL:
-            group[a:b] = a + link_large(values[a:b], radius)
-    linked = group != np.arange(len(values))
-    return values[linked], values[group[linked]]
+            tie[a:b] = a + link_large(values[a:b], radius, nearest)
+    linked = tie != np.arange(len(values))
+    return values[linked], values[tie[linked]]
 
 
 def _cells(fps: DataFrame, blocks: int, agree: int) -> DataFrame:
@@ -228,10 +248,11 @@ def _tiled(cells: DataFrame) -> DataFrame:
     return dealt.select(pair.alias("cell"), "fp")
 
 
-def links(fps: DataFrame, radius: int, agree: int = 2) -> DataFrame:
+def links(fps: DataFrame, radius: int, agree: int = 2, nearest: bool = False) -> DataFrame:
     """``(a, b)``: links that join all of the distinct ``fp`` within the radius of each other.
 
-    ``agree`` blocks of ``radius + agree`` make a cell: more of them make smaller cells, and
+    With ``nearest``, each is tied to the nearest within the radius in each of its cells
+    instead. ``agree`` blocks of ``radius + agree`` make a cell: more of them make smaller cells, and
     more cells, without changing the groups that the links form.
     """
     cells = _tiled(_cells(fps, radius + agree, agree))
@@ -242,7 +263,7 @@ def links(fps: DataFrame, radius: int, agree: int = 2) -> DataFrame:
         held_cell, held = np.empty(0, np.int64), np.empty(0, np.uint64)
 
         def out(cell: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
-            a, b = link_cells(cell, values, radius)
+            a, b = link_cells(cell, values, radius, nearest)
             columns = [pa.array(a.view(np.int64)), pa.array(b.view(np.int64))]
             return pa.RecordBatch.from_arrays(columns, ["a", "b"])
 
@@ -285,3 +306,81 @@ def near_groups(docs: DataFrame, shingle: int = 4, radius: int = 4, agree: int =
     joined = rows.join(found, F.col("fp") == F.col("__fp"))
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return joined.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
+def similarity(one: str, other: str, shingle: int) -> float:
+    """Jaccard similarity of the sets of word shingles; two texts without words are alike."""
+
+    def shingles(text: str) -> set[tuple[bytes, ...]]:
+        words = text.encode("utf-8", "replace").lower().split()
+        return {tuple(words[i : i + shingle]) for i in range(max(1, len(words) - shingle + 1))}
+
+    a, b = shingles(one), shingles(other)
+    shared = len(a & b)
+    return shared / (len(a) + len(b) - shared)
+
+
+def _alike(texts: DataFrame, pairs: DataFrame, shingle: int, least: float) -> DataFrame:
+    """Those of the pairs ``(a, b)`` of ids whose texts are alike."""
+
+    @F.pandas_udf("double")
+    def compared(ones: pd.Series, others: pd.Series) -> pd.Series:
+        return pd.Series([similarity(x, y, shingle) for x, y in zip(ones, others)], dtype="float64")
+
+    one, other = texts.toDF("a", "one"), texts.toDF("b", "other")
+    joined = bounded_batches(pairs.join(one, "a").join(other, "b"))
+    return joined.where(compared("one", "other") >= least).select("a", "b").distinct()
+
+
+def verified_groups(
+    docs: DataFrame,
+    shingle: int = 5,
+    least_similarity: float = 0.8,
+    sketch_shingle: int = 2,
+    radius: int = 10,
+) -> DataFrame:
+    """``(doc_id, component_id)`` for documents that are near copies of others.
+
+    Fingerprints find candidates, and the Jaccard similarity of ``shingle``-word shingles
+    decides. An edit touches fewer short shingles than long ones, so fingerprints over
+    ``sketch_shingle`` words find pairs of the wanted similarity within a smaller radius. Each
+    document is compared with its nearest candidates only, never with all of its group; the
+    smallest id of each group found so far goes on to the next round, until a round finds
+    nothing. Ids must be integers; rows without an id are in no group, of repeated rows with one
+    id the largest text counts, and a null text counts as empty.
+    """
+    texts = documents(docs).where("doc_id IS NOT NULL")
+    texts = texts.groupBy("doc_id").agg(F.max("text").alias("text")) if _repeats(texts) else texts
+    prints = write_table(fingerprints(texts, sketch_shingle), "fingerprints")
+    left, found = prints, []
+    while True:
+        nodes = left.groupBy("fp").agg(F.min("doc_id").alias("id"))
+        near = links(nodes.select("fp"), radius, nearest=True)
+        a, b = (nodes.toDF(x, f"id_{x}") for x in "ab")
+        across = near.join(a, "a").join(b, "b").select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
+        equal = left.join(nodes, "fp").select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
+        pairs = across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).union(equal)
+        pairs = write_table(pairs.where("a != b").distinct(), "candidates")
+        alike = write_table(_alike(texts, pairs, shingle, least_similarity), "alike")
+        found.append(alike)
+        groups = write_table(components(reduce(DataFrame.union, found)), "groups")
+        if alike.isEmpty():
+            return groups.toDF("doc_id", "component_id")
+        copies = groups.where("node != label").select(F.col("node").alias("doc_id"))
+        left = prints.join(copies, "doc_id", "left_anti")
+
+
+def _repeats(texts: DataFrame) -> bool:
+    return not texts.groupBy("doc_id").count().where("count > 1").isEmpty()
+
+
+def keep_one_of_each(docs: DataFrame, **options) -> DataFrame:
+    """``docs`` less the near copies of a document that stays, with all their columns.
+
+    Of each group the smallest id stays. Rows without an id stay.
+    """
+    groups = verified_groups(docs, **options).where("doc_id != component_id")
+    inner = [f"c{i}" for i in range(len(docs.columns))]
+    key = F.col(inner[docs.columns.index("doc_id")])
+    copies = groups.select(F.col("doc_id").alias("__copy"))
+    return docs.toDF(*inner).join(copies, key == F.col("__copy"), "left_anti").toDF(*docs.columns)
