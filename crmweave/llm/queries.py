@@ -15,6 +15,7 @@ from crmweave.llm import (
     quality,
     sharding,
     simhash,
+    suffix_dedup,
     token_count,
     url_filter,
 )
@@ -34,6 +35,10 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents"), shingle=4, radius=4)
 
 
+def op2_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated_spans(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_digest(license_scan.scan_licenses(table(spark, sf_dir, "documents")))
 
@@ -108,6 +113,7 @@ FROM ruled
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op2_repeated_spans": op2_repeated_spans,
     "op3_licenses": op3_licenses,
     "op4_shards": op4_shards,
     "op5_token_counts": op5_token_counts,
