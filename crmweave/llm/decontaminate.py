@@ -100,8 +100,11 @@ def _leaks(texts: DataFrame, items: DataFrame, k: int, similarity: float, radius
         .selectExpr("key", "words", "inline(windows)")
         .selectExpr("key", "n", "start", "slice(words, start + 1, n) AS words")
         .withColumn("hashes", F.expr(hashes_sql("words", k)))
-        .selectExpr("key", "n", "start", "words", f"{simhash_sql('hashes')} AS fp")
     )
+    # Written at each step: what a step makes is used many times by the next one.
+    marked = write_table(marked, "window-hashes")
+    marked = marked.selectExpr("key", "n", "start", "words", f"{simhash_sql('hashes')} AS fp")
+    marked = write_table(marked, "window-prints")
     indexed = marked.withColumn("block", F.expr(f"explode({blocks_sql('fp', radius)})"))
     index = listed.selectExpr(
         "item_id", "n AS item_n", "item_fp", "shingles",
