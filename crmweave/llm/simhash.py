@@ -10,7 +10,6 @@ it has fingerprints: each is tied to one of its group. Components of the links a
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -29,6 +28,9 @@ BITS, SEED = 64, 42
 TILE = 2048
 # Cells up to this size are compared shifted against themselves, many at once.
 SMALL = 32
+# A fingerprint with more near ones than this in a cell is paired with two of them: links of a
+# group of thousands of near copies stay as many as its members, and still join all of it.
+PARTNERS = 32
 # So many fingerprints are compared with a large cell at once.
 QUERIES = 256
 # Chunk of shingles whose hashes are held at once, whatever the length of a text.
@@ -121,14 +123,13 @@ def bits_at(mask: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.unpackbits(mask.view(np.uint8), bitorder="little"))
 
 
-def link_large(values: np.ndarray, radius: int, nearest: bool) -> np.ndarray:
-    """Per value the place of its tie: the first of its group, or the nearest other value."""
+def near_rows(values: np.ndarray, radius: int, later: bool) -> Iterator[tuple[int, np.ndarray]]:
+    """``(i, places)`` for each value i that others are near to; with ``later``, only those
+    from the word of i on, since earlier ones have found i already."""
     planes = planes_of(values)
     n, words = len(values), planes.shape[1]
-    tie = np.arange(n)
     for at in range(0, n, QUERIES):
-        # For groups, links to earlier values were found when those were asked.
-        first = 0 if nearest else at // BITS
+        first = at // BITS if later else 0
         bits = values[at : at + QUERIES] >> np.arange(BITS, dtype=np.uint64)[:, None] & np.uint64(1)
         masks = np.where(bits == 1, ALL, np.uint64(0))
         rest = planes[:, first:]
@@ -142,29 +143,19 @@ def link_large(values: np.ndarray, radius: int, nearest: bool) -> np.ndarray:
         near = within(differ, masks.shape[1] * across, radius).reshape(-1, across)
         for i in np.flatnonzero(np.bitwise_count(near).sum(axis=1) > 1):
             places = bits_at(near[i]) + first * BITS
-            places = places[places < n]
-            if nearest:
-                places = places[places != at + i]
-                if len(places):
-                    far = np.bitwise_count(values[places] ^ values[at + i])
-                    tie[at + i] = places[far.argmin()]
-            else:
-                met = np.unique(tie[places])
-                if len(met) > 1:
-                    tie[np.isin(tie, met)] = met[0]
-    return tie
+            places = places[(places < n) & (places != at + i)]
+            if len(places):
+                yield at + int(i), places
 
 
-def link_small(values: np.ndarray, cell: np.ndarray, radius: int, nearest: bool) -> np.ndarray:
-    """The same for many small cells at once; ``cell`` is sorted.
+def near_pairs(values: np.ndarray, cell: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """All near pairs within many small cells at once; ``cell`` is sorted.
 
     The planes are compared with themselves shifted by 1, 2, ... places.
     """
-    n = len(values)
     planes = planes_of(values)
-    tie = np.arange(n)
     size = int(np.diff(np.flatnonzero(np.r_[True, cell[1:] != cell[:-1], True])).max(initial=1))
-    ones, others = [], []
+    ones, others = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for lag in range(1, size):
         same = np.flatnonzero(cell[lag:] == cell[:-lag])
         if not len(same):
@@ -183,17 +174,12 @@ def link_small(values: np.ndarray, cell: np.ndarray, radius: int, nearest: bool)
         hit = bits_at(full)
         ones.append(hit)
         others.append(hit + lag)
-    if not ones:
-        return tie
-    a, b = np.concatenate(ones), np.concatenate(others)
-    if nearest:
-        far = np.bitwise_count(values[a] ^ values[b]).astype(np.int64)
-        best = np.full(n, np.iinfo(np.int64).max)
-        np.minimum.at(best, a, far << 40 | b)
-        np.minimum.at(best, b, far << 40 | a)
-        found = best < np.iinfo(np.int64).max
-        tie[found] = best[found] & ((1 << 40) - 1)
-        return tie
+    return np.concatenate(ones), np.concatenate(others)
+
+
+def join_groups(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Per place the smallest place that the links ``(a, b)`` reach."""
+    tie = np.arange(n)
     while True:
         least = np.minimum(tie[a], tie[b])
         if (tie[a] == least).all() and (tie[b] == least).all():
@@ -203,21 +189,56 @@ def link_small(values: np.ndarray, cell: np.ndarray, radius: int, nearest: bool)
         tie = tie[tie]
 
 
+def group_large(values: np.ndarray, radius: int) -> np.ndarray:
+    """Per value the first of its group in one large cell."""
+    tie = np.arange(len(values))
+    for i, places in near_rows(values, radius, later=True):
+        met = np.unique(tie[np.append(places, i)])
+        if len(met) > 1:
+            tie[np.isin(tie, met)] = met[0]
+    return tie
+
+
+def pairs_large(values: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Near pairs in one large cell: all of a value with few; else its nearest and its first."""
+    ones, others = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for i, places in near_rows(values, radius, later=False):
+        if len(places) > PARTNERS:
+            far = np.bitwise_count(values[places] ^ values[i])
+            places = np.unique([places[far.argmin()], places[0]])
+        ones.append(np.full(len(places), i))
+        others.append(places)
+    return np.concatenate(ones), np.concatenate(others)
+
+
 def link_cells(
-    cell: np.ndarray, values: np.ndarray, radius: int, nearest: bool = False
+    cell: np.ndarray, values: np.ndarray, radius: int, pairs: bool = False
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Links ``(value, value it is tied to)`` of whole cells; ``cell`` is sorted."""
+    """Links ``(value, other value)`` of whole cells; ``cell`` is sorted.
+
+    Without ``pairs`` each value is tied to the first of its group, so that links are as few as
+    values; with it, near pairs are given as ``pairs_large`` says.
+    """
     edges = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1], True])
     sizes = np.repeat(np.diff(edges), np.diff(edges))
-    tie = np.arange(len(values))
     small = np.flatnonzero((sizes > 1) & (sizes <= SMALL))
-    if len(small):
-        tie[small] = small[link_small(values[small], cell[small], radius, nearest)]
-    for a, b in zip(edges[:-1], edges[1:]):
-        if b - a > SMALL:
-            tie[a:b] = a + link_large(values[a:b], radius, nearest)
-    linked = tie != np.arange(len(values))
-    return values[linked], values[tie[linked]]
+    a, b = near_pairs(values[small], cell[small], radius)
+    if not pairs:
+        tie = join_groups(len(small), a, b)
+        a = np.flatnonzero(tie != np.arange(len(small)))
+        b = tie[a]
+    ones, others = [small[a]], [small[b]]
+    for at, end in zip(edges[:-1], edges[1:]):
+        if end - at > SMALL:
+            if pairs:
+                a, b = pairs_large(values[at:end], radius)
+            else:
+                tie = group_large(values[at:end], radius)
+                a = np.flatnonzero(tie != np.arange(end - at))
+                b = tie[a]
+            ones.append(at + a)
+            others.append(at + b)
+    return values[np.concatenate(ones)], values[np.concatenate(others)]
 
 
 def _cells(fps: DataFrame, blocks: int, agree: int) -> DataFrame:
@@ -248,14 +269,14 @@ def _tiled(cells: DataFrame) -> DataFrame:
     return dealt.select(pair.alias("cell"), "fp")
 
 
-def links(fps: DataFrame, radius: int, agree: int = 2, nearest: bool = False) -> DataFrame:
+def links(fps: DataFrame, radius: int, agree: int = 2, pairs: bool = False) -> DataFrame:
     """``(a, b)``: links that join all of the distinct ``fp`` within the radius of each other.
 
-    With ``nearest``, each is tied to the nearest within the radius in each of its cells
-    instead. ``agree`` blocks of ``radius + agree`` make a cell: more of them make smaller cells, and
+    With ``pairs``, near pairs are given instead, as ``link_cells`` says. ``agree`` blocks of ``radius + agree`` make a cell: more of them make smaller cells, and
     more cells, without changing the groups that the links form.
     """
-    cells = _tiled(_cells(fps, radius + agree, agree))
+    # The choices of blocks multiply the rows, so they are dealt out before.
+    cells = _tiled(_cells(fps.repartition(tasks(fps), "fp"), radius + agree, agree))
     # A cell's key is a hash; two cells that share it are compared as one, which adds no links.
     sorted_cells = cells.repartition(tasks(fps), "cell").sortWithinPartitions("cell")
 
@@ -263,7 +284,7 @@ def links(fps: DataFrame, radius: int, agree: int = 2, nearest: bool = False) ->
         held_cell, held = np.empty(0, np.int64), np.empty(0, np.uint64)
 
         def out(cell: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
-            a, b = link_cells(cell, values, radius, nearest)
+            a, b = link_cells(cell, values, radius, pairs)
             columns = [pa.array(a.view(np.int64)), pa.array(b.view(np.int64))]
             return pa.RecordBatch.from_arrays(columns, ["a", "b"])
 
@@ -342,32 +363,25 @@ def verified_groups(
     """``(doc_id, component_id)`` for documents that are near copies of others.
 
     Fingerprints find candidates, and the Jaccard similarity of ``shingle``-word shingles
-    decides. An edit touches fewer short shingles than long ones, so fingerprints over
-    ``sketch_shingle`` words find pairs of the wanted similarity within a smaller radius. Each
-    document is compared with its nearest candidates only, never with all of its group; the
-    smallest id of each group found so far goes on to the next round, until a round finds
-    nothing. Ids must be integers; rows without an id are in no group, of repeated rows with one
-    id the largest text counts, and a null text counts as empty.
+    decides; groups are the components of the pairs that are alike. An edit touches fewer short
+    shingles than long ones, so fingerprints over ``sketch_shingle`` words find pairs of the
+    wanted similarity within a smaller radius. Texts with one fingerprint are compared with the
+    one of the smallest id. Ids must be integers; rows without an id are in no group, of
+    repeated rows with one id the largest text counts, and a null text counts as empty.
     """
     texts = documents(docs).where("doc_id IS NOT NULL")
     texts = texts.groupBy("doc_id").agg(F.max("text").alias("text")) if _repeats(texts) else texts
     prints = write_table(fingerprints(texts, sketch_shingle), "fingerprints")
-    left, found = prints, []
-    while True:
-        nodes = left.groupBy("fp").agg(F.min("doc_id").alias("id"))
-        near = links(nodes.select("fp"), radius, nearest=True)
-        a, b = (nodes.toDF(x, f"id_{x}") for x in "ab")
-        across = near.join(a, "a").join(b, "b").select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
-        equal = left.join(nodes, "fp").select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
-        pairs = across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).union(equal)
-        pairs = write_table(pairs.where("a != b").distinct(), "candidates")
-        alike = write_table(_alike(texts, pairs, shingle, least_similarity), "alike")
-        found.append(alike)
-        groups = write_table(components(reduce(DataFrame.union, found)), "groups")
-        if alike.isEmpty():
-            return groups.toDF("doc_id", "component_id")
-        copies = groups.where("node != label").select(F.col("node").alias("doc_id"))
-        left = prints.join(copies, "doc_id", "left_anti")
+    nodes = write_table(prints.groupBy("fp").agg(F.min("doc_id").alias("id")), "nodes")
+    near = links(nodes.select("fp"), radius, pairs=True)
+    a, b = (nodes.toDF(x, f"id_{x}") for x in "ab")
+    across = near.join(a, "a").join(b, "b").select(
+        F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")
+    )
+    equal = prints.join(nodes, "fp").select(F.col("id").alias("a"), F.col("doc_id").alias("b"))
+    pairs = write_table(across.union(equal).where("a != b").distinct(), "candidates")
+    alike = _alike(texts, pairs, shingle, least_similarity)
+    return components(write_table(alike, "alike")).toDF("doc_id", "component_id")
 
 
 def _repeats(texts: DataFrame) -> bool:
