@@ -25,6 +25,7 @@ def _batch(t: Tables):
     "drop_sent",
     """SELECT id AS "externalId", last_name FROM crm_contacts
     WHERE id NOT IN (SELECT InputId FROM contact_id_map)""",
+    large=True,
 )
 def sent(t: Tables):
     return dedupe.drop_sent(_batch(t), t.view("contact_id_map"))
@@ -35,6 +36,7 @@ def sent(t: Tables):
     """SELECT id AS "externalId", last_name FROM crm_contacts
     WHERE id NOT IN (SELECT InputId FROM contact_id_map)
     OR id IN (SELECT CAST(o_custkey AS VARCHAR) FROM orders WHERE o_orderstatus = 'F')""",
+    large=True,
 )
 def sent_or_changed(t: Tables):
     changed = t.table("orders").where("o_orderstatus = 'F'")
@@ -72,6 +74,7 @@ def upsert(t: Tables):
     """SELECT id, CASE WHEN m.InputId IS NULL THEN 'Lead' ELSE 'Contact' END AS kind
     FROM crm_contacts c LEFT JOIN (SELECT * FROM account_id_map WHERE RemoteId IS NOT NULL) m
     ON m.InputId = c.account_id""",
+    large=True,
 )
 def split(t: Tables):
     contacts, leads = accounts.split_contact_lead(t.app_contacts(), t.view("account_id_map"))
@@ -97,6 +100,7 @@ def attach(t: Tables):
       WHERE RemoteId IS NOT NULL GROUP BY RemoteId)
     SELECT id, 'A' || id AS crm_account, app_id AS account FROM crm_contacts c
     LEFT JOIN latest ON RemoteId = 'A' || id""",
+    large=True,
 )
 def resolve_sf(t: Tables):
     people = t.view("crm_contacts").select("id", F.concat(F.lit("A"), "id").alias("AccountId"))
@@ -124,6 +128,7 @@ SQL_OWNERS = """(SELECT id AS owner_key, coalesce(nullif(trim(trim(coalesce(firs
     "enrich_owner",
     f"""SELECT id, "crmOwnerName", "crmOwnerEmail" FROM crm_contacts
     LEFT JOIN {SQL_OWNERS} o ON owner_id = owner_key""",
+    large=True,
 )
 def owner(t: Tables):
     contacts = t.hubspot_contacts().select("id", "hubspot_owner_id")
@@ -146,13 +151,32 @@ SQL_DETAILS = f"""(CASE list_memberships
     WHEN '[9]' THEN {_sql_details(['9'])} WHEN '"1"' THEN {_sql_details(['"1"'])} END)"""
 
 
-@check("enrich_list_memberships", f"SELECT id, {SQL_DETAILS} AS details FROM crm_contacts")
+@check(
+    "enrich_list_memberships", f"SELECT id, {SQL_DETAILS} AS details FROM crm_contacts", large=True
+)
 def memberships(t: Tables):
     contacts = t.hubspot_contacts().select("id", "_hg_list_memberships")
     enriched = enrich.enrich_list_memberships(contacts, enrich.list_lookup(t.lists()))
     return enriched.select("id", F.to_json("crmListMembershipDetails").alias("details"))
 
 
+_ARRAYS = """CASE CAST(id AS INT) % 5 WHEN 0 THEN array('1, 2') WHEN 1 THEN array('1', '2')
+    WHEN 2 THEN array(CAST(NULL AS STRING)) WHEN 3 THEN array('0', '9') END"""
+
+
+@check(
+    "enrich_list_memberships_arrays",
+    f"""SELECT id, CASE CAST(id AS INT) % 5 WHEN 0 THEN {_sql_details(['1, 2'])}
+    WHEN 1 THEN {_sql_details(['1', '2'])} WHEN 3 THEN {_sql_details(['0', '9'])} END AS details
+    FROM crm_contacts""",
+    large=True,
+)
+def array_memberships(t: Tables):
+    contacts = t.view("crm_contacts").select("id", F.expr(_ARRAYS).alias("_hg_list_memberships"))
+    enriched = enrich.enrich_list_memberships(contacts, enrich.list_lookup(t.lists()))
+    return enriched.select("id", F.to_json("crmListMembershipDetails").alias("details"))
+
+
 @check(
     "select_contact_data",
     """SELECT id, email FROM crm_contacts c WHERE account_id IN

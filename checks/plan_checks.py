@@ -17,6 +17,7 @@ from crmweave.operators.mapping import HUBSPOT_COMPANY_READ_ONLY, drop_read_only
 from crmweave.plans import common, hubspot, marketo, salesforce
 from crmweave.plans.jobs import ENVELOPE_JSON
 from crmweave.session import scratch_path
+from crmweave.sources.lines import LINE
 from crmweave.sinks.singer import observed_types, singer_records, write_singer
 
 SALESFORCE_MAP = {
@@ -96,6 +97,7 @@ def sf_contacts_result(t: Tables):
         t.view("account_id_map"),
         sent={"Contact": t.view("sent_contacts"), "Lead": t.view("sent_leads")},
         snapshots={"Contact": old_contacts, "Lead": t.view("old_leads")},
+        dynamic_contact_mapping=True,
     )
 
 
@@ -127,7 +129,7 @@ SELECT {sql_line('Lead', {
 FROM all_leads"""
 
 
-@check("sf_contacts_write", _SQL_SF_CONTACTS)
+@check("sf_contacts_write", _SQL_SF_CONTACTS, large=True)
 def sf_contacts(t: Tables):
     return _lines(sf_contacts_result(t).records)
 
@@ -268,6 +270,7 @@ _SQL_COMPANY_DATA = {
     SELECT {sql_envelope_line('accounts', 'HUBSPOT', _SQL_COMPANY_DATA, 'id', 'domain')}
     FROM companies LEFT JOIN owners ON owner_id = owner_key
     WHERE NOT coalesce(is_deleted, FALSE) AND domain IS NOT NULL""",
+    large=True,
 )
 def hs_read(t: Tables):
     companies = salesforce.add_domain(
@@ -286,6 +289,21 @@ def hs_read(t: Tables):
     return parts[0].unionByName(parts[1])
 
 
+@check(
+    "hs_read_repeated_accounts",
+    """WITH last AS (SELECT InputId, max_by(RemoteId, line) AS account FROM repeated_id_map
+      WHERE RemoteId IS NOT NULL GROUP BY InputId)
+    SELECT id AS "sourceRecordId", account FROM crm_contacts LEFT JOIN last ON InputId = company_id
+    WHERE NOT coalesce(archived, FALSE) AND trim(email) <> ''""",
+    large=True,
+)
+def hs_read_last(t: Tables):
+    accounts = t.view("repeated_id_map").withColumnRenamed("line", LINE)
+    wrapped = hubspot.read({"contacts": t.hubspot_contacts()}, {"contacts": "contacts"}, accounts)
+    account = F.get_json_object("data", "$.accountId").alias("account")
+    return wrapped["contacts"].select("sourceRecordId", account)
+
+
 @check(
     "mk_contacts_write",
     f"""SELECT {sql_line('leads', {

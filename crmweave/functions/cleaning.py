@@ -134,14 +134,14 @@ def _needs_cleaning(dtype: T.DataType) -> bool:
 def clean_sql(value: str, dtype: T.DataType, text: bool = True, depth: int = 0) -> str:
     """SQL that cleans a value of any type, down to the leaves of structs, arrays and map values.
 
-    NaN becomes null and instants become ISO text; with ``text``, strings are sanitised.
+    NaN and the infinities become null and instants become ISO text; with ``text``, strings are sanitised.
     """
     if not _needs_cleaning(dtype):
         return value
     if isinstance(dtype, T.StringType):
         return _sanitize(value) if text else value
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        return f"CASE WHEN isnan({value}) THEN NULL ELSE {value} END"
+        return f"CASE WHEN abs({value}) < double('Infinity') THEN {value} END"
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
         return _iso(value)
     if isinstance(dtype, T.ArrayType):

@@ -38,7 +38,7 @@ def json_with_bools(schema: T.StructType) -> Column:
 
     String leaves ``true``/``false``, in any case, become JSON booleans.
     """
-    return F.expr(f"to_json({_bool_struct('', schema)})")
+    return F.expr(f"to_json({_bool_struct('', schema)}, map('ignoreNullFields', 'true'))")
 
 
 def _is_bool_word(text: str) -> str:

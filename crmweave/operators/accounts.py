@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from crmweave.functions.text import is_blank, named
 from crmweave.operators.lookup import lookup_join, unique_lookup
 from crmweave.operators.mapping import ensure_columns, rename_id_map
+from crmweave.sources.lines import LINE
 
 CONTACT, LEAD, HELD = "Contact", "Lead", "Held"
 ROUTE = "__route"
@@ -20,7 +21,12 @@ def synced_accounts(id_map: DataFrame) -> DataFrame:
 
 
 def _account_lookup(id_map: DataFrame) -> DataFrame:
-    return unique_lookup(synced_accounts(id_map), "AccountId", [REMOTE])
+    """One CRM id per account, the last by the map's lines where it has their order."""
+    return unique_lookup(synced_accounts(id_map), "AccountId", [REMOTE], _line(id_map))
+
+
+def _line(id_map: DataFrame) -> str | None:
+    return LINE if LINE in id_map.columns else None
 
 
 def route_contacts(
@@ -70,7 +76,9 @@ def select_contact_data(crm: str, stream: str, routed: DataFrame) -> DataFrame:
     return routed.drop(ROUTE)
 
 
-def attach_account_id(people: DataFrame, id_map: DataFrame | None) -> DataFrame:
+def attach_account_id(
+    people: DataFrame, id_map: DataFrame | None, keys_from: DataFrame | None = None
+) -> DataFrame:
     """App account id in ``AccountId`` becomes ``InputAccountId``, the CRM's id ``AccountId``.
 
     Unmatched rows are kept with a null ``AccountId``. While no account is synced, nothing
@@ -79,7 +87,7 @@ def attach_account_id(people: DataFrame, id_map: DataFrame | None) -> DataFrame:
     if id_map is None or "AccountId" not in people.columns:
         return people
     lookup = _account_lookup(id_map).withColumnRenamed("AccountId", "__account")
-    joined = lookup_join(people, lookup, "AccountId", "__account")
+    joined = lookup_join(people, lookup, "AccountId", "__account", keys_from=keys_from)
     none_synced = synced_accounts(id_map).limit(1).agg(F.count("*") == 0).scalar()
     names = [c for c in people.columns if c != "InputAccountId"]
     attached = [
@@ -96,7 +104,7 @@ def resolve_sf_account(df: DataFrame, id_map: DataFrame | None) -> DataFrame:
     if id_map is None or "AccountId" not in df.columns:
         return df
     sides = rename_id_map(id_map, "accountId", "salesforce_account_id")
-    lookup = unique_lookup(sides, "salesforce_account_id", ["accountId"])
+    lookup = unique_lookup(sides, "salesforce_account_id", ["accountId"], _line(id_map))
     return lookup_join(df.drop("accountId"), lookup, "AccountId", "salesforce_account_id")
 
 

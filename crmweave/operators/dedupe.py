@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,9 +21,14 @@ def drop_sent(
     sent: DataFrame | None,
     changed: DataFrame | None = None,
     materialise: Materialise = stay_lazy,
+    unique: bool = False,
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
     """Keep rows whose ``externalId`` was never sent, or is in ``changed``.
 
+    ``unique`` says that ``df`` has one row per id, ``keys_from`` is a frame with the same
+    ``externalId`` and a cheaper plan.
+
     Ids that were sent and did not change are taken out of the id map first, so the wide
     rows go through one join. With ``materialise`` and an id map too large to broadcast, the
     ids that are due are found first: most runs send little of what they read, and then the
@@ -37,11 +44,12 @@ def drop_sent(
     if changed is not None:
         settled = anti_join(settled, changed, "InputId", EXTERNAL_ID)
     if materialise is stay_lazy or fits_broadcast(settled):
-        return anti_join(df, settled, EXTERNAL_ID, "InputId")
+        return anti_join(df, settled, EXTERNAL_ID, "InputId", unique, keys_from)
     ids = df.select(named(EXTERNAL_ID).cast("string").alias("__due")).where("__due IS NOT NULL")
     due = anti_join(ids.distinct(), settled, "__due", "InputId", unique=True)
     due = materialise(due, "due")
-    marked = lookup_join(df, due.withColumn("__is_due", F.lit(True)), EXTERNAL_ID, "__due")
+    is_due = due.withColumn("__is_due", F.lit(True))
+    marked = lookup_join(df, is_due, EXTERNAL_ID, "__due", unique, keys_from)
     return marked.where(f"__is_due OR {EXTERNAL_ID} IS NULL").drop("__is_due")
 
 
@@ -68,20 +76,31 @@ def detect_changed(df: DataFrame, stored: DataFrame | None, pk: str = EXTERNAL_I
     return joined.where(~F.col(HASH).eqNullSafe(F.col("__stored"))).drop("__stored")
 
 
-def latest_per_key(df: DataFrame, pk: str, order_by: str | None = None) -> DataFrame:
+def latest_per_key(
+    df: DataFrame, pk: str, order_by: str | None = None, materialise: Materialise = stay_lazy
+) -> DataFrame:
     """One row per key: the last by ``order_by``, ties by content, without ``order_by``.
 
-    Keyless rows stay, save exact copies. ``max_by`` combines copies before the shuffle.
+    All keyless rows stay. With ``materialise``, keys are counted first, on the key column
+    alone, and only rows of repeated keys are compared; the others pass as they are.
     """
+    kept = [quoted(c) for c in df.columns if c != order_by]
+    keyed, keyless = df.where(named(pk).isNotNull()), df.where(named(pk).isNull())
+    once = None
+    if materialise is not stay_lazy:
+        counts = keyed.groupBy(id_as_text(named(pk)).alias("__again")).count().where("count > 1")
+        again = materialise(counts.select("__again"), "repeated")
+        if fits_broadcast(again):
+            once = anti_join(keyed, again, pk, "__again")
+            keyed = keyed.join(F.broadcast(again), id_as_text(named(pk)) == F.col("__again"), "left_semi")
     content = content_hash(df)
     order = F.struct(named(order_by), content) if order_by else content
-    keyless = F.when(named(pk).isNull(), content)
     row = F.expr(f"struct({', '.join(map(quoted, df.columns))})")
-    picked = df.groupBy(named(pk).alias("__pk"), keyless.alias("__keyless")).agg(
-        F.max_by(row, order).alias("__row")
-    )
-    kept = [quoted(c) for c in df.columns if c != order_by]
-    return picked.selectExpr(*[f"__row.{c} AS {c}" for c in kept])
+    picked = keyed.groupBy(named(pk).alias("__pk")).agg(F.max_by(row, order).alias("__row"))
+    parts = [picked.selectExpr(*[f"__row.{c} AS {c}" for c in kept]), keyless.selectExpr(*kept)]
+    if once is not None:
+        parts.append(once.selectExpr(*kept))
+    return reduce(DataFrame.unionAll, parts)
 
 
 def upsert_snapshot(

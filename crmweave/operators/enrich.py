@@ -9,18 +9,26 @@ from pyspark.sql import types as T
 from crmweave.functions.text import id_as_text, list_ids_sql, named, owner_full_name
 from crmweave.operators.filters import drop_archived
 from crmweave.operators.lookup import fits_broadcast, lookup_join, unique_lookup
+from crmweave.sources.lines import LINE
 
 OWNER_COLUMNS = ["crmOwnerName", "crmOwnerEmail"]
 MEMBERSHIPS = "_hg_list_memberships"
 DETAILS = "crmListMembershipDetails"
 
-# A list table up to this estimate is inlined as a constant; above it, ids are joined.
-INLINE_LIST_BYTES = 1 << 20
+# A list table up to this estimate, and of so many rows, is inlined as a constant; above
+# either, ids are joined.
+INLINE_LIST_BYTES, INLINE_LIST_ROWS = 1 << 20, 20_000
 _BUCKETS = 1024
 
 
+def _order(df: DataFrame, order_by: str | None) -> str | None:
+    """The column that says which row is last; a source's line position where none is given."""
+    return order_by or (LINE if LINE in df.columns else None)
+
+
 def owner_lookup(owners: DataFrame, order_by: str | None = None) -> DataFrame:
     """Owners that are not archived, as ``(owner_key, crmOwnerName, crmOwnerEmail)``."""
+    order_by = _order(owners, order_by)
     if "id" not in owners.columns:
         raise ValueError("id column is required in owners")
     active = drop_archived(owners)
@@ -41,6 +49,7 @@ def owner_lookup(owners: DataFrame, order_by: str | None = None) -> DataFrame:
 
 def list_lookup(lists: DataFrame, order_by: str | None = None) -> DataFrame:
     """``(listId, name)`` as text, both present; the last row wins."""
+    order_by = _order(lists, order_by)
     extra = [named(order_by)] if order_by else []
     filled = lists.select(
         id_as_text(named("listId")).alias("listId"),
@@ -52,6 +61,7 @@ def list_lookup(lists: DataFrame, order_by: str | None = None) -> DataFrame:
 
 def account_lookup(id_map: DataFrame, order_by: str | None = None) -> DataFrame:
     """``(InputId, RemoteId)`` as text, both present; the last row wins."""
+    order_by = _order(id_map, order_by)
     extra = [named(order_by)] if order_by else []
     filled = id_map.select(
         id_as_text(named("InputId")).alias("InputId"),
@@ -88,13 +98,20 @@ def enrich_list_memberships(
     df = df.drop(DETAILS)
     if lookup is None:
         return df.withColumn(DETAILS, _details(ids, "''")).drop(MEMBERSHIPS)
-    if fits_broadcast(lookup, INLINE_LIST_BYTES):
+    if _inlinable(lookup):
         names = df.withColumn("__names", _bucketed_names(lookup))
         details = _details(ids, f"coalesce(get(__names, {_bucket('i')})[i], '')")
         return names.withColumn(DETAILS, details).drop("__names", MEMBERSHIPS)
     return _join_list_names(df, ids, lookup, df if keys_from is None else keys_from).drop(MEMBERSHIPS)
 
 
+def _inlinable(lookup: DataFrame) -> bool:
+    """The estimate is of compressed files, so rows are counted too, as far as the limit."""
+    if not fits_broadcast(lookup, INLINE_LIST_BYTES):
+        return False
+    return lookup.limit(INLINE_LIST_ROWS + 1).count() <= INLINE_LIST_ROWS
+
+
 def _details(ids: str, name: str) -> Column:
     return F.expr(f"transform({ids}, i -> struct(i AS id, {name} AS name))")
 
@@ -119,7 +136,9 @@ def _join_list_names(
     df: DataFrame, ids: str, lookup: DataFrame, keys_from: DataFrame
 ) -> DataFrame:
     """Resolve every distinct membership value once, then join the answers back to the rows."""
-    text = F.expr(f"cast({MEMBERSHIPS} AS string)")
+    # Text of its own for every value: an array as text alone would let ['1, 2'] meet ['1', '2'].
+    is_text = isinstance(df.schema[MEMBERSHIPS].dataType, T.StringType)
+    text = F.col(MEMBERSHIPS) if is_text else F.to_json(MEMBERSHIPS)
     keyed = keys_from.withColumn("__on", text)
     distinct = keyed.where(f"{MEMBERSHIPS} IS NOT NULL").groupBy(F.col("__on").alias("__text")).agg(
         F.any_value(MEMBERSHIPS).alias(MEMBERSHIPS)

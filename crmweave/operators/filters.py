@@ -20,9 +20,11 @@ REJECTION_COLUMN = "rejectionReason"
 
 
 def truthy_flag(c: Column, dtype: T.DataType) -> Column:
-    """Flag of any type as a boolean, null as false."""
+    """Flag of any type as a boolean, null and NaN as false."""
     if isinstance(dtype, T.StringType):
         return F.coalesce(F.lower(strip(c)).isin(TRUE_WORDS), F.lit(False))
+    if isinstance(dtype, (T.DoubleType, T.FloatType)):
+        c = F.nanvl(c, F.lit(0).cast(dtype))
     return F.coalesce(c.cast("boolean"), F.lit(False))
 
 

@@ -6,8 +6,8 @@ and nothing is shuffled. Otherwise the record side is prepared for the shuffle:
 
 * the ``HOT_KEYS`` most frequent keys are found with ``approx_top_k`` (one narrow pass over
   the key column, bounded sketches, no shuffle of keys) and joined by broadcast;
-* rows already joined, and rows without a key, take part in the shuffle join under keys that
-  match nothing, spread over ``SPREAD`` values, so they land evenly on all tasks.
+* rows already joined, and rows without a key, take part in the shuffle join as rows that
+  match nothing, under keys spread over ``SPREAD`` values, so they land evenly on all tasks.
 
 The result does not depend on which keys the sketch reports: a key is only left out of the
 shuffle join after the broadcast side has answered for it. What skew is left below those
@@ -16,11 +16,16 @@ keys is split by AQE's skew join, which the plain exchange under the join allows
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crmweave.functions.jsontext import quoted
 from crmweave.functions.text import id_as_text, named
+from crmweave.jvm import broadcast_threshold, estimated_bytes
 
 HOT_KEYS = 1000
 TRACKED_KEYS = 4096
@@ -32,20 +37,26 @@ _HOT = "__hot"
 _HIT = "__hit"
 _HOT_HIT = "__hot_hit"
 _MEMBER = "__member"
+_JOINABLE = "__joinable"
+
+_LARGE: ContextVar[bool] = ContextVar("large_lookups", default=False)
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of the optimised plan."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+@contextmanager
+def large_lookups() -> Iterator[None]:
+    """Frames built inside take every lookup as too large to broadcast or inline."""
+    token = _LARGE.set(True)
+    try:
+        yield
+    finally:
+        _LARGE.reset(token)
 
 
 def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
     """Whether the planner will take ``df`` for a broadcast under the session's threshold."""
-    conf = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    if conf.startswith("-"):
+    threshold = -1 if _LARGE.get() else broadcast_threshold(df.sparkSession)
+    if threshold < 0:
         return False
-    jvm = df.sparkSession._jvm
-    threshold = jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(conf)
     return estimated_bytes(df) <= (threshold if limit is None else min(threshold, limit))
 
 
@@ -86,10 +97,17 @@ def _hot_keys(facts: DataFrame, key: Column) -> DataFrame:
     )
 
 
-def _spread_key(key: Column, joinable: Column, row: Column) -> Column:
-    """Join key of the shuffle; the two prefixes keep real and filler keys apart."""
-    filler = F.concat(F.lit("!"), F.pmod(row, F.lit(SPREAD)).cast("string"))
-    return F.when(joinable, F.concat(F.lit("="), key)).otherwise(filler)
+def _spread(facts: DataFrame, key: Column) -> DataFrame:
+    """Add the key of the shuffle, and whether the row may match at all.
+
+    The lookup's key goes into the shuffle as it is, so an exchange that reduced it to one row
+    per key serves the join too. A filler key may equal a real one: such a row is not joinable.
+    """
+    filler = F.pmod(_row_hash(facts), F.lit(SPREAD)).cast("string")
+    joinable = key.isNotNull() & F.col(_HOT).isNull()
+    return facts.withColumns(
+        {_KEY: F.when(joinable, key).otherwise(filler), _JOINABLE: F.coalesce(joinable, F.lit(False))}
+    )
 
 
 def _row_hash(facts: DataFrame) -> Column:
@@ -114,62 +132,51 @@ def lookup_join(
     the same ``on`` column but a cheaper plan, for finding hot keys in a chain of joins.
     """
     values = [c for c in lookup.columns if c != key]
-    lookup = lookup.selectExpr(f"cast({quoted(key)} AS string) AS {_KEY}", *map(quoted, values))
+    lookup = lookup.selectExpr(f"cast({quoted(key)} AS string) AS {_MEMBER}", *map(quoted, values))
     fact_key = id_as_text(named(on))
 
     if unique or fits_broadcast(lookup):
-        return facts.join(lookup, fact_key == F.col(_KEY), "left").drop(_KEY)
+        return facts.join(lookup, fact_key == F.col(_MEMBER), "left").drop(_MEMBER)
 
     kept = [quoted(c) for c in facts.columns]
+    hit = F.struct(*[named(v) for v in values])
     hot_keys = _hot_keys(facts if keys_from is None else keys_from, fact_key)
-    hot = F.broadcast(_hot_answers(hot_keys, lookup, values))
-    facts = facts.join(hot, fact_key == F.col(_HOT), "left")
-    facts = facts.withColumn(
-        _KEY,
-        _spread_key(fact_key, fact_key.isNotNull() & F.col(_HOT).isNull(), _row_hash(facts)),
-    )
-    cold = lookup.where(F.col(_KEY).isNotNull()).select(
-        F.concat(F.lit("="), F.col(_KEY)).alias(_KEY), F.struct(*[named(v) for v in values]).alias(_HIT)
+    # At most HOT_KEYS rows. The sketch is referenced once, so "hot" and "has an answer" agree.
+    hot = hot_keys.join(lookup, F.col(_HOT) == F.col(_MEMBER), "left").select(
+        _HOT, F.when(F.col(_MEMBER).isNotNull(), hit).alias(_HOT_HIT)
     )
-    joined = facts.join(cold, _KEY, "left")
+    facts = _spread(facts.join(F.broadcast(hot), fact_key == F.col(_HOT), "left"), fact_key)
+    cold = lookup.where(F.col(_MEMBER).isNotNull()).select(_MEMBER, hit.alias(_HIT))
+    joined = facts.join(cold, (F.col(_KEY) == F.col(_MEMBER)) & F.col(_JOINABLE), "left")
     answers = [
         f"coalesce({_HIT}, {_HOT_HIT}).{quoted(v)} AS {quoted(v)}" for v in values
     ]
     return joined.selectExpr(*kept, *answers)
 
 
-def _hot_answers(hot_keys: DataFrame, lookup: DataFrame, values: list[str]) -> DataFrame:
-    """The hot keys with their lookup rows, if any: at most ``HOT_KEYS`` rows.
-
-    The sketch is referenced once, so "hot" and "has an answer" cannot disagree.
-    """
-    hit = F.when(F.col(_KEY).isNotNull(), F.struct(*[named(v) for v in values]))
-    joined = hot_keys.join(lookup, F.col(_HOT) == F.col(_KEY), "left")
-    return joined.select(_HOT, hit.alias(_HOT_HIT))
-
-
 def anti_join(
-    facts: DataFrame, keys: DataFrame, on: str, key: str, unique: bool = False
+    facts: DataFrame,
+    keys: DataFrame,
+    on: str,
+    key: str,
+    unique: bool = False,
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
     """Rows of ``facts`` whose key, as text, is not in ``keys``; null keys are kept.
 
-    ``unique`` says that ``facts`` has one row per key.
+    ``unique`` and ``keys_from`` as in ``lookup_join``; ``keys`` may repeat.
     """
-    keys = keys.select(id_as_text(named(key)).alias(_KEY))
-    if fits_broadcast(keys):
-        return facts.join(keys, id_as_text(named(on)) == F.col(_KEY), "left_anti")
-    marked = keys.where(F.col(_KEY).isNotNull()).distinct().withColumn(_MEMBER, F.lit(True))
-    return (
-        lookup_join(facts, marked, on, _KEY, unique=unique)
-        .where(F.col(_MEMBER).isNull())
-        .drop(_MEMBER)
+    keys = keys.select(id_as_text(named(key)).alias(_MEMBER))
+    fact_key = id_as_text(named(on))
+    if unique or fits_broadcast(keys):
+        return facts.join(keys, fact_key == F.col(_MEMBER), "left_anti")
+    kept = [quoted(c) for c in facts.columns]
+    hot_keys = _hot_keys(facts if keys_from is None else keys_from, fact_key)
+    # At most HOT_KEYS rows, each with whether it is a member.
+    hot = hot_keys.join(keys, F.col(_HOT) == F.col(_MEMBER), "left").groupBy(_HOT).agg(
+        F.bool_or(F.col(_MEMBER).isNotNull()).alias(_HOT_HIT)
     )
-
-
-def semi_join(facts: DataFrame, keys: DataFrame, on: str, key: str) -> DataFrame:
-    """Rows of ``facts`` whose key, as text, is in ``keys``."""
-    keys = keys.select(id_as_text(named(key)).alias(_KEY))
-    if fits_broadcast(keys):
-        return facts.join(keys, id_as_text(named(on)) == F.col(_KEY), "left_semi")
-    marked = keys.where(F.col(_KEY).isNotNull()).distinct().withColumn(_MEMBER, F.lit(True))
-    return lookup_join(facts, marked, on, _KEY).where(_MEMBER).drop(_MEMBER)
+    marked = facts.join(F.broadcast(hot), fact_key == F.col(_HOT), "left")
+    left = _spread(marked.where(F.col(_HOT_HIT).isNull() | ~F.col(_HOT_HIT)), fact_key)
+    joined = left.join(keys, (F.col(_KEY) == F.col(_MEMBER)) & F.col(_JOINABLE), "left_anti")
+    return joined.selectExpr(*kept)

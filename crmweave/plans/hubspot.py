@@ -99,15 +99,19 @@ def prepare_lookups(
     owners: DataFrame | None = None,
     lists: DataFrame | None = None,
     accounts: DataFrame | None = None,
+    materialise: Materialise = stay_lazy,
 ) -> Lookups:
     """From the owner and list streams and the company id map.
 
-    Each may be absent; one that lacks its columns counts as absent.
+    Each may be absent; one that lacks its columns counts as absent. With ``materialise`` each
+    is reduced to one row per key once, for all streams of the read.
     """
     return Lookups(
-        owner_lookup(owners) if _has(owners, "id") else None,
-        list_lookup(lists) if _has(lists, "listId", "name") else None,
-        account_lookup(accounts) if _has(accounts, "InputId", "RemoteId") else None,
+        materialise(owner_lookup(owners), "owners") if _has(owners, "id") else None,
+        materialise(list_lookup(lists), "lists") if _has(lists, "listId", "name") else None,
+        materialise(account_lookup(accounts), "accounts")
+        if _has(accounts, "InputId", "RemoteId")
+        else None,
     )
 
 
@@ -145,10 +149,13 @@ def output_name(stream: str, stream_names: dict[str, str]) -> str:
 
 
 def read(
-    streams: dict[str, DataFrame], stream_names: dict[str, str], accounts: DataFrame | None
+    streams: dict[str, DataFrame],
+    stream_names: dict[str, str],
+    accounts: DataFrame | None,
+    materialise: Materialise = stay_lazy,
 ) -> dict[str, DataFrame]:
     """Contacts and companies among the streams, enriched and wrapped, by output stream."""
-    lookups = prepare_lookups(streams.get("owners"), streams.get("lists"), accounts)
+    lookups = prepare_lookups(streams.get("owners"), streams.get("lists"), accounts, materialise)
     return {
         output_name(name, stream_names): read_stream(streams[name], name, lookups)
         for name in READ_STREAMS

@@ -55,7 +55,7 @@ def contacts_write(
     accounts: DataFrame | None,
     sent: dict[str, DataFrame] | None = None,
     snapshots: dict[str, DataFrame] | None = None,
-    dynamic_contact_mapping: bool = True,
+    dynamic_contact_mapping: bool = False,
     order_by: str | None = None,
     unique_ids: bool = False,
     materialise: Materialise = stay_lazy,
@@ -70,7 +70,8 @@ def contacts_write(
     """
     if dynamic_contact_mapping:
         routed = route_contacts(contacts, accounts, keep_remote=True)
-        routed = routed.where(F.col(ROUTE) != HELD)
+        # Read and joined once for both objects.
+        routed = materialise(routed.where(F.col(ROUTE) != HELD), "contacts.routed")
     else:
         routed = contacts.withColumn(ROUTE, F.lit(CONTACT))
     result = WriteResult()
@@ -86,7 +87,7 @@ def contacts_write(
         keep = ([order_by] if order_by else []) + ([REMOTE] if linked else [])
         mapped = map_stream(people, stream, mapping, tuple(keep))
         batch = mapped.drop(order_by or "") if unique_ids else (
-            latest_per_key(mapped, EXTERNAL_ID, order_by)
+            latest_per_key(mapped, EXTERNAL_ID, order_by, materialise)
         )
         batch = materialise(batch, f"{stream}.batch")
         if materialise is not stay_lazy and batch.isEmpty():
@@ -101,10 +102,14 @@ def contacts_write(
         if old is not None:
             # The batch counts as changed, so only rows carried over can be dropped as sent.
             # A lazy plan takes the batch's ids before its rows are reduced to one per id.
+            # Stored rows have one id each, so only their accounts can be hot.
             carried = carried_over(old, mapped if materialise is stay_lazy else batch)
-            unsent = drop_sent(carried, (sent or {}).get(stream), materialise=materialise)
+            carried = materialise(carried, f"{stream}.carried")
+            unsent = drop_sent(
+                carried, (sent or {}).get(stream), materialise=materialise, unique=True
+            )
             if stream == CONTACT:
-                unsent = attach_account_id(unsent, accounts)
+                unsent = attach_account_id(unsent, accounts, keys_from=old)
             merged = carried.unionByName(rows, allowMissingColumns=True)
             pending = unsent.unionByName(pending, allowMissingColumns=True)
         out = select_output(pending, rows.columns)

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from crmweave.jvm import checkpoint_dir
+
 # Writes an intermediate table and returns it as read back.
 Materialise = Callable[[DataFrame, str], DataFrame]
 
@@ -33,11 +36,14 @@ def prepare_session(spark: SparkSession) -> SparkSession:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path for a written intermediate table.
 
-    On a cluster this lies in the shared folder named by ``spark.checkpoint.dir``; only
-    where that is unset (local runs, tests) is a temporary folder of this machine used.
+    On a cluster this lies in the shared folder named by ``spark.checkpoint.dir``, which must
+    be set there; where all of Spark runs in one process, this machine's temporary folder will do.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    root = shared or os.path.join(tempfile.gettempdir(), "crmweave")
+    root = spark.conf.get("spark.checkpoint.dir", None) or checkpoint_dir(spark)
+    if not root and re.match(r"local(\[|$)", spark.conf.get("spark.master", "")):
+        root = os.path.join(tempfile.gettempdir(), "crmweave")
+    if not root:
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 

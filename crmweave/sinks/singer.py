@@ -23,17 +23,44 @@ JsonColumns = dict[str, str]
 def singer_records(df: DataFrame, stream: str, json_columns: JsonColumns | None = None) -> DataFrame:
     """One RECORD line per row as ``line``; null top-level fields are left out.
 
-    JSON text columns are embedded as they are, so nulls inside them stay.
+    JSON text columns are embedded as they are, so nulls inside them stay. JSON has no
+    decimals, so those leave as text, with all their digits.
     """
     embedded = list(json_columns or {})
-    plain = [quoted(c) for c in df.columns if c not in embedded]
-    record = F.expr(f"to_json(struct({', '.join(plain)}))") if plain else F.lit("{}")
+    plain = [
+        f"{_decimals_as_text(quoted(f.name), f.dataType)} AS {quoted(f.name)}"
+        for f in df.schema.fields
+        if f.name not in embedded
+    ]
+    record = F.lit("{}")
+    if plain:
+        record = F.expr(f"to_json(struct({', '.join(plain)}), map('ignoreNullFields', 'true'))")
     for name in reversed(embedded):
         record = splice(name, named(name), record)
     head = f'{{"type":"RECORD","stream":{json.dumps(stream, ensure_ascii=False)},"record":'
     return df.select(F.concat(F.lit(head), record, F.lit("}")).alias("line"))
 
 
+def _decimals_as_text(value: str, dtype: T.DataType, depth: int = 0) -> str:
+    """SQL of a value with every decimal in it as text."""
+    if isinstance(dtype, T.DecimalType):
+        return f"cast({value} AS string)"
+    if "decimal" not in dtype.simpleString():
+        return value
+    if isinstance(dtype, T.ArrayType):
+        x = f"x{depth}"
+        return f"transform({value}, {x} -> {_decimals_as_text(x, dtype.elementType, depth + 1)})"
+    if isinstance(dtype, T.MapType):
+        k, v = f"k{depth}", f"v{depth}"
+        inner = _decimals_as_text(v, dtype.valueType, depth + 1)
+        return f"transform_values({value}, ({k}, {v}) -> {inner})"
+    fields = ", ".join(
+        f"{_decimals_as_text(f'{value}.{quoted(f.name)}', f.dataType, depth)} AS {quoted(f.name)}"
+        for f in dtype.fields
+    )
+    return f"CASE WHEN {value} IS NOT NULL THEN struct({fields}) END"
+
+
 def _column_types(dtype: T.DataType, json_type: str | None) -> list[str]:
     types = list(SCALAR_TYPES)
     if isinstance(dtype, (T.StructType, T.MapType)) or json_type == "object":

@@ -1,40 +1,76 @@
-"""Keyed state between runs: every run writes a new version, readers take the last whole one."""
+"""Keyed state between runs: each run writes new tables, and one pointer makes them all count."""
 
 from __future__ import annotations
 
+import json
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from crmweave.jvm import delete_path, glob_paths
 
-from crmweave.sources.files import glob_paths
+_COMMITS, _COMMIT, _TABLE = "_commits", "commit=", "table="
 
-_VERSION = "version="
+# So many commits keep their tables; readers of an older one have to start again.
+KEPT_COMMITS = 3
 
 
 class SnapshotStore:
-    """Versioned parquet tables under one root on shared storage.
+    """Parquet tables under one root on shared storage, and the commits that name them.
 
-    A plan that reads version N writes version N+1, never what it reads. The job's success
-    marker commits a version; one that a lost run left half written is ignored.
+    A run writes tables under names of its own, never over what it reads, and then one commit,
+    a file that says which table is the state of which name. Without its commit a run has left
+    no trace. Two runs that start from one commit cannot both commit: the second one fails.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.base = self._latest()
+        self.tables = self._read_commit(self.base)
+
+    def _commit_path(self, number: int) -> str:
+        return f"{self.root}/{_COMMITS}/{_COMMIT}{number:08d}"
+
+    def _numbers(self) -> list[int]:
+        marks = glob_paths(self.spark, f"{self.root}/{_COMMITS}/{_COMMIT}*/_SUCCESS")
+        return sorted(int(m.rsplit("/", 2)[1].removeprefix(_COMMIT)) for m in marks)
 
-    def latest_version(self, name: str) -> int | None:
-        marks = glob_paths(self.spark, f"{self.root}/{name}/{_VERSION}*/_SUCCESS")
-        versions = [int(m.rsplit("/", 2)[1].removeprefix(_VERSION)) for m in marks]
-        return max(versions, default=None)
+    def _latest(self) -> int:
+        return max(self._numbers(), default=0)
 
-    def _path(self, name: str, version: int) -> str:
-        return f"{self.root}/{name}/{_VERSION}{version:08d}"
+    def _read_commit(self, number: int) -> dict[str, str]:
+        if not number:
+            return {}
+        return json.loads(self.spark.read.text(self._commit_path(number)).first()[0])
 
     def read(self, name: str) -> DataFrame | None:
-        """The last committed version, or None."""
-        version = self.latest_version(name)
-        return None if version is None else self.spark.read.parquet(self._path(name, version))
-
-    def write(self, name: str, df: DataFrame) -> DataFrame:
-        """Write the next version and return it as read from storage."""
-        path = self._path(name, (self.latest_version(name) or 0) + 1)
-        df.write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path)
+        """The state that the commit at the run's start names, or None."""
+        table = self.tables.get(name)
+        return None if table is None else self.spark.read.parquet(f"{self.root}/{name}/{table}")
+
+    def write(self, name: str, df: DataFrame) -> str:
+        """Write a table that no commit names yet."""
+        table = f"{_TABLE}{self.base + 1:08d}-{uuid.uuid4().hex}"
+        df.write.parquet(f"{self.root}/{name}/{table}")
+        return table
+
+    def commit(self, tables: dict[str, str]) -> None:
+        """Make the tables the state of their names, all at once; other names keep theirs."""
+        number = self.base + 1
+        line = F.lit(json.dumps({**self.tables, **tables})).alias("value")
+        # Fails if there is such a commit already.
+        self.spark.range(0, 1, 1, 1).select(line).write.text(self._commit_path(number))
+        self.base, self.tables = number, {**self.tables, **tables}
+        self._retire()
+
+    def _retire(self) -> None:
+        """Delete commits beyond ``KEPT_COMMITS``, and the tables that only they name."""
+        numbers = self._numbers()
+        old, kept = numbers[:-KEPT_COMMITS], numbers[-KEPT_COMMITS:]
+        needed = {item for n in kept for item in self._read_commit(n).items()}
+        for number in old:
+            for name, table in set(self._read_commit(number).items()) - needed:
+                delete_path(self.spark, f"{self.root}/{name}/{table}")
+            delete_path(self.spark, self._commit_path(number))

@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from crmweave.functions.jsontext import is_json_sql
 from crmweave.functions.text import strip
-from crmweave.sources.files import glob_paths
+from crmweave.jvm import matches
+from crmweave.session import scratch_path
+from crmweave.sources.lines import LINE, parquet_line
 
 logger = logging.getLogger(__name__)
 
@@ -27,30 +31,42 @@ _STRICT = {"allowSingleQuotes": "false"}
 def stream_paths(
     spark: SparkSession, input_dir: str, stream: str, extensions: list[str]
 ) -> list[str]:
-    """Files of a stream: the exact name, and names with a ``-`` suffix."""
-    found: set[str] = set()
-    for ext in extensions:
-        found.update(glob_paths(spark, f"{input_dir}/{stream}{ext}"))
-        if ext:
-            found.update(glob_paths(spark, f"{input_dir}/{stream}-*{ext}"))
-    return sorted(found)
+    """Globs of a stream that match files: the exact name, and names with a ``-`` suffix.
+
+    The reader expands them, so the files of a stream are never listed through Python.
+    """
+    globs = [f"{input_dir}/{stream}{ext}" for ext in extensions]
+    globs += [f"{input_dir}/{stream}-*{ext}" for ext in extensions if ext]
+    return sorted(g for g in globs if matches(spark, g))
 
 
 def scan_stream(
-    spark: SparkSession, input_dir: str, stream: str, schema: Schema | None = None
+    spark: SparkSession,
+    input_dir: str,
+    stream: str,
+    schema: Schema | None = None,
+    with_line: bool = False,
+    scratch: Callable[[str], str] | None = None,
 ) -> DataFrame:
     """All files of a stream as one frame; parquet wins over record files.
 
-    Record files need a schema for typed columns; without one they give a single ``record``
-    column of JSON text. A stream without files gives no rows.
+    Without a schema, the columns of record files are inferred from all their records, which
+    are written once, under ``scratch(label)``, for that. ``with_line`` adds the position of
+    parquet rows, for "the last row wins". A stream without files gives no rows.
     """
     files = stream_paths(spark, input_dir, stream, [PARQUET_EXTENSION])
     if files:
         reader = spark.read.schema(schema) if schema else spark.read.option("mergeSchema", True)
-        return reader.parquet(*files)
+        rows = reader.parquet(*files)
+        return rows.withColumn(LINE, parquet_line()) if with_line else rows
     files = stream_paths(spark, input_dir, stream, RECORD_EXTENSIONS)
     if files:
-        return parse_records(spark.read.text(files), stream, schema)
+        records = parse_records(spark.read.text(files), stream, schema)
+        if schema is not None:
+            return records
+        path = scratch(stream) if scratch else scratch_path(spark, stream)
+        records.write.text(path)
+        return spark.read.options(**_STRICT).json(path)
     logger.warning("no file for stream %r in %s", stream, input_dir)
     return spark.createDataFrame([], schema or T.StructType([]))
 
@@ -70,11 +86,10 @@ def parse_records(
     skipped; any other object is itself a record.
     """
     text = strip(F.col(column))
-    # Inside brackets, a line with anything after its object is not one valid element.
     messages = F.from_json(F.concat(F.lit("["), text, F.lit("]")), _MESSAGES, _STRICT)
     parsed = (
         lines.select(text.alias("text"), messages.alias("messages"))
-        .where("startswith(text, '{') AND size(messages) = 1")
+        .where(f"startswith(text, '{{') AND {is_json_sql('text')} AND size(messages) = 1")
         .select("text", F.get("messages", F.lit(0)).alias("m"))
     )
     kind = F.coalesce(F.col("m.type"), F.lit(""))

@@ -67,9 +67,15 @@ def mapping_by_connector(configs: DataFrame) -> DataFrame:
     return _last_by(_two_parts(mapping_keys(configs)), F.col("connector"), "connector", "fields")
 
 
-def stream_names(configs: DataFrame) -> DataFrame:
-    """(tenant, flow, target, connector): the connector stream each target is written to."""
-    return _last_by(_two_parts(mapping_keys(configs)), F.col("target"), "target", "connector")
+def flow_mapping(configs: DataFrame, tenant: str, flow: str) -> dict[str, dict[str, str]]:
+    """One flow of one tenant as ``{"target/connector": {source field: target field}}``.
+
+    In document order, the form in which a run takes its mapping. Only that tenant's document
+    is parsed, and its keys are few.
+    """
+    keys = mapping_keys(configs.where(F.col("tenant") == tenant)).where(F.col("flow") == flow)
+    rows = sorted(keys.select("ord", "key", "fields").collect(), key=lambda r: r["ord"])
+    return {r["key"]: dict(r["fields"] or {}) for r in rows}
 
 
 def tenant_mapping(mapping: DataFrame, tenant: str, flow: str) -> dict[str, dict[str, str]]:
@@ -98,7 +104,10 @@ def stream_routing(available: DataFrame, configs: DataFrame, crm: str) -> DataFr
 
 
 def stream_names_with_order(configs: DataFrame) -> DataFrame:
-    """``stream_names`` with the position at which each target was first named."""
+    """(tenant, flow, target, connector): the connector stream each target is written to.
+
+    ``ord`` is the position at which the target was first named.
+    """
     keys = _two_parts(mapping_keys(configs))
     last = F.max_by(F.struct("connector"), "ord").alias("last")
     grouped = keys.groupBy("tenant", "flow", "target").agg(last, F.min("ord").alias("ord"))

@@ -39,6 +39,7 @@ def world(spark, tmp_path):
                 spark, str(tmp_path / "input"), str(tmp_path / "snapshots"), str(out), "F1", mapping
             )
             job(run, **options)
+            assert not (out / "_scratch").exists()
             written = {}
             for folder in sorted(out.iterdir()) if out.exists() else []:
                 lines = [
@@ -117,7 +118,7 @@ def test_salesforce_people_over_several_runs(world):
          ("3", "Lead", "q@Y.com", None), ("4", "Lead", None, " ")],
         schema,
     )
-    first = world.run(jobs.salesforce_write, SF_MAPPING)
+    first = world.run(jobs.salesforce_write, SF_MAPPING, dynamic_contact_mapping=True)
     assert first == {
         "Contact": [{"FirstName": "Linked", "Email": "l@x.com", "AccountId": "R1", "externalId": "1"}],
         "Lead": [
@@ -130,20 +131,20 @@ def test_salesforce_people_over_several_runs(world):
     world.acknowledge("Account", [("a1", "R1"), ("a2", "R2")])
     world.acknowledge("Lead", [("4", "L4")])
     world.stage("contacts", [("2", "Held", "h@x.com", "a2"), ("5", "New", "n@x.com", None)], schema)
-    second = world.run(jobs.salesforce_write, SF_MAPPING)
+    second = world.run(jobs.salesforce_write, SF_MAPPING, dynamic_contact_mapping=True)
     assert ids(second["Contact"]) == ["1", "2"] and ids(second["Lead"]) == ["3", "5"]
     assert {r["externalId"]: r["AccountId"] for r in second["Contact"]} == {"1": "R1", "2": "R2"}
     # A row of the batch is emitted even when it was acknowledged.
     world.acknowledge("Lead", [("3", "L3"), ("4", "L4"), ("5", "L5")])
-    third = world.run(jobs.salesforce_write, SF_MAPPING)
+    third = world.run(jobs.salesforce_write, SF_MAPPING, dynamic_contact_mapping=True)
     assert ids(third["Lead"]) == ["5"]
     # Without leads in the batch, leads still open are not sent again by this run.
     world.acknowledge("Lead", [("4", "L4")])
     world.stage("contacts", [("2", "Held", "h@x.com", "a2")], schema)
-    fourth = world.run(jobs.salesforce_write, SF_MAPPING)
+    fourth = world.run(jobs.salesforce_write, SF_MAPPING, dynamic_contact_mapping=True)
     assert list(fourth) == ["Contact"]
     world.stage("contacts", [("6", "New", "z@x.com", "")], schema)
-    assert ids(world.run(jobs.salesforce_write, SF_MAPPING)["Lead"]) == ["3", "5", "6"]
+    assert ids(world.run(jobs.salesforce_write, SF_MAPPING, dynamic_contact_mapping=True)["Lead"]) == ["3", "5", "6"]
 
 
 def test_people_are_conserved(world):
@@ -151,14 +152,14 @@ def test_people_are_conserved(world):
     people = [(str(i), "x", None, [None, "", "a1", "a2", "zz"][i % 5]) for i in range(100)]
     world.acknowledge("Account", [("a1", "R1"), ("a2", "R2")])
     world.stage("contacts", people, schema)
-    got = world.run(jobs.salesforce_write, SF_MAPPING)
+    got = world.run(jobs.salesforce_write, SF_MAPPING, dynamic_contact_mapping=True)
     assert (len(got["Contact"]), len(got["Lead"])) == (40, 40)
 
 
 def test_without_the_split_everyone_is_a_contact(world):
     world.stage("contacts", [("1", "A", "a@x.com", "a1"), ("2", "B", None, None)],
                 "id string, firstName string, email string, accountId string")
-    got = world.run(jobs.salesforce_write, SF_MAPPING, dynamic_contact_mapping=False)
+    got = world.run(jobs.salesforce_write, SF_MAPPING)
     assert list(got) == ["Contact"] and ids(got["Contact"]) == ["1", "2"]
     assert got["Contact"][0]["AccountId"] == "a1"
 
@@ -242,3 +243,71 @@ def test_plain_streams(world):
     assert world.run(lambda run: jobs.mapped_write(run, "tasks"), mapping) == {
         "Task": [{"externalId": "2"}]
     }
+
+
+def test_a_run_that_breaks_leaves_no_state(world, monkeypatch):
+    """Accounts are written before contacts; if those fail, the accounts count as not handled."""
+    schema = "id string, name string, domain string"
+    people = "id string, firstName string, email string, accountId string"
+    world.stage("accounts", [("1", "A", "a.com")], schema)
+    world.stage("contacts", [("7", "x", "x@x.com", None)], people)
+    world.run(jobs.salesforce_write, SF_MAPPING)
+    world.acknowledge("Account", [("1", "R1")])
+    world.stage("accounts", [("1", "B", "a.com")], schema)
+
+    def broken(*args, **options):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(jobs.salesforce, "contacts_write", broken)
+        with pytest.raises(RuntimeError):
+            world.run(jobs.salesforce_write, SF_MAPPING)
+    again = world.run(jobs.salesforce_write, SF_MAPPING)
+    assert again["Account"] == [{"Name": "B", "Website": "a.com", "externalId": "1"}]
+    assert "Account" not in world.run(jobs.salesforce_write, SF_MAPPING)
+
+
+def test_a_malformed_id_map_stops_a_write(world, tmp_path):
+    world.stage("contacts", [("1", "a@x")], "externalId string, email string")
+    (tmp_path / "snapshots" / "leads_F1.snapshot.csv").write_text("inputId,RemoteId\n1,M1\n")
+    with pytest.raises(ValueError):
+        world.run(jobs.marketo_write, {})
+    # A read may do without.
+    (tmp_path / "snapshots" / "accounts_F1.snapshot.csv").write_text("inputId,RemoteId\n1,M1\n")
+    world.stage("contacts", [("1", "a@x")], "id string, email string")
+    assert list(world.run(jobs.hubspot_read, {"contacts/contacts": {}})) == ["contacts"]
+
+
+def test_the_last_line_of_an_id_map_counts(world):
+    world.stage("contacts", [("1", "a@x", "7")], "id string, email string, associatedcompanyid string")
+    world.acknowledge("accounts", [("7", "zzz-old"), ("7", "aaa-new")])
+    got = world.run(jobs.hubspot_read, {"contacts/contacts": {}})
+    assert got["contacts"][0]["data"]["accountId"] == "aaa-new"
+
+
+def test_the_last_row_of_a_batch_counts(world):
+    rows = [("1", "zz", "1@x", None), ("1", "aa", "1@x", None)]
+    world.stage("contacts", rows, "id string, firstName string, email string, accountId string")
+    got = world.run(jobs.salesforce_write, {"contacts/Contact": {"firstName": "FirstName"}})
+    assert [r["FirstName"] for r in got["Contact"]] in (["aa"], ["zz"])  # two files: by file name
+
+
+def test_record_files_have_their_columns(world, tmp_path):
+    lines = ['{"id": "1", "email": "a@x"}', '{"id": "2", "email": "b@x", "age": 3}',
+             '{"id": "3", "email": "c@x"}] junk']
+    (tmp_path / "input" / "contacts-1.jsonl").write_text("\n".join(lines) + "\n")
+    got = world.run(jobs.hubspot_read, {"contacts/contacts": {}})["contacts"]
+    assert {r["sourceRecordId"]: r["data"]["age"] for r in got} == {"1": None, "2": 3}
+
+
+def test_a_run_from_a_tenant_document(spark, tmp_path):
+    document = {"about": {}, "crm": {"mapping": {"F1": {
+        "tasks/Task": {"title": "Subject"}, "other": {"a": "b"}}, "F2": {"x/Y": {}}}}}
+    configs = spark.createDataFrame([("t1", json.dumps(document)), ("t2", "{}")], "tenant string, config string")
+    (tmp_path / "in").mkdir()
+    spark.createDataFrame([("1", "a")], "id string, title string").write.parquet(str(tmp_path / "in" / "tasks.parquet"))
+    run = SyncRun.of_tenant(configs, "t1", "F1", str(tmp_path / "in"), str(tmp_path / "state"), str(tmp_path / "out"))
+    assert run.by_target["tasks"] == {"title": "Subject"} and run.stream_names == {"tasks": "Task"}
+    path = jobs.mapped_write(run, "tasks")
+    lines = [r.value for r in spark.read.text(f"{path}/1-records").collect()]
+    assert [json.loads(line)["record"] for line in lines] == [{"Subject": "a", "externalId": "1"}]

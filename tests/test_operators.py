@@ -1,12 +1,16 @@
 """Operators on small frames, expected values worked out by hand or by plain Python."""
 
 import json
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
+from crmweave.functions.cleaning import sanitize_record
+from crmweave.functions.jsontext import json_with_bools
 from crmweave.operators import accounts, dedupe, enrich, envelope, filters, mapping, nesting, reports
-from crmweave.session import write_table
+from crmweave.session import stay_lazy, write_table
+from crmweave.sinks.singer import singer_records
 
 
 def rows(df):
@@ -352,3 +356,37 @@ def test_sanitize_report(frame):
         ("a", "nonfinite"): 1, ("l", "comma_number"): 1, ("l", "nonfinite"): 1,
         ("s", "flagged_container"): 2,
     }
+
+
+def test_nan_is_no_flag(frame):
+    rows = [(1, float("nan")), (2, 1.0), (3, 0.0), (4, None)]
+    df = frame(rows, "n int, archived double")
+    assert [r.n for r in filters.drop_archived(df).orderBy("n").collect()] == [1, 3, 4]
+
+
+def test_no_infinite_number_leaves(spark, frame):
+    rows = [(1, float("inf"), [float("-inf"), 2.5]), (2, float("nan"), [1.0])]
+    cleaned = sanitize_record(frame(rows, "n int, v double, w array<double>")).orderBy("n").collect()
+    assert [(r.v, r.w) for r in cleaned] == [(None, [None, 2.5]), (None, [1.0])]
+
+
+@pytest.mark.parametrize("ignored", ["true", "false"])
+def test_json_does_not_depend_on_the_session(spark, frame, ignored):
+    setting = "spark.sql.jsonGenerator.ignoreNullFields"
+    df = frame([("True", None, Decimal("1.10"))], "a string, b string, c decimal(5,2)")
+    try:
+        spark.conf.set(setting, ignored)
+        line = singer_records(df, "s").first()[0]
+        words = df.select(json_with_bools(df.schema).alias("j")).first()[0]
+    finally:
+        spark.conf.unset(setting)
+    assert line == '{"type":"RECORD","stream":"s","record":{"a":"True","c":"1.10"}}'
+    assert words == '{"a":true,"b":null,"c":1.10}'
+
+
+def test_latest_per_key_keeps_all_keyless_rows(frame):
+    rows = [("1", "a", 1), ("1", "b", 2), ("2", "c", 1), (None, "d", 1), (None, "d", 1)]
+    df = frame(rows, "k string, v string, at int")
+    for materialise in (stay_lazy, write_table):
+        got = dedupe.latest_per_key(df, "k", "at", materialise).collect()
+        assert sorted((r.k or "", r.v) for r in got) == [("", "d"), ("", "d"), ("1", "b"), ("2", "c")]

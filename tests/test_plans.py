@@ -3,6 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
+from crmweave.operators.dedupe import drop_sent
+from crmweave.operators.lookup import large_lookups
 from crmweave.plans import hubspot, marketo, salesforce
 
 
@@ -31,7 +33,7 @@ def test_only_needed_columns_are_read(contacts):
     text = plan(hubspot.unsubscribe_requests(contacts))
     assert "ReadSchema: struct<email:string,globalUnsubscribe:string>" in text
     mapped = salesforce.contacts_write(
-        contacts, {"Lead": {"email": "Email"}}, None, unique_ids=True
+        contacts, {"Lead": {"email": "Email"}}, None, dynamic_contact_mapping=True, unique_ids=True
     ).records["Lead"]
     text = plan(mapped)
     assert "ReadSchema: struct<id:string,email:string,accountId:string>" in text
@@ -50,7 +52,50 @@ def test_small_lookups_are_broadcast(spark, contacts, tmp_path):
     text = plan(hubspot.contacts_write(contacts.withColumn("externalId", F.col("id")), id_map))
     assert "BroadcastHashJoin" in text and "LeftAnti" in text and "hashpartitioning" not in text
     routed = salesforce.contacts_write(
-        contacts, {"Contact": {"accountId": "AccountId"}}, id_map, unique_ids=True
+        contacts, {"Contact": {"accountId": "AccountId"}}, id_map,
+        dynamic_contact_mapping=True, unique_ids=True,
     ).records["Contact"]
     # One join finds both the route and the account's CRM id.
     assert plan(routed).count("BroadcastHashJoin") == 1
+
+
+def sized_out(df):
+    """Exchanges of the plan besides those of the hot-key sketch, and scans of a table."""
+    text = plan(df)
+    return text.count("Exchange hashpartitioning") - text.count("Exchange hashpartitioning(g#")
+
+
+def test_a_large_id_map_is_shuffled_once_per_side(spark, contacts, tmp_path):
+    path = str(tmp_path / "map")
+    spark.range(10).selectExpr("cast(id AS string) AS InputId", "'x' AS RemoteId").write.parquet(path)
+    with large_lookups():
+        unsent = drop_sent(contacts.withColumn("externalId", F.col("id")), spark.read.parquet(path))
+    # Facts and keys for the join, keys and hot keys for the hot answers, and the sketch's own.
+    assert sized_out(unsent) <= 5
+    assert plan(unsent).count("FileScan") <= 4
+
+
+def test_chained_joins_read_the_batch_once_each_way(spark, contacts, tmp_path):
+    """Contacts are read for their data and for hot keys, whatever is chained behind."""
+    path = str(tmp_path / "map")
+    spark.range(10).selectExpr("cast(id AS string) AS InputId", "'x' AS RemoteId").write.parquet(path)
+    id_map = spark.read.parquet(path)
+    old = contacts.selectExpr("id AS externalId", "email AS Email", "accountId AS AccountId")
+    old.write.parquet(str(tmp_path / "old"))
+    old = spark.read.parquet(str(tmp_path / "old"))
+    made = iter(range(100))
+
+    def written(df, label):
+        where = str(tmp_path / f"{label}{next(made)}")
+        df.write.parquet(where)
+        return spark.read.parquet(where)
+
+    with large_lookups():
+        result = salesforce.contacts_write(
+            contacts, {"Contact": {"email": "Email", "accountId": "AccountId"}}, id_map,
+            sent={"Contact": id_map}, snapshots={"Contact": old}, dynamic_contact_mapping=True,
+            materialise=written,
+        )
+    text = plan(result.records["Contact"])
+    assert f"{tmp_path}/contacts" not in text.replace("contacts.routed", "routed")
+    assert text.count("FileScan") <= 10

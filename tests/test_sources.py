@@ -1,5 +1,8 @@
 import json
 
+import pytest
+from pyspark.errors import AnalysisException
+
 from crmweave.session import scratch_path
 from crmweave.sinks.singer import observed_types, singer_records, singer_schema, write_singer
 from crmweave.sinks.snapshots import SnapshotStore
@@ -10,6 +13,8 @@ from crmweave.sources.streams import read_typed, scan_stream
 LINES = [
     ("", []),
     ("   ", []),
+    ('{"a":"junk"}] x', []),
+    ('{"type":"RECORD","stream":"s","record":{"a":"junk"}} ] x', []),
     ("not json", []),
     ("[1, 2]", []),
     ("5", []),
@@ -48,7 +53,7 @@ def test_record_files_of_every_name(spark, tmp_path):
     got = {r.a for r in scan_stream(spark, str(tmp_path), "s", "a string").collect()}
     assert got == {"s.singer", "s-1.json", "s-2.jsonl", "s"}
     raw = scan_stream(spark, str(tmp_path), "s").collect()
-    assert {json.loads(r.record)["a"] for r in raw} == got
+    assert {r.a for r in raw} == got
 
 
 def test_parquet_wins_and_schemas_merge(spark, tmp_path):
@@ -81,7 +86,9 @@ def test_id_maps_are_text_and_keep_their_order(spark, tmp_path):
     assert {r.InputId: r.RemoteId for r in account_lookup(lined, LINE).collect()} == {"007": "R2"}
     assert read_id_map(spark, str(tmp_path), "contacts", "f2") is None
     (tmp_path / "bad_f1.snapshot.csv").write_text("a,b\n1,2\n")
-    assert read_id_map(spark, str(tmp_path), "bad", "f1") is None
+    assert read_id_map(spark, str(tmp_path), "bad", "f1", malformed="absent") is None
+    with pytest.raises(ValueError):
+        read_id_map(spark, str(tmp_path), "bad", "f1")
 
 
 def test_tenant_configs(spark, tmp_path):
@@ -151,18 +158,29 @@ def test_written_stream_opens_with_its_schema(spark, tmp_path):
     assert [p.read_text() for p in (tmp_path / "empty").glob("*/part-*") if p.stat().st_size] == []
 
 
-def test_snapshots_are_versioned(spark, tmp_path):
+def test_snapshots_count_once_committed(spark, tmp_path):
     store = SnapshotStore(spark, str(tmp_path))
     assert store.read("a") is None
-    store.write("a", spark.range(3))
-    grown = store.read("a").unionByName(spark.range(3, 5))
-    assert store.write("a", grown).count() == 5
-    half = tmp_path / "a" / "version=00000003"
-    half.mkdir()
-    (half / "part-0.parquet").write_text("lost run")
-    assert store.latest_version("a") == 2 and store.read("a").count() == 5
-    store.write("a", spark.range(1))
-    assert store.latest_version("a") == 3 and store.read("a").count() == 1
+    tables = {"a": store.write("a", spark.range(3)), "b": store.write("b", spark.range(1))}
+    assert SnapshotStore(spark, str(tmp_path)).read("a") is None
+    store.commit(tables)
+    one, two = (SnapshotStore(spark, str(tmp_path)) for _ in range(2))
+    assert one.read("a").count() == 3 and one.read("b").count() == 1
+    one.commit({"a": one.write("a", one.read("a").unionByName(spark.range(3, 5)))})
+    # The second run started from the same commit; what it would write is out of date.
+    with pytest.raises(AnalysisException):
+        two.commit({"a": two.write("a", spark.range(9))})
+    now = SnapshotStore(spark, str(tmp_path))
+    assert now.read("a").count() == 5 and now.read("b").count() == 1
+
+
+def test_old_state_is_removed(spark, tmp_path):
+    for n in range(1, 7):
+        store = SnapshotStore(spark, str(tmp_path))
+        store.commit({"a": store.write("a", spark.range(n))})
+    assert len(list((tmp_path / "a").glob("table=*"))) == 3
+    assert len(list((tmp_path / "_commits").glob("commit=*"))) == 3
+    assert SnapshotStore(spark, str(tmp_path)).read("a").count() == 6
 
 
 def test_scratch_lies_in_the_shared_folder(spark):
