@@ -1,0 +1,291 @@
+"""URL filters, license scans, token counts, sharding and decontamination."""
+
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from crmweave.llm import decontaminate, license_scan, sharding, token_count, url_filter
+from crmweave.llm.queries import URL_RULES
+
+# URL filters
+
+URLS = [
+    "https://example.org/es/1", "http://www.Example.ORG/en/12?x#y", "https://example.org/en/2",
+    "HTTP://a.b.example.org/en/1", "https://notexample.org/es/", "https://x.com/fr/", "https://x.com/fr",
+    "https://com/de/x", "https://a.net/fr/", "ftp://x.com?/de/", "x.com/de/", "", None,
+    "https://x.com/de/://y.org/", "https://u\n.com/de/\n", "https://é.com/de/é", "://", "://com/de/",
+]
+
+
+def brute_verdict(url, rules, default):
+    url = url or ""
+    rest = url.split("://", 1)[1] if "://" in url else ""
+    host = re.match(r"[^/?#]*", rest)[0]
+    path = re.match(r"[^?#]*", rest[len(host):])[0]
+    host = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in host)
+    fits = [
+        (len(h + p), len(h), v == "block", h + p, v)
+        for h, p, v in rules
+        if (not h or host == h or host.endswith("." + h)) and path.startswith(p)
+    ]
+    best = max(fits, default=(0, 0, False, None, default))
+    return host, path, best[3], best[4]
+
+
+@pytest.mark.parametrize("default", ["allow", "block"])
+def test_url_verdicts(spark, default):
+    rules = [tuple(r) for r in spark.sql(URL_RULES).collect()]
+    more = rules + [("", "/en/", "block"), ("x.com", "/fr/", "block"), ("x.com", "/fr/", "allow")]
+    pages = spark.createDataFrame(
+        [(i, u) for i, u in enumerate(URLS)] + [(0, URLS[0]), (None, URLS[1])], "page_id bigint, url string"
+    ).selectExpr("*", "'x' AS URL", "'y' AS host", "1 AS digest")
+    for listed in (rules, more):
+        void = [(None, "/", "block"), ("com", None, "block")]
+        table = spark.createDataFrame(listed + void, "host string, path string, verdict string")
+        found = [tuple(r) for r in url_filter.filter_urls(pages, table, default).collect()]
+        want = [(i, *brute_verdict(u, listed, default)) for i, u in enumerate(URLS)]
+        want += [want[0], (None, *want[1][1:])]
+        assert sorted(found, key=str) == sorted(want, key=str)
+
+
+def test_urls_without_rules_or_pages(spark):
+    none = spark.sql(URL_RULES).toDF("host", "path", "verdict").where("false")
+    pages = spark.createDataFrame([(1, "https://a.b/c")], "page_id bigint, url string")
+    assert [tuple(r) for r in url_filter.filter_urls(pages, none).collect()] == [(1, "a.b", "/c", None, "allow")]
+    assert url_filter.filter_urls(pages.where("false"), none).count() == 0
+
+
+def test_url_plans_stay_in_the_jvm(spark):
+    rules = spark.sql(URL_RULES).toDF("host", "path", "verdict")
+    pages = spark.createDataFrame([(1, "https://a.b/c")], "page_id bigint, url string")
+    plan = url_filter.filter_urls(pages, rules)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "NestedLoop" not in plan
+
+
+# License scans
+
+
+def brute_places(text, phrases):
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(
+        chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+    found = []
+    for phrase, label in phrases.items():
+        parts = phrase.split()
+        found += [(i, phrase, label) for i in range(len(words)) if words[i : i + len(parts)] == parts]
+    return len(words), sorted(found)
+
+
+def test_license_places(docs_of):
+    rng = random.Random(1)
+    vocabulary = ["MIT", "License", "apache", "GENERAL", "Public", "license,", "gnu", "lesser", "version",
+                  "2.0", "3", "x", "é", " ", "mit-license", "v́", "\n", "--", "cc", "by", "nc"]
+    rows = [(i, " ".join(rng.choices(vocabulary, k=rng.randrange(60)))) for i in range(60)]
+    rows += [(60, None), (61, ""), (62, "MIT License MIT License"), (62, "MIT License MIT License"), (None, "x")]
+    phrases = license_scan.BASE_PHRASES | license_scan.MORE_PHRASES
+    base = license_scan.BASE_PHRASES
+    digest = license_scan.license_digest(license_scan.scan_licenses(docs_of(rows))).collect()
+    want = []
+    for i, text in rows:
+        n, found = brute_places(text, phrases)
+        starts = [w for w, p, _ in found if p in base]
+        label = lambda some: ",".join(sorted({x for _, p, x in found if p in some}))
+        n_labels = len({x for *_, x in found})
+        want.append((i, n, len(starts), min(starts, default=None), max(starts, default=None),
+                     label(base), label(phrases), round(1 - 0.4**n_labels, 6)))
+    assert sorted(map(tuple, digest), key=str) == sorted(want, key=str)
+    assert license_scan.scan_licenses(docs_of([])).count() == 0
+
+
+@pytest.mark.parametrize("text,want", [
+    ("MIT", {("mit",)}),
+    ("MIT OR Apache-2.0", {("mit",), ("apache-2.0",)}),
+    ("MIT AND (Apache-2.0 OR GPL-2.0+)", {("apache-2.0", "mit"), ("gpl-2.0+", "mit")}),
+    ("A OR B AND C", {("a",), ("b", "c")}),
+    ("(A or B) and C", {("a", "c"), ("b", "c")}),
+    ("GPL-2.0 WITH Classpath-exception-2.0 OR MIT", {("gpl-2.0 with classpath-exception-2.0",), ("mit",)}),
+    ("A OR A AND B", {("a",)}),
+    ("MIT */", {("mit",)}),
+])
+def test_license_expressions(text, want):
+    offers = license_scan.alternatives(license_scan.to_postfix(text))
+    assert {tuple(sorted(o)) for o in offers} == want
+
+
+@pytest.mark.parametrize("text", ["", "AND", "A AND", "(A", "()", "A OR (B", "*"])
+def test_malformed_license_expressions(text):
+    assert license_scan.to_postfix(text) is None
+
+
+def test_license_tags(docs_of):
+    rows = [(1, "# SPDX-License-Identifier: MIT OR GPL-2.0-only\nx"), (2, "SPDX-License-Identifier: (MIT"),
+            (3, "spdx-license-identifier: Foo-1.0")]
+    scanned = license_scan.scan_licenses(docs_of(rows))
+    assert {r.doc_id: r.expressions for r in scanned.collect()} == {
+        1: ["MIT OR GPL-2.0-only"], 2: [], 3: ["Foo-1.0"]}
+    digest = {r.doc_id: (r.labels, r.base_labels, r.score) for r in license_scan.license_digest(scanned).collect()}
+    assert digest == {1: ("gpl,mit", "", 0.99), 2: ("", "", 0.0), 3: ("foo-1.0", "", 0.9)}
+
+
+# Token counts
+
+COUNTED = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def test_token_counts_equal_the_library(docs_of, prose):
+    rng = random.Random(6)
+    letters = [chr(c) for c in range(0x180)] + ["<|endoftext|>", "  ", "　", "\x85", "'s", "日本", "😀", "é́"]
+    rows = prose + [(1000 + i, "".join(rng.choices(letters, k=rng.randrange(30)))) for i in range(300)]
+    rows += [(None, "x"), (7, "a" * 3000), (7, "a" * 3000), (8, " ".join(["the"] * 700))]
+    library = Tokenizer.from_file(COUNTED)
+    want = []
+    for i, text in rows:
+        n = len(library.encode(text or "", add_special_tokens=False).ids)
+        want.append((i, len((text or "").encode()), n, n > 512))
+    found = token_count.count_tokens(docs_of(rows), COUNTED)
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(want, key=str)
+    assert token_count.count_tokens(docs_of([]), COUNTED).count() == 0
+
+
+def test_symbols_less_merges():
+    counter = token_count.Counter(COUNTED)
+    assert [counter.piece(t) for t in ("", "a", "the", " the")] == [0, 1, 1, 1]
+
+
+def test_a_full_memory_is_emptied(monkeypatch):
+    monkeypatch.setattr(token_count, "REMEMBERED", 3)
+    counter = token_count.Counter(COUNTED)
+    text = "one two three four five one two"
+    assert counter.count(text) == counter.count(text) and len(counter.known) <= 3
+
+
+# Sharding
+
+
+def brute_jump(key, buckets):
+    b, j = -1, 0
+    while j < buckets:
+        b = j
+        key = (key * 2862933555777941757 + 1) % (1 << 64)
+        j = int((b + 1) * (float(1 << 31) / float((key >> 33) + 1)))
+    return b
+
+
+def test_jump_hash():
+    keys = np.random.default_rng(3).integers(0, 1 << 64, 3000, dtype=np.uint64)
+    keys[:3] = [0, 1, (1 << 64) - 1]
+    for n in (1, 2, 24, 25, 1000):
+        assert sharding.jump(keys, n).tolist() == [brute_jump(int(k), n) for k in keys]
+    assert sharding.jump(keys[:0], 24).tolist() == []
+    with pytest.raises(ValueError):
+        sharding.jump(keys, 0)
+
+
+def test_manifest(docs_of):
+    rows = [(i, None if i % 50 == 0 else f"é{i}") for i in range(2000)] + [(5, "é5"), (None, "n"), (None, "n")]
+    found = sharding.shard_manifest(docs_of(rows), 24).collect()
+    assert len(found) == len(rows)
+    slots = {}
+    for r in found:
+        slots.setdefault(r.shard, []).append(r.slot)
+        assert r.law == "key" and r.grown_shard in (r.shard, 24)
+    assert set(slots) == set(range(24))
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    want = Counter((i, len((t or "").encode()) + 8, zlib.crc32((t or "").encode())) for i, t in rows)
+    assert Counter((r.doc_id, r["size"], r.text_crc32) for r in found) == want
+    moved = sum(r.grown_shard == 24 for r in found)
+    assert 40 < moved < 130  # about one in 25
+    assert len({r.shard for r in found if r.doc_id is None}) == 1
+    assert sharding.shard_manifest(docs_of([]), 24).count() == 0
+
+
+def test_shards_are_written(docs_of, spark, tmp_path):
+    df = docs_of([(i, "x") for i in range(50)])
+    plain = sharding.assign_shards(df, "doc_id", 4)
+    assert plain.columns == [*df.columns, "shard"]
+    path = str(tmp_path / "shards")
+    sharding.write_shards(df.select("doc_id", "`a.b`"), "doc_id", 4, path)
+    assert spark.read.parquet(path).count() == 50
+
+
+# Decontamination
+
+
+def brute_leaks(rows, items):
+    def words(text):
+        return [w for w in re.split(r"[\W_]+", (text or "").lower()) if w]
+
+    def shingles(some, k):
+        return Counter(" ".join(some[i : i + k]) for i in range(len(some) - k + 1))
+
+    out = []
+    for d, text in rows:
+        w = words(text)
+        for i, item in items:
+            v = words(item)
+            if not v:
+                continue
+            k = min(5, len(v))
+            want, best = shingles(v, k), None
+            for at in range(max(1, len(w) - len(v) + 1)):
+                got = shingles(w[at : at + len(v)], k)
+                shared = sum((want & got).values())
+                alike = shared / (sum(want.values()) + sum(got.values()) - shared)
+                if alike >= 0.8 and (best is None or alike > best[0]):
+                    best = (alike, at, len(w[at : at + len(v)]))
+            if best:
+                out.append((d, i, round(best[0], 9), best[1], best[2]))
+    return out
+
+
+def test_leaks(docs_of, spark):
+    rng = random.Random(12)
+    vocabulary = ["".join(rng.choices("abcdeé", k=4)) for _ in range(300)]
+    item = [rng.choices(vocabulary, k=rng.randint(12, 50)) for _ in range(8)]
+    items = [(i, " ".join(w)) for i, w in enumerate(item)] + [(8, None), (9, "--"), (10, "Two Words!"), (None, "solo")]
+    rows = []
+    for i in range(40):
+        own = rng.choices(vocabulary, k=rng.randint(0, 80))
+        leak = list(item[i % 8])
+        if i % 4 == 1:
+            leak[-1] = "changed"
+        if i % 4 == 2:
+            leak[len(leak) // 2] = "changed"
+        if i % 4 == 3:
+            leak = leak[: len(leak) // 2]
+        at = rng.randint(0, len(own))
+        rows.append((i, ", ".join([*own[:at], *leak, *own[at:]]).title()))
+    rows += [(40, rows[0][1]), (41, None), (42, ""), (43, "say two words to"), (0, rows[0][1]), (None, rows[1][1])]
+    rows += [(44, " ".join(item[0][:-1])), (45, " ".join(item[1] * 3))]
+    found = decontaminate.find_leaks(docs_of(rows), spark.createDataFrame(items, "item_id bigint, text string"))
+    got = [(r.doc_id, r.item_id, round(r.similarity, 9), r.first_word, r.n_words) for r in found.collect()]
+    assert sorted(got, key=str) == sorted(brute_leaks(rows, items), key=str)
+
+
+def test_leaks_of_nothing(docs_of, spark):
+    items = spark.createDataFrame([(1, None), (2, "a b c d e f")], "item_id bigint, text string")
+    docs = docs_of([(1, "x y z"), (None, None)])
+    assert decontaminate.find_leaks(docs, items).count() == 0
+    assert decontaminate.find_leaks(docs, items.where("item_id = 1")).count() == 0
+    assert decontaminate.find_leaks(docs.where("false"), items).count() == 0
+    kept = decontaminate.keep_clean(docs, items)
+    assert kept.columns == docs.columns and kept.count() == 2
+
+
+def test_leak_plans_stay_in_the_jvm(docs_of, spark, monkeypatch):
+    plans = []
+    write = decontaminate.write_table
+
+    def noted(df, label):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, label)
+
+    monkeypatch.setattr(decontaminate, "write_table", noted)
+    items = spark.createDataFrame([(2, "a b c d e f")], "item_id bigint, text string")
+    decontaminate.find_leaks(docs_of([(1, "a b c d e f g")]), items).collect()
+    assert len(plans) >= 5 and not any(re.search("Python|Arrow|Cartesian|NestedLoop", p) for p in plans)
