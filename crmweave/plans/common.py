@@ -24,6 +24,7 @@ def write_if_new_or_changed(
     return WriteResult(
         {stream: sanitize_record(drop_sent(df, sent, changed, materialise))},
         {f"{stream}.content": upsert_snapshot(stored, changed, unique=True)},
+        {f"{stream}.content": changed},
     )
 
 

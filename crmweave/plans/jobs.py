@@ -19,7 +19,7 @@ from crmweave.plans import common, hubspot, marketo, salesforce
 from crmweave.plans.result import FieldMaps, WriteResult
 from crmweave.session import prepare_session
 from crmweave.sinks.singer import write_singer
-from crmweave.sinks.snapshots import SnapshotStore
+from crmweave.sinks.snapshots import Parts, SnapshotStore
 from crmweave.sources.id_maps import read_id_map
 from crmweave.sources.lines import LINE
 from crmweave.sources.streams import Schema, scan_stream
@@ -60,7 +60,7 @@ class SyncRun:
         self.routes = {connector: target for (target, connector), _ in pairs}
         self.store = SnapshotStore(self.spark, snapshot_dir)
         self.scratch = f"{output_dir.rstrip('/')}/_scratch"
-        self.state_tables: dict[str, str] = {}
+        self.next_states: dict[str, Parts] = {}
 
     @classmethod
     def of_tenant(
@@ -106,9 +106,9 @@ class SyncRun:
     def write(self, result: WriteResult) -> list[str]:
         """Write records, and the state that will count them as handled once it is committed."""
         paths = [self.emit(s, df) for s, df in result.records.items()]
-        for name, df in result.state.items():
+        for name, df in result.changes.items():
             key = f"{name}_{self.flow}"
-            self.state_tables[key] = self.store.write(key, df)
+            self.next_states[key] = self.store.upsert(key, df)
         return [p for p in paths if p]
 
     @contextmanager
@@ -116,9 +116,9 @@ class SyncRun:
         """Commit what the body writes if it ends well; drop its scratch tables in any case."""
         try:
             yield
-            if self.state_tables:
-                self.store.commit(self.state_tables)
-                self.state_tables = {}
+            if self.next_states:
+                self.store.commit(self.next_states)
+                self.next_states = {}
         finally:
             delete_path(self.spark, self.scratch)
 

@@ -117,6 +117,7 @@ def contacts_write(
             out = out.withColumn("Company", company_from_email(named("Email")))
         result.records[stream] = sanitize_record(out)
         result.state[stream] = merged
+        result.changes[stream] = rows
     return result
 
 

@@ -1,4 +1,4 @@
-"""Keyed state between runs: each run writes new tables, and one pointer makes them all count."""
+"""Keyed state between runs: each run writes what it changes, and one pointer makes it count."""
 
 from __future__ import annotations
 
@@ -8,27 +8,41 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from crmweave.functions.text import id_as_text, named
 from crmweave.jvm import delete_path, glob_paths
+from crmweave.operators.dedupe import carried_over
+from crmweave.operators.mapping import EXTERNAL_ID
 
-_COMMITS, _COMMIT, _TABLE = "_commits", "commit=", "table="
+_COMMITS, _COMMIT, _TABLE, _PART = "_commits", "commit=", "table=", "__part"
+
+# State is split by a hash of its key; a run rewrites the parts its keys fall into. Rows
+# without a key lie in a part of their own, which is never carried over.
+PARTS, KEYLESS = 64, -1
+
+# A part is written by so many tasks.
+WRITERS = 8
 
 # So many commits keep their tables; readers of an older one have to start again.
 KEPT_COMMITS = 3
 
+# Folders of a state by part.
+Parts = dict[str, str]
+
 
 class SnapshotStore:
-    """Parquet tables under one root on shared storage, and the commits that name them.
+    """Parquet folders under one root on shared storage, and the commits that name them.
 
-    A run writes tables under names of its own, never over what it reads, and then one commit,
-    a file that says which table is the state of which name. Without its commit a run has left
-    no trace. Two runs that start from one commit cannot both commit: the second one fails.
+    A run writes folders under names of its own, never over what it reads, and then one
+    commit, a file that says which folders are the state of which name. Without its commit a
+    run has left no trace. Two runs that start from one commit cannot both commit: the second
+    one fails.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.base = self._latest()
-        self.tables = self._read_commit(self.base)
+        self.base = max(self._numbers(), default=0)
+        self.states = self._read_commit(self.base)
 
     def _commit_path(self, number: int) -> str:
         return f"{self.root}/{_COMMITS}/{_COMMIT}{number:08d}"
@@ -37,40 +51,56 @@ class SnapshotStore:
         marks = glob_paths(self.spark, f"{self.root}/{_COMMITS}/{_COMMIT}*/_SUCCESS")
         return sorted(int(m.rsplit("/", 2)[1].removeprefix(_COMMIT)) for m in marks)
 
-    def _latest(self) -> int:
-        return max(self._numbers(), default=0)
-
-    def _read_commit(self, number: int) -> dict[str, str]:
+    def _read_commit(self, number: int) -> dict[str, Parts]:
         if not number:
             return {}
         return json.loads(self.spark.read.text(self._commit_path(number)).first()[0])
 
+    def _read_parts(self, name: str, folders: list[str]) -> DataFrame | None:
+        paths = [f"{self.root}/{name}/{f}" for f in folders]
+        return self.spark.read.option("mergeSchema", True).parquet(*paths) if paths else None
+
     def read(self, name: str) -> DataFrame | None:
         """The state that the commit at the run's start names, or None."""
-        table = self.tables.get(name)
-        return None if table is None else self.spark.read.parquet(f"{self.root}/{name}/{table}")
-
-    def write(self, name: str, df: DataFrame) -> str:
-        """Write a table that no commit names yet."""
+        return self._read_parts(name, list(self.states.get(name, {}).values()))
+
+    def upsert(self, name: str, new: DataFrame, pk: str = EXTERNAL_ID) -> Parts:
+        """Write the parts that rows of ``new`` (one per key) belong in, merged with theirs.
+
+        Returns the folders of the next state, for ``commit``. Other parts stay as they are.
+        """
+        key = id_as_text(named(pk))
+        part = F.when(key.isNull(), KEYLESS).otherwise(F.pmod(F.xxhash64(key), F.lit(PARTS)).cast("int"))
+        parted = new.withColumn(_PART, part)
+        # At most PARTS + 1 numbers.
+        touched = sorted(r[0] for r in parted.select(_PART).distinct().collect())
+        parts = {k: v for k, v in self.states.get(name, {}).items() if k != str(KEYLESS)}
+        old = self._read_parts(name, [parts[str(k)] for k in touched if str(k) in parts])
+        merged = new if old is None else carried_over(old, new, pk).unionByName(new, allowMissingColumns=True)
         table = f"{_TABLE}{self.base + 1:08d}-{uuid.uuid4().hex}"
-        df.write.parquet(f"{self.root}/{name}/{table}")
-        return table
-
-    def commit(self, tables: dict[str, str]) -> None:
-        """Make the tables the state of their names, all at once; other names keep theirs."""
-        number = self.base + 1
-        line = F.lit(json.dumps({**self.tables, **tables})).alias("value")
+        spread = F.pmod(F.xxhash64(F.lit(1), key), F.lit(WRITERS))
+        rows = merged.withColumn(_PART, part).repartition(_PART, spread)
+        rows.write.partitionBy(_PART).parquet(f"{self.root}/{name}/{table}")
+        return parts | {str(k): f"{table}/{_PART}={k}" for k in touched}
+
+    def commit(self, states: dict[str, Parts]) -> None:
+        """Make the folders the state of their names, all at once; other names keep theirs."""
+        number, states = self.base + 1, {**self.states, **states}
+        line = F.lit(json.dumps(states)).alias("value")
         # Fails if there is such a commit already.
         self.spark.range(0, 1, 1, 1).select(line).write.text(self._commit_path(number))
-        self.base, self.tables = number, {**self.tables, **tables}
+        self.base, self.states = number, states
         self._retire()
 
+    def _folders(self, number: int) -> set[str]:
+        return {f"{n}/{f}" for n, parts in self._read_commit(number).items() for f in parts.values()}
+
     def _retire(self) -> None:
-        """Delete commits beyond ``KEPT_COMMITS``, and the tables that only they name."""
+        """Delete commits beyond ``KEPT_COMMITS``, and the folders that only they name."""
         numbers = self._numbers()
         old, kept = numbers[:-KEPT_COMMITS], numbers[-KEPT_COMMITS:]
-        needed = {item for n in kept for item in self._read_commit(n).items()}
+        needed = set().union(*map(self._folders, kept)) if old else set()
         for number in old:
-            for name, table in set(self._read_commit(number).items()) - needed:
-                delete_path(self.spark, f"{self.root}/{name}/{table}")
+            for folder in self._folders(number) - needed:
+                delete_path(self.spark, f"{self.root}/{folder}")
             delete_path(self.spark, self._commit_path(number))

@@ -158,29 +158,50 @@ def test_written_stream_opens_with_its_schema(spark, tmp_path):
     assert [p.read_text() for p in (tmp_path / "empty").glob("*/part-*") if p.stat().st_size] == []
 
 
+def keyed(spark, ids, value="x"):
+    rows = [(None if i is None else str(i), value) for i in ids]
+    return spark.createDataFrame(rows, "externalId string, v string")
+
+
 def test_snapshots_count_once_committed(spark, tmp_path):
     store = SnapshotStore(spark, str(tmp_path))
     assert store.read("a") is None
-    tables = {"a": store.write("a", spark.range(3)), "b": store.write("b", spark.range(1))}
+    states = {"a": store.upsert("a", keyed(spark, range(3))), "b": store.upsert("b", keyed(spark, [1]))}
     assert SnapshotStore(spark, str(tmp_path)).read("a") is None
-    store.commit(tables)
+    store.commit(states)
     one, two = (SnapshotStore(spark, str(tmp_path)) for _ in range(2))
     assert one.read("a").count() == 3 and one.read("b").count() == 1
-    one.commit({"a": one.write("a", one.read("a").unionByName(spark.range(3, 5)))})
+    one.commit({"a": one.upsert("a", keyed(spark, [2, 3, None], "y"))})
     # The second run started from the same commit; what it would write is out of date.
     with pytest.raises(AnalysisException):
-        two.commit({"a": two.write("a", spark.range(9))})
+        two.commit({"a": two.upsert("a", keyed(spark, range(9)))})
     now = SnapshotStore(spark, str(tmp_path))
-    assert now.read("a").count() == 5 and now.read("b").count() == 1
+    found = sorted((r.externalId or "", r.v) for r in now.read("a").collect())
+    assert found == [("", "y"), ("0", "x"), ("1", "x"), ("2", "y"), ("3", "y")]
+    assert now.read("b").count() == 1
+    # A stored row without a key lasts for one version.
+    now.commit({"a": now.upsert("a", keyed(spark, [5]))})
+    assert {r.externalId for r in now.read("a").collect()} == {"0", "1", "2", "3", "5"}
+
+
+def test_untouched_parts_keep_their_files(spark, tmp_path):
+    store = SnapshotStore(spark, str(tmp_path))
+    store.commit({"a": store.upsert("a", keyed(spark, range(500)))})
+    before = dict(store.states["a"])
+    store.commit({"a": store.upsert("a", keyed(spark, [7], "y"))})
+    changed = {k for k, v in store.states["a"].items() if before[k] != v}
+    assert len(before) == 64 and len(changed) == 1
+    assert store.read("a").count() == 500 and store.read("a").where("v = 'y'").count() == 1
+    assert store.upsert("a", keyed(spark, [])) == store.states["a"]
 
 
 def test_old_state_is_removed(spark, tmp_path):
     for n in range(1, 7):
         store = SnapshotStore(spark, str(tmp_path))
-        store.commit({"a": store.write("a", spark.range(n))})
-    assert len(list((tmp_path / "a").glob("table=*"))) == 3
+        store.commit({"a": store.upsert("a", keyed(spark, [1], str(n)))})
+    assert len(list((tmp_path / "a").glob("table=*/__part=*"))) == 3
     assert len(list((tmp_path / "_commits").glob("commit=*"))) == 3
-    assert SnapshotStore(spark, str(tmp_path)).read("a").count() == 6
+    assert [r.v for r in SnapshotStore(spark, str(tmp_path)).read("a").collect()] == ["6"]
 
 
 def test_scratch_lies_in_the_shared_folder(spark):
