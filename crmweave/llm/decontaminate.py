@@ -48,16 +48,28 @@ def simhash_sql(hashes: str) -> str:
     return f"aggregate(sequence(0, {BITS - 1}), 0L, (acc, b) -> acc | {bit})"
 
 
-def blocks_sql(fingerprint: str, radius: int) -> str:
-    """Array of ``(number, value)`` of ``radius + 1`` blocks of the bits."""
+def _edges(radius: int) -> list[tuple[int, int]]:
+    """First bit and end of each of the ``radius + 1`` blocks."""
     edges = [BITS * i // (radius + 1) for i in range(radius + 2)]
+    return list(zip(edges, edges[1:]))
+
+
+def blocks_sql(fingerprint: str, radius: int) -> str:
+    """Array of ``(number, value)`` of the blocks of the bits."""
     parts = [
         f"struct({i} AS number, shiftrightunsigned({fingerprint}, {a}) & {(1 << (b - a)) - 1}L AS value)"
-        for i, (a, b) in enumerate(zip(edges, edges[1:]))
+        for i, (a, b) in enumerate(_edges(radius))
     ]
     return f"array({', '.join(parts)})"
 
 
+def first_equal_sql(difference: str, number: str, radius: int) -> str:
+    """Whether the blocks before ``number`` all differ, so that a pair is met only once."""
+    masks = [((1 << (b - a)) - 1) << a for a, b in _edges(radius)]
+    signed = ", ".join(f"{m - (1 << BITS) if m >> (BITS - 1) else m}L" for m in masks)
+    return f"forall(slice(array({signed}), 1, {number}), m -> ({difference}) & m != 0)"
+
+
 def shared_sql(one: str, other: str) -> str:
     """How many elements two arrays share, repeats counted as often as both have them."""
     least = f"least(size(filter({one}, y -> y = x)), size(filter({other}, y -> y = x)))"
@@ -103,18 +115,24 @@ def _leaks(texts: DataFrame, items: DataFrame, k: int, similarity: float, radius
     )
     # Written at each step: what a step makes is used many times by the next one.
     marked = write_table(marked, "window-hashes")
-    marked = marked.selectExpr("key", "n", "start", "words", f"{simhash_sql('hashes')} AS fp")
-    marked = write_table(marked, "window-prints")
+    marked = write_table(marked.withColumn("fp", F.expr(simhash_sql("hashes"))), "window-prints")
     indexed = marked.withColumn("block", F.expr(f"explode({blocks_sql('fp', radius)})"))
     index = listed.selectExpr(
-        "item_id", "n AS item_n", "item_fp", "shingles",
+        "item_id", "n AS item_n", "item_fp", "shingles", "hashes AS item_hashes",
         f"explode({blocks_sql('item_fp', radius)}) AS item_block",
     )
     met = indexed.join(index, F.expr("n = item_n AND block = item_block"))
     near = met.where(f"bit_count(fp ^ item_fp) <= {radius}")
-    near = near.dropDuplicates(["key", "start", "n", "item_id"])
-    found = near.withColumn("found", F.expr(shingles_sql("words", k, "array_join({s}, ' ')")))
-    shared = found.withColumn("shared", F.expr(shared_sql("found", "shingles")))
+    near = near.where(first_equal_sql("fp ^ item_fp", "block.number", radius))
+    # Shingles that the item does not have bound the similarity from above.
+    missing = "size(array_except(hashes, item_hashes))"
+    bound = f"(size(hashes) - {missing}) / (size(item_hashes) + {missing}) >= {similarity}"
+    found = near.where(bound).select(
+        "key", "item_id", "start", "words", "shingles",
+        F.expr(shingles_sql("words", k, "array_join({s}, ' ')")).alias("found"),
+    )
+    shared = write_table(found, "near")
+    shared = shared.withColumn("shared", F.expr(shared_sql("found", "shingles")))
     return shared.selectExpr(
         "key", "item_id", "shared / (size(found) + size(shingles) - shared) AS similarity",
         "start AS first_word", "size(words) AS n_words",
