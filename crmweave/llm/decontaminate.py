@@ -21,7 +21,7 @@ BITS = 64
 SHINGLE, SIMILARITY = 5, 0.8
 # Two windows of similarity 0.8 differ in 9.7 of 64 bits on average, with a deviation of 2.9.
 RADIUS = 18
-# Up to so many rows of two numbers each, item shingles and hit texts are broadcast.
+# Up to so many rows of 16 bytes, item shingles and keys of hit texts are broadcast.
 BROADCAST_ROWS = 500_000
 
 
@@ -105,8 +105,9 @@ def _leaks(texts: DataFrame, items: DataFrame, k: int, similarity: float, radius
     # A text has no more windows than words times lengths of items.
     windows = windows.groupBy("key").agg(F.expr("collect_list(struct(n, start)) AS windows"))
     windows = write_table(windows, "windows")
-    # The text again, one of all its copies.
-    inside = texts.join(_small(windows), "key").dropDuplicates(["key"])
+    # The text again, one of all its copies. Only the keys, of 16 bytes each, may be broadcast.
+    hit = texts.join(_small(windows.select("key")), "key", "left_semi").dropDuplicates(["key"])
+    inside = hit.join(windows, "key")
     marked = (
         inside.selectExpr("key", f"{words_sql('text')} AS words", "windows")
         .selectExpr("key", "words", "inline(windows)")

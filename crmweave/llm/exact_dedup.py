@@ -78,13 +78,15 @@ def keep_unique(docs: DataFrame) -> DataFrame:
 
     Of repeated rows with the id that stays, one is left; of a group without ids, one row.
     """
-    found = duplicate_groups(docs).where("kept").select("doc_id", "text_sha256").distinct()
+    kept = duplicate_groups(docs).where("kept").groupBy("doc_id", "text_sha256").count()
+    kept = write_table(kept, "exact-kept")
     columns = docs.columns
     inner = [f"c{i}" for i in range(len(columns))]
     key, text = (F.col(inner[columns.index(c)]) for c in ("doc_id", "text"))
     sha = F.sha2(without_spaces(F.coalesce(text.cast("string"), F.lit(""))), 256)
     rows = docs.toDF(*inner).withColumns({"__id": key, "__sha": sha})
-    stay = rows.join(
-        found, F.col("__id").eqNullSafe(F.col("doc_id")) & (F.col("__sha") == F.col("text_sha256"))
-    )
-    return stay.dropDuplicates(["__id", "__sha"]).select(*inner).toDF(*columns)
+    same = F.col("__id").eqNullSafe(F.col("doc_id")) & (F.col("__sha") == F.col("text_sha256"))
+    stay = rows.join(kept, same, "left_semi")
+    if not kept.where("count > 1").isEmpty():
+        stay = stay.dropDuplicates(["__id", "__sha"])
+    return stay.select(*inner).toDF(*columns)
