@@ -36,15 +36,20 @@ def lookup_key(t: Tables):
     return filters.require_lookup_key(t.view("crm_contacts"), "email").select("id", "email")
 
 
+_NUMBER = "CASE CAST(id AS INT) % 3 WHEN 0 THEN double('NaN') WHEN 1 THEN 1D ELSE 0D END"
+
+
 @check(
     "truthy_flag",
-    f"SELECT id, {SQL_TRUTHY} AS asked, coalesce(archived, FALSE) AS archived FROM crm_contacts",
+    f"""SELECT id, {SQL_TRUTHY} AS asked, coalesce(archived, FALSE) AS archived,
+    CAST(id AS INT) % 3 = 1 AS number FROM crm_contacts""",
 )
 def truthy(t: Tables):
     return t.view("crm_contacts").select(
         "id",
         filters.truthy_flag(F.col("global_unsubscribe"), T.StringType()).alias("asked"),
         filters.truthy_flag(F.col("archived"), T.BooleanType()).alias("archived"),
+        filters.truthy_flag(F.expr(_NUMBER), T.DoubleType()).alias("number"),
     )
 
 

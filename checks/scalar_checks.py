@@ -128,15 +128,16 @@ def coerce_bool_strings(t: Tables):
     return rows.select("id", jsontext.json_with_bools(rows.schema).alias("data"))
 
 
-_NAN_IF = "CASE WHEN s_suppkey % 4 = 0 THEN CAST('NaN' AS DOUBLE) ELSE s_acctbal END"
+_NAN_IF = """CASE s_suppkey % 4 WHEN 0 THEN CAST('NaN' AS DOUBLE) WHEN 1 THEN CAST('Infinity' AS DOUBLE)
+    WHEN 2 THEN CAST('-Infinity' AS DOUBLE) ELSE s_acctbal END"""
 
 
 @check(
     "clean_nulls",
     f"""SELECT CAST(s_suppkey AS STRING) AS "sourceRecordId",
     to_json({{'id': s_suppkey, 'email': s_name,
-              'balance': CASE WHEN isnan({_NAN_IF}) THEN NULL ELSE s_acctbal END,
-              'parts': [CASE WHEN isnan({_NAN_IF}) THEN NULL ELSE s_acctbal END]}})::VARCHAR AS data
+              'balance': CASE WHEN isfinite({_NAN_IF}) THEN s_acctbal END,
+              'parts': [CASE WHEN isfinite({_NAN_IF}) THEN s_acctbal END]}})::VARCHAR AS data
     FROM supplier""",
 )
 def clean_nulls(t: Tables):
