@@ -277,13 +277,14 @@ def learn(docs: DataFrame, labels: DataFrame, documents_at_most: int = TRAIN_DOC
     known = known.where(~held_out()).groupBy("doc_id").agg(F.min("quality").alias("quality"))
     sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(documents_at_most)
     texts = documents(docs).join(F.broadcast(sample), "doc_id")  # bounded by the parameter
-    rows = bounded_batches(texts.where(F.length("text") - F.length(F.translate("text", "\n", "")) < TRAIN_LINES))
+    rows = bounded_batches(texts)
 
     def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
+            short = [i for i, text in enumerate(batch.column(1)) if text.as_py().count("\n") < TRAIN_LINES]
+            if not short:
                 continue
-            ids, texts, quality = batch.select(["doc_id", "text", "quality"]).columns
+            ids, texts, quality = batch.take(pa.array(short)).columns
             features, lengths, per_text = line_features(texts.to_pylist())
             at = np.cumsum(per_text)[:-1]
             blobs = [np.split(x.astype(np.float32), at) for x in (features, lengths)]
