@@ -160,11 +160,12 @@ def _anchors(blocks: DataFrame, buckets: int) -> DataFrame:
                 cut = np.searchsorted(bucket[order], np.arange(1, buckets))
                 parts = np.split(order, cut)
                 filled = [b for b in range(buckets) if len(parts[b])]
+                counts = np.minimum(times, 65535).astype(np.uint16)
                 yield _rows({
                     "bucket": (filled, pa.int32()),
                     "block": ([row["block"]] * len(filled), pa.int64()),
                     "hashes": ([hashes[parts[b]].tobytes() for b in filled], pa.binary()),
-                    "times": ([np.minimum(times[parts[b]], 65535).astype(np.uint16).tobytes() for b in filled], pa.binary()),
+                    "times": ([counts[parts[b]].tobytes() for b in filled], pa.binary()),
                 })
 
     rows = blocks.select("block", "sizes", "bytes")
@@ -372,7 +373,10 @@ def equal_windows(contents: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.nda
 
 # ---- shards --------------------------------------------------------------------------------
 
-FOUND = "kind string, block bigint, doc array<int>, lo array<bigint>, hi array<bigint>, windows binary, id array<bigint>, run bigint"
+FOUND = (
+    "kind string, block bigint, doc array<int>, lo array<bigint>, hi array<bigint>,"
+    " windows binary, id array<bigint>, run bigint"
+)
 
 
 def _covered(rows: list[dict], shard: int) -> Iterator[pa.RecordBatch]:
@@ -533,7 +537,10 @@ def _hot_windows(found: DataFrame, shards: int) -> DataFrame:
 
 # ---- results -------------------------------------------------------------------------------
 
-RESULT = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, spans array<struct<start:bigint,end:bigint>>"
+RESULT = (
+    "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string,"
+    " spans array<struct<start:bigint,end:bigint>>"
+)
 
 
 def _results(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
