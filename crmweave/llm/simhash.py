@@ -279,7 +279,8 @@ def links(fps: DataFrame, radius: int, agree: int = 2, pairs: bool = False) -> D
     # The choices of blocks multiply the rows, so they are dealt out before.
     cells = _tiled(_cells(fps.repartition(tasks(fps), "fp"), radius + agree, agree))
     # A cell's key is a hash; two cells that share it are compared as one, which adds no links.
-    sorted_cells = cells.repartition(tasks(fps), "cell").sortWithinPartitions("cell")
+    # In order within a cell too, so that its first fingerprint is the same in every run.
+    sorted_cells = cells.repartition(tasks(fps), "cell").sortWithinPartitions("cell", "fp")
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held_cell, held = np.empty(0, np.int64), np.empty(0, np.uint64)
