@@ -13,7 +13,6 @@ from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -21,6 +20,7 @@ from pyspark.sql import functions as F
 
 from crmweave.llm.common import bounded_batches, documents, tasks
 from crmweave.llm.components import components
+from crmweave.llm.shingle_join import alike_links, similarity  # noqa: F401  (similarity is used from here)
 from crmweave.session import write_table
 
 BITS, SEED = 64, 42
@@ -28,9 +28,6 @@ BITS, SEED = 64, 42
 TILE = 2048
 # Cells up to this size are compared shifted against themselves, many at once.
 SMALL = 32
-# A fingerprint with more near ones than this in a cell is paired with two of them: links of a
-# group of thousands of near copies stay as many as its members, and still join all of it.
-PARTNERS = 32
 # So many fingerprints are compared with a large cell at once.
 QUERIES = 256
 # Chunk of shingles whose hashes are held at once, whatever the length of a text.
@@ -123,13 +120,13 @@ def bits_at(mask: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.unpackbits(mask.view(np.uint8), bitorder="little"))
 
 
-def near_rows(values: np.ndarray, radius: int, later: bool) -> Iterator[tuple[int, np.ndarray]]:
-    """``(i, places)`` for each value i that others are near to; with ``later``, only those
-    from the word of i on, since earlier ones have found i already."""
+def near_rows(values: np.ndarray, radius: int) -> Iterator[tuple[int, np.ndarray]]:
+    """``(i, places)`` for each value i that others from its word on are near to; earlier ones
+    have found i already."""
     planes = planes_of(values)
     n, words = len(values), planes.shape[1]
     for at in range(0, n, QUERIES):
-        first = at // BITS if later else 0
+        first = at // BITS
         bits = values[at : at + QUERIES] >> np.arange(BITS, dtype=np.uint64)[:, None] & np.uint64(1)
         masks = np.where(bits == 1, ALL, np.uint64(0))
         rest = planes[:, first:]
@@ -192,50 +189,31 @@ def join_groups(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def group_large(values: np.ndarray, radius: int) -> np.ndarray:
     """Per value the first of its group in one large cell."""
     tie = np.arange(len(values))
-    for i, places in near_rows(values, radius, later=True):
+    for i, places in near_rows(values, radius):
         met = np.unique(tie[np.append(places, i)])
         if len(met) > 1:
             tie[np.isin(tie, met)] = met[0]
     return tie
 
 
-def pairs_large(values: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Near pairs in one large cell: all of a value with few; else its nearest and its first."""
-    ones, others = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    for i, places in near_rows(values, radius, later=False):
-        if len(places) > PARTNERS:
-            far = np.bitwise_count(values[places] ^ values[i])
-            places = np.unique([places[far.argmin()], places[0]])
-        ones.append(np.full(len(places), i))
-        others.append(places)
-    return np.concatenate(ones), np.concatenate(others)
-
-
-def link_cells(
-    cell: np.ndarray, values: np.ndarray, radius: int, pairs: bool = False
-) -> tuple[np.ndarray, np.ndarray]:
+def link_cells(cell: np.ndarray, values: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """Links ``(value, other value)`` of whole cells; ``cell`` is sorted.
 
-    Without ``pairs`` each value is tied to the first of its group, so that links are as few as
-    values; with it, near pairs are given as ``pairs_large`` says.
+    Each value is tied to the first of its group, so that links are as few as values.
     """
     edges = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1], True])
     sizes = np.repeat(np.diff(edges), np.diff(edges))
     small = np.flatnonzero((sizes > 1) & (sizes <= SMALL))
     a, b = near_pairs(values[small], cell[small], radius)
-    if not pairs:
-        tie = join_groups(len(small), a, b)
-        a = np.flatnonzero(tie != np.arange(len(small)))
-        b = tie[a]
+    tie = join_groups(len(small), a, b)
+    a = np.flatnonzero(tie != np.arange(len(small)))
+    b = tie[a]
     ones, others = [small[a]], [small[b]]
     for at, end in zip(edges[:-1], edges[1:]):
         if end - at > SMALL:
-            if pairs:
-                a, b = pairs_large(values[at:end], radius)
-            else:
-                tie = group_large(values[at:end], radius)
-                a = np.flatnonzero(tie != np.arange(end - at))
-                b = tie[a]
+            tie = group_large(values[at:end], radius)
+            a = np.flatnonzero(tie != np.arange(end - at))
+            b = tie[a]
             ones.append(at + a)
             others.append(at + b)
     return values[np.concatenate(ones)], values[np.concatenate(others)]
@@ -269,12 +247,12 @@ def _tiled(cells: DataFrame) -> DataFrame:
     return dealt.select(pair.alias("cell"), "fp")
 
 
-def links(fps: DataFrame, radius: int, agree: int = 2, pairs: bool = False) -> DataFrame:
+def links(fps: DataFrame, radius: int, agree: int = 2) -> DataFrame:
     """``(a, b)``: links that join all of the distinct ``fp`` within the radius of each other.
 
-    With ``pairs``, near pairs are given instead, as ``link_cells`` says. ``agree`` blocks of
-    ``radius + agree`` make a cell: more of them make smaller cells, and more cells, without
-    changing the groups that the links form. Two suit up to some 10^8 fingerprints, three 10^11.
+    ``agree`` blocks of ``radius + agree`` make a cell: more of them make smaller cells, and
+    more cells, without changing the groups that the links form. Two suit up to some 10^8
+    fingerprints, three 10^11.
     """
     # The choices of blocks multiply the rows, so they are dealt out before.
     cells = _tiled(_cells(fps.repartition(tasks(fps), "fp"), radius + agree, agree))
@@ -286,7 +264,7 @@ def links(fps: DataFrame, radius: int, agree: int = 2, pairs: bool = False) -> D
         held_cell, held = np.empty(0, np.int64), np.empty(0, np.uint64)
 
         def out(cell: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
-            a, b = link_cells(cell, values, radius, pairs)
+            a, b = link_cells(cell, values, radius)
             columns = [pa.array(a.view(np.int64)), pa.array(b.view(np.int64))]
             return pa.RecordBatch.from_arrays(columns, ["a", "b"])
 
@@ -331,59 +309,17 @@ def near_groups(docs: DataFrame, shingle: int = 4, radius: int = 4, agree: int =
     return joined.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
-def similarity(one: str, other: str, shingle: int) -> float:
-    """Jaccard similarity of the sets of word shingles; two texts without words are alike."""
-
-    def shingles(text: str) -> set[tuple[bytes, ...]]:
-        words = text.encode("utf-8", "replace").lower().split()
-        return {tuple(words[i : i + shingle]) for i in range(max(1, len(words) - shingle + 1))}
-
-    a, b = shingles(one), shingles(other)
-    shared = len(a & b)
-    return shared / (len(a) + len(b) - shared)
-
-
-def _alike(texts: DataFrame, pairs: DataFrame, shingle: int, least: float) -> DataFrame:
-    """Those of the pairs ``(a, b)`` of ids whose texts are alike."""
-
-    @F.pandas_udf("double")
-    def compared(ones: pd.Series, others: pd.Series) -> pd.Series:
-        return pd.Series([similarity(x, y, shingle) for x, y in zip(ones, others)], dtype="float64")
-
-    one, other = texts.toDF("a", "one"), texts.toDF("b", "other")
-    joined = bounded_batches(pairs.join(one, "a").join(other, "b"))
-    return joined.where(compared("one", "other") >= least).select("a", "b").distinct()
-
-
-def verified_groups(
-    docs: DataFrame,
-    shingle: int = 5,
-    least_similarity: float = 0.8,
-    sketch_shingle: int = 2,
-    radius: int = 10,
-) -> DataFrame:
+def verified_groups(docs: DataFrame, shingle: int = 5, least_similarity: float = 0.8) -> DataFrame:
     """``(doc_id, component_id)`` for documents that are near copies of others.
 
-    Fingerprints find candidates, and the Jaccard similarity of ``shingle``-word shingles
-    decides; groups are the components of the pairs that are alike. An edit touches fewer short
-    shingles than long ones, so fingerprints over ``sketch_shingle`` words find pairs of the
-    wanted similarity within a smaller radius. Texts with one fingerprint are compared with the
-    one of the smallest id. Ids must be integers; rows without an id are in no group, of
-    repeated rows with one id the largest text counts, and a null text counts as empty.
+    The Jaccard similarity of ``shingle``-word shingles decides; groups are the components of
+    all pairs that are alike. Candidates come from an exact set join, not from fingerprints.
+    Ids must be integers; rows without an id are in no group, of repeated rows with one id the
+    largest text counts, and a null text counts as empty.
     """
     texts = documents(docs).where("doc_id IS NOT NULL")
     texts = texts.groupBy("doc_id").agg(F.max("text").alias("text")) if _repeats(texts) else texts
-    prints = write_table(fingerprints(texts, sketch_shingle), "fingerprints")
-    nodes = write_table(prints.groupBy("fp").agg(F.min("doc_id").alias("id")), "nodes")
-    near = links(nodes.select("fp"), radius, pairs=True)
-    a, b = (nodes.toDF(x, f"id_{x}") for x in "ab")
-    across = near.join(a, "a").join(b, "b").select(
-        F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")
-    )
-    equal = prints.join(nodes, "fp").select(F.col("id").alias("a"), F.col("doc_id").alias("b"))
-    pairs = write_table(across.union(equal).where("a != b").distinct(), "candidates")
-    alike = _alike(texts, pairs, shingle, least_similarity)
-    return components(write_table(alike, "alike")).toDF("doc_id", "component_id")
+    return components(alike_links(texts, shingle, least_similarity)).toDF("doc_id", "component_id")
 
 
 def _repeats(texts: DataFrame) -> bool:

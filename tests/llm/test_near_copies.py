@@ -1,0 +1,61 @@
+"""Near copies of every kind against brute force over shared shingles."""
+
+import random
+from collections import Counter, defaultdict
+
+import pytest
+
+from crmweave.llm import simhash
+
+
+def brute_groups(texts, least=0.8):
+    """Per id the smallest id of its group, all pairs that share a shingle compared."""
+    sets, holders = {}, defaultdict(list)
+    for i, text in texts.items():
+        words = text.split()
+        sets[i] = {tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))}
+        for s in sets[i]:
+            holders[s].append(i)
+    root = {i: i for i in texts}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, own in sets.items():
+        shared = Counter()
+        for s in own:
+            shared.update(holders[s])
+        for j, n in shared.items():
+            if j < i and n >= least * (len(own) + len(sets[j]) - n):
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    return {i: find(i) for i in texts}
+
+
+def words(rng, n):
+    return ["".join(rng.choices("abcdefghij", k=5)) for _ in range(n)]
+
+
+def found_groups(docs_of, texts):
+    got = dict(simhash.verified_groups(docs_of(list(texts.items()))).collect())
+    return {i: got.get(i, i) for i in texts}
+
+
+@pytest.mark.parametrize("kept", [0.8, 0.85, 0.9])
+def test_block_edits(docs_of, kept):
+    """A block appended or replaced, so that the similarity is just over ``kept``."""
+    rng = random.Random(int(kept * 100))
+    texts = {}
+    for k in range(120):
+        base = words(rng, 300)
+        if k % 2:
+            other = base + words(rng, int(296 / kept) - 296)
+        else:
+            n = int(296 * (1 - kept) / (1 + kept)) - 4
+            other = base[:100] + words(rng, n) + base[100 + n :]
+        texts[2 * k], texts[2 * k + 1] = " ".join(base), " ".join(other)
+    want = brute_groups(texts)
+    assert all(want[2 * k + 1] == 2 * k for k in range(120))
+    assert found_groups(docs_of, texts) == want
