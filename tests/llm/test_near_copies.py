@@ -59,3 +59,49 @@ def test_block_edits(docs_of, kept):
     want = brute_groups(texts)
     assert all(want[2 * k + 1] == 2 * k for k in range(120))
     assert found_groups(docs_of, texts) == want
+
+
+def repeating(rng, n, times, length=12):
+    """Texts with one line many times, and copies of some with two words changed."""
+    line = words(rng, length)
+    bases = [words(rng, 120) + line * times for _ in range(n)]
+    copies = []
+    for base in bases[: n // 6]:
+        copy = list(base)
+        for k in rng.sample(range(120), 2):
+            copy[k] = "zz" + copy[k]
+        copies.append(copy)
+    texts = [" ".join(t) for t in bases + copies]
+    rng.shuffle(texts)
+    return dict(enumerate(texts))
+
+
+def test_a_line_that_all_texts_repeat(docs_of):
+    """Dense cells: no text's partners are capped."""
+    texts = repeating(random.Random(4), 1800, 20)
+    want = brute_groups(texts)
+    assert sum(want[i] != i for i in texts) == 300
+    assert found_groups(docs_of, texts) == want
+
+
+def test_a_large_group_in_rounds(docs_of, monkeypatch):
+    """Chains of variants under shared shingles, whatever the rounds and tiles."""
+    from crmweave.llm import shingle_join
+
+    rng = random.Random(6)
+    texts = []
+    for _ in range(3):
+        base = words(rng, 150)
+        for _ in range(150):
+            copy = list(base)
+            for k in rng.sample(range(150), rng.randint(1, 5)):
+                copy[k] = "zz" + copy[k]
+            texts.append(" ".join(copy))
+    rng.shuffle(texts)
+    texts = dict(enumerate(texts))
+    want = brute_groups(texts)
+    assert found_groups(docs_of, texts) == want
+    monkeypatch.setattr(shingle_join, "FREQUENT", 1)
+    monkeypatch.setattr(shingle_join, "TILE", 40)
+    monkeypatch.setattr(shingle_join, "ROUNDS", (2, 5, None))
+    assert found_groups(docs_of, texts) == want
