@@ -84,6 +84,15 @@ def test_a_line_that_all_texts_repeat(docs_of):
     assert found_groups(docs_of, texts) == want
 
 
+def test_unlike_texts_of_one_fingerprint(docs_of):
+    """Each text meets all others, not one that stands for its fingerprint."""
+    texts = repeating(random.Random(5), 600, 60, length=11)
+    assert len({simhash.fingerprint(t, 2) for t in texts.values()}) < 10
+    want = brute_groups(texts)
+    assert sum(want[i] != i for i in texts) == 100
+    assert found_groups(docs_of, texts) == want
+
+
 def test_a_large_group_in_rounds(docs_of, monkeypatch):
     """Chains of variants under shared shingles, whatever the rounds and tiles."""
     from crmweave.llm import shingle_join
