@@ -140,6 +140,31 @@ def _leaks(texts: DataFrame, items: DataFrame, k: int, similarity: float, radius
     ).where(F.col("similarity") >= similarity)
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    return documents(docs).withColumn("key", text_hash("text"))
+
+
+def _best_windows(
+    texts: DataFrame, items: DataFrame, shingle: int, similarity: float, radius: int
+) -> DataFrame:
+    """``(key, item_id, best)`` for every text and item of which it has a window like it."""
+    wanted = documents(items, "item_id").selectExpr("doc_id AS item_id", f"{words_sql('text')} AS words")
+    wanted = wanted.where("size(words) > 0").withColumn("k", F.least(F.lit(shingle), F.size("words")))
+    # At most ``shingle`` different sizes of shingles.
+    sizes = [r["k"] for r in wanted.select("k").distinct().collect()]
+    parts = [
+        _leaks(texts.select("key", "text"), wanted.where(F.col("k") == k), k, similarity, radius)
+        for k in sorted(sizes)
+    ]
+    if not parts:
+        item = wanted.schema["item_id"].dataType.simpleString()
+        best = "CAST(NULL AS struct<similarity:double,first:int,n_words:int>) AS best"
+        return texts.where("false").selectExpr("key", f"CAST(NULL AS {item}) AS item_id", best)
+    leaks = reduce(DataFrame.unionByName, parts)
+    best = F.max(F.struct("similarity", (-F.col("first_word")).alias("first"), "n_words"))
+    return write_table(leaks.groupBy("key", "item_id").agg(best.alias("best")), "leaks")
+
+
 def find_leaks(
     docs: DataFrame,
     items: DataFrame,
@@ -156,33 +181,28 @@ def find_leaks(
     occur; rows with a null id are reported with it. Of ``docs`` only ``doc_id`` and ``text``
     are read, of ``items`` only ``item_id`` and ``text``. Without hits there are no rows.
     """
-    texts = documents(docs).withColumn("key", text_hash("text"))
-    wanted = documents(items, "item_id").selectExpr("doc_id AS item_id", f"{words_sql('text')} AS words")
-    wanted = wanted.where("size(words) > 0").withColumn("k", F.least(F.lit(shingle), F.size("words")))
-    # At most ``shingle`` different sizes of shingles.
-    sizes = [r["k"] for r in wanted.select("k").distinct().collect()]
-    parts = [
-        _leaks(texts.select("key", "text"), wanted.where(F.col("k") == k), k, similarity, radius)
-        for k in sorted(sizes)
-    ]
-    if not parts:
-        item = wanted.schema["item_id"].dataType.simpleString()
-        nothing = "CAST(NULL AS double) AS similarity", "0 AS first_word", "0 AS n_words"
-        return texts.where("false").selectExpr("doc_id", f"CAST(NULL AS {item}) AS item_id", *nothing)
-    leaks = reduce(DataFrame.unionByName, parts)
-    best = F.max(F.struct("similarity", (-F.col("first_word")).alias("first"), "n_words"))
-    best = leaks.groupBy("key", "item_id").agg(best.alias("best"))
-    best = write_table(best, "leaks")
+    texts = _keyed(docs)
+    best = _best_windows(texts, items, shingle, similarity, radius)
     found = texts.select("doc_id", "key").join(best, "key")
     return found.selectExpr(
         "doc_id", "item_id", "best.similarity", "-best.first AS first_word", "best.n_words"
     )
 
 
-def keep_clean(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` without any leak, with all their columns."""
-    leaks = find_leaks(docs, items, **options).select(F.col("doc_id").alias("__leak")).distinct()
+def keep_clean(
+    docs: DataFrame,
+    items: DataFrame,
+    shingle: int = SHINGLE,
+    similarity: float = SIMILARITY,
+    radius: int = RADIUS,
+) -> DataFrame:
+    """The rows of ``docs`` without any leak, with all their columns.
+
+    The text of a row decides, not its id: clean rows stay whatever rows share their id.
+    """
+    texts = _keyed(docs)
+    leaks = _best_windows(texts, items, shingle, similarity, radius).select("key").distinct()
     inner = [f"c{i}" for i in range(len(docs.columns))]
-    rows = docs.toDF(*inner)
-    key = F.col(inner[docs.columns.index("doc_id")])
-    return rows.join(leaks, key.eqNullSafe(F.col("__leak")), "left_anti").toDF(*docs.columns)
+    text = F.col(inner[docs.columns.index("text")]).cast("string")
+    key = text_hash(F.coalesce(text, F.lit("")))
+    return docs.toDF(*inner).join(leaks, key == F.col("key"), "left_anti").toDF(*docs.columns)

@@ -277,6 +277,14 @@ def test_leaks_of_nothing(docs_of, spark):
     assert kept.columns == docs.columns and kept.count() == 2
 
 
+def test_clean_rows_stay_whatever_rows_share_their_id(docs_of, spark):
+    items = spark.createDataFrame([(2, "a b c d e f")], "item_id bigint, text string")
+    rows = [(None, "x a b c d e f"), (None, "clean"), (None, None), (7, "a b c d e f"), (7, "clean too"), (8, "A b c d e f")]
+    kept = decontaminate.keep_clean(docs_of(rows), items).collect()
+    assert sorted(((r[1], r[2]) for r in kept), key=str) == sorted(
+        [(None, "clean"), (None, None), (7, "clean too")], key=str)
+
+
 def test_leak_plans_stay_in_the_jvm(docs_of, spark, monkeypatch):
     plans = []
     write = decontaminate.write_table
