@@ -2,7 +2,7 @@
 
 Every step hangs the neighbours of a node under their smallest, once for larger neighbours and
 once for smaller ones; edges become stars around the smallest node of each component in a number
-of steps that grows with the logarithm of the input. A step is a written table, so lineage
+of steps that grows with the logarithm of the input. Every half step is written, so lineage
 stays short; minima are combined before the shuffle, and no neighbour list is ever collected.
 """
 
@@ -15,8 +15,12 @@ from crmweave.session import write_table
 
 
 def _hang(edges: DataFrame) -> DataFrame:
-    """``(u, v, m)``: every edge with the smallest of u and all its neighbours."""
-    least = edges.groupBy(F.col("u").alias("at")).agg(F.min("v").alias("m"))
+    """``(u, v, m)``: every edge with the smallest of u and all its neighbours.
+
+    The minima are written, so both sides of the join are plain tables: a side of known size
+    may be broadcast, and where it is not, adaptive execution splits the edges of a hub.
+    """
+    least = write_table(edges.groupBy(F.col("u").alias("at")).agg(F.min("v").alias("m")), "minima")
     joined = edges.join(least, F.col("u") == F.col("at"))
     return joined.select("u", "v", F.least("u", "m").alias("m"))
 
@@ -24,8 +28,7 @@ def _hang(edges: DataFrame) -> DataFrame:
 def _step(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select("v", "u"))
     large = _hang(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    large = large.where("u != v").distinct()
-    small = _hang(large)
+    small = _hang(write_table(large.where("u != v").distinct(), "large"))
     small = small.select("v", "m").union(small.select("u", "m")).toDF("u", "v")
     return small.where("u != v").distinct()
 

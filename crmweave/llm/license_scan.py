@@ -49,7 +49,10 @@ MORE_PHRASES = {
 TAG = "spdx license identifier"
 TAG_LINE = re.compile(r"spdx-license-identifier:([^\r\n]*)", re.IGNORECASE)
 # Families of the identifiers in expressions, by how an identifier begins.
-FAMILIES = ("mit", "apache", "lgpl", "agpl", "gpl", "bsd", "mpl", "epl", "isc", "bsl", "cc0", "cc-by")
+FAMILIES = (
+    "mit", "apache", "lgpl", "agpl", "gpl", "bsd", "mpl", "epl", "isc", "bsl", "cc0",
+    "cc-by-nc", "cc-by-sa", "cc-by-nd", "cc-by",
+)
 # How far a label from a tag, or from a phrase, is to be trusted.
 TAG_WEIGHT, PHRASE_WEIGHT = 0.9, 0.6
 
@@ -112,26 +115,43 @@ def to_postfix(expression: str) -> list[str | Licence] | None:
     return out + waiting[::-1]
 
 
-def alternatives(postfix: list[str | Licence]) -> frozenset[frozenset[str]]:
-    """The ways to meet an expression, each the set of licences that then apply together.
+@dataclass(frozen=True)
+class Offers:
+    """The ways to meet an expression: what all of them need, and what any of them names."""
+
+    needed: frozenset[str]
+    named: frozenset[str]
+
+    @property
+    def single(self) -> bool:
+        return self.needed == self.named
 
-    OR offers either side, AND needs both, WITH adds its exception to the licence before it.
-    An offer that contains another is dropped, which bounds what ``A OR A OR ...`` leaves.
+
+def evaluate(postfix: list[str | Licence]) -> Offers:
+    """What an expression needs and names, in one walk, however many ANDs and ORs it has.
+
+    AND needs both sides. OR needs what both sides need; a side whose every way already
+    contains the only way of the other offers nothing new and is left out. WITH ties its
+    exception to the licences before it.
     """
-    stack: list[frozenset[frozenset[str]]] = []
+    stack: list[Offers] = []
     for item in postfix:
         if isinstance(item, Licence):
-            stack.append(frozenset({frozenset({item.name.lower()})}))
+            stack.append(Offers(*[frozenset({item.name.lower()})] * 2))
             continue
         right, left = stack.pop(), stack.pop()
-        if item == "OR":
-            offers = left | right
-        elif item == "AND":
-            offers = frozenset(a | b for a in left for b in right)
+        if item == "AND":
+            stack.append(Offers(left.needed | right.needed, left.named | right.named))
+        elif item == "OR":
+            if left.single and left.needed <= right.needed:
+                stack.append(left)
+            elif right.single and right.needed <= left.needed:
+                stack.append(right)
+            else:
+                stack.append(Offers(left.needed & right.needed, left.named | right.named))
         else:
-            exception = " ".join(sorted(n for offer in right for n in offer))
-            offers = frozenset(frozenset(f"{n} with {exception}" for n in a) for a in left)
-        stack.append(frozenset(o for o in offers if not any(p < o for p in offers)))
+            tail = " with " + " ".join(sorted(right.named))
+            stack.append(Offers(*[frozenset(n + tail for n in s) for s in (left.needed, left.named)]))
     return stack[0]
 
 
@@ -141,22 +161,15 @@ def family(identifier: str) -> str:
     return next((f for f in FAMILIES if name == f or name.startswith(f + "-")), name)
 
 
-# Beyond so many licences an expression is not evaluated: AND over ORs can multiply.
-MOST_LICENCES = 24
-
-
 def tag_labels(text: str) -> tuple[list[str], list[str]]:
-    """Expressions behind the tags of a text, and the labels of the licences they offer."""
+    """Expressions behind the tags of a text, and the labels of the licences they name."""
     expressions, labels = [], set()
     for found in TAG_LINE.finditer(text):
         postfix = to_postfix(found[1])
         if postfix is None:
             continue
         expressions.append(found[1].strip())
-        names = {i.name.lower() for i in postfix if isinstance(i, Licence)}
-        if len(names) <= MOST_LICENCES and sum(i == "AND" for i in postfix) <= 4:
-            names = set().union(*alternatives(postfix))
-        labels.update(map(family, names))
+        labels.update(map(family, evaluate(postfix).named))
     return expressions, sorted(labels)
 
 
@@ -237,14 +250,18 @@ def license_digest(scanned: DataFrame, base: dict[str, str] | None = None) -> Da
     """Per document: words, places of base phrases, their labels, all labels, and a score.
 
     ``score`` is the chance that some label is right if each is right on its own with the
-    weight of its evidence; 0 without labels.
+    weight of its evidence; 0 without labels. A label that another one narrows down
+    (``apache`` beside ``apache-2.0``) is no evidence of its own.
     """
     phrases = F.array(*[F.lit(p) for p in (BASE_PHRASES if base is None else base)])
     at = F.filter("places", lambda p: F.array_contains(phrases, p["phrase"]))
     starts = F.transform(at, lambda p: p["word"])
     noticed = F.array_distinct(F.transform("places", lambda p: p["label"]))
     text = lambda labels: F.array_join(F.array_sort(F.array_distinct(labels)), ",")
-    tagged, plain = F.size("tag_labels"), F.size(F.array_except(noticed, "tag_labels"))
+    every = F.array_distinct(F.concat(noticed, "tag_labels"))
+    narrowed = lambda x: F.exists(every, lambda y: y.startswith(F.concat(x, F.lit("-"))))
+    own = F.filter(every, lambda x: ~narrowed(x))
+    tagged, plain = F.size(F.array_intersect(own, "tag_labels")), F.size(F.array_except(own, "tag_labels"))
     doubt = F.pow(F.lit(1 - TAG_WEIGHT), tagged) * F.pow(F.lit(1 - PHRASE_WEIGHT), plain)
     return scanned.select(
         "doc_id",

@@ -18,9 +18,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crmweave.llm.common import bounded_batches, documents, tasks
+from crmweave.llm.common import bounded_batches, documents, tasks, text_hash
 from crmweave.llm.components import components
-from crmweave.llm.shingle_join import alike_links, similarity  # noqa: F401  (similarity is used from here)
 from crmweave.session import write_table
 
 BITS, SEED = 64, 42
@@ -63,16 +62,22 @@ def fingerprint(text: str, shingle: int) -> int:
 
 def fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
     """``(doc_id, fp)`` per row of ``docs``; ``fp`` is the fingerprint as a signed long."""
-    rows = bounded_batches(documents(docs))
-    id_type = rows.schema["doc_id"].dataType.simpleString()
+    return _fingerprinted(documents(docs), shingle)
+
+
+def _fingerprinted(rows: DataFrame, shingle: int) -> DataFrame:
+    """``rows`` with ``fp`` in place of their last column, the text."""
+    rows = bounded_batches(rows)
+    kept = [f"{c.name} {c.dataType.simpleString()}" for c in rows.schema[:-1]]
+    names = [*rows.columns[:-1], "fp"]
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts = batch.columns
+            *others, texts = batch.columns
             fps = np.array([fingerprint(t.as_py(), shingle) for t in texts], np.uint64)
-            yield pa.RecordBatch.from_arrays([ids, pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*others, pa.array(fps.view(np.int64))], names)
 
-    return rows.mapInArrow(made, f"doc_id {id_type}, fp bigint")
+    return rows.mapInArrow(made, ", ".join([*kept, "fp bigint"]))
 
 
 def planes_of(values: np.ndarray) -> np.ndarray:
@@ -287,6 +292,15 @@ def links(fps: DataFrame, radius: int, agree: int = 2) -> DataFrame:
 HELD = 1 << 16
 
 
+def _labels(rows: DataFrame, radius: int, agree: int) -> DataFrame:
+    """``(fp, label)`` for every fingerprint of ``rows``; groups of near ones share a label."""
+    nodes = rows.select("fp").distinct()
+    found = components(links(nodes, radius, agree))
+    return nodes.join(found, nodes["fp"] == found["node"], "left").select(
+        "fp", F.coalesce("label", "fp").alias("label")
+    )
+
+
 def near_groups(docs: DataFrame, shingle: int = 4, radius: int = 4, agree: int = 2) -> DataFrame:
     """``(doc_id, fingerprint, component_id)`` for every row of ``docs``.
 
@@ -296,12 +310,8 @@ def near_groups(docs: DataFrame, shingle: int = 4, radius: int = 4, agree: int =
     id has a null component. Only ``doc_id`` and ``text`` are read, whole.
     """
     rows = write_table(fingerprints(docs, shingle), "fingerprints")
-    nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    labels = components(links(nodes.select("fp"), radius, agree))
-    labelled = nodes.join(labels, nodes["fp"] == labels["node"], "left").select(
-        "fp", "least", F.coalesce("label", "fp").alias("label")
-    )
-    labelled = write_table(labelled, "labels")
+    least = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    labelled = write_table(_labels(rows, radius, agree).join(least, "fp"), "labels")
     least = labelled.groupBy("label").agg(F.min("least").alias("component_id"))
     found = labelled.join(least, "label").select(F.col("fp").alias("__fp"), "component_id")
     joined = rows.join(found, F.col("fp") == F.col("__fp"))
@@ -309,30 +319,33 @@ def near_groups(docs: DataFrame, shingle: int = 4, radius: int = 4, agree: int =
     return joined.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
-def verified_groups(docs: DataFrame, shingle: int = 5, least_similarity: float = 0.8) -> DataFrame:
-    """``(doc_id, component_id)`` for documents that are near copies of others.
+def keep_one_of_each(docs: DataFrame, shingle: int = 4, radius: int = 4, agree: int = 2) -> DataFrame:
+    """One row of each group of ``near_groups``, with all columns of ``docs``.
 
-    The Jaccard similarity of ``shingle``-word shingles decides; groups are the components of
-    all pairs that are alike. Candidates come from an exact set join, not from fingerprints.
-    Ids must be integers; rows without an id are in no group, of repeated rows with one id the
-    largest text counts, and a null text counts as empty.
+    The smallest id of a group stays; where texts of one group share it, the one of the
+    smallest content hash. A row is judged by its id and text, so unlike texts under one id are
+    judged apart, also where the id is null, which comes after every id. Of repeated rows
+    one stays. Without rows there are none.
     """
-    texts = documents(docs).where("doc_id IS NOT NULL")
-    texts = texts.groupBy("doc_id").agg(F.max("text").alias("text")) if _repeats(texts) else texts
-    return components(alike_links(texts, shingle, least_similarity)).toDF("doc_id", "component_id")
-
-
-def _repeats(texts: DataFrame) -> bool:
-    return not texts.groupBy("doc_id").count().where("count > 1").isEmpty()
-
-
-def keep_one_of_each(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` less the near copies of a document that stays, with all their columns.
-
-    Of each group the smallest id stays. Rows without an id stay.
-    """
-    groups = verified_groups(docs, **options).where("doc_id != component_id")
-    inner = [f"c{i}" for i in range(len(docs.columns))]
-    key = F.col(inner[docs.columns.index("doc_id")])
-    copies = groups.select(F.col("doc_id").alias("__copy"))
-    return docs.toDF(*inner).join(copies, key == F.col("__copy"), "left_anti").toDF(*docs.columns)
+    keyed = documents(docs).select("doc_id", text_hash("text").alias("key"), "text")
+    rows = write_table(_fingerprinted(keyed, shingle), "fingerprints")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key")).alias("first")
+    labelled = _labels(rows, radius, agree).join(rows.groupBy("fp").agg(first), "fp")
+    labelled = write_table(labelled, "labels")
+    stays = labelled.groupBy("label").agg(F.min("first").alias("stays"))
+    found = labelled.join(stays, "label").select(F.col("fp").alias("__fp"), "stays")
+    judged = rows.join(found, F.col("fp") == F.col("__fp"))
+    kept = F.col("doc_id").eqNullSafe(F.col("stays.doc_id")) & (F.col("key") == F.col("stays.key"))
+    judged = judged.select(F.col("doc_id").alias("__id"), F.col("key").alias("__key"), kept.alias("kept"))
+    judged = write_table(judged, "judged")
+
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    own, text = (F.col(names[docs.columns.index(c)]) for c in ("doc_id", "text"))
+    inner = docs.toDF(*names).withColumns(
+        {"own_id": own, "own_key": text_hash(F.coalesce(text.cast("string"), F.lit("")))}
+    )
+    same = F.col("own_id").eqNullSafe(F.col("__id")) & (F.col("own_key") == F.col("__key"))
+    stay = inner.join(judged.where("NOT kept"), same, "left_anti")
+    if not judged.where("kept").groupBy("__id", "__key").count().where("count > 1").isEmpty():
+        stay = stay.dropDuplicates(["own_id", "own_key"])
+    return stay.select(*names).toDF(*docs.columns)

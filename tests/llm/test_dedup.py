@@ -137,14 +137,22 @@ def test_long_texts_are_whole(monkeypatch):
     assert simhash.fingerprint(text, 4) == whole
 
 
-def test_verified_groups(docs_of, prose):
-    texts = {i: t or "" for i, t in prose}
-    want = brute_components(texts, lambda i, j: simhash.similarity(texts[i], texts[j], 5) >= 0.8)
-    df = docs_of(prose + [(3, prose[3][1]), (None, "x")])
-    got = dict(simhash.verified_groups(df).collect())
-    assert {i: got.get(i, i) for i in texts} == want
-    kept = [r[1] for r in simhash.keep_one_of_each(df).collect()]
-    assert sorted(kept, key=str) == sorted([*{*want.values()}, *[3][: want[3] == 3], None], key=str)
+def test_one_of_each_group_stays(docs_of, prose):
+    """Unlike texts of one id are judged apart, also under a null id; repeated rows leave one."""
+    rows = prose + [(3, prose[3][1]), (1, "a short unlike text of its own"), (None, "all alone here")]
+    rows += [(None, prose[2][1]), (None, "all alone here")]
+    prints = [brute_fingerprint(t, 4) for _, t in rows]
+    group = brute_components(range(len(rows)), lambda i, j: (prints[i] ^ prints[j]).bit_count() <= 4)
+    groups = {}
+    for k, label in (group.items() if isinstance(group, dict) else enumerate(group)):
+        groups.setdefault(label, []).append(rows[k])
+    want = [min(g, key=lambda r: (r[0] is None, r[0] or 0))[0] for g in groups.values()]
+    df = docs_of(rows)
+    kept = simhash.keep_one_of_each(df)
+    assert kept.columns == df.columns
+    got = [(r[1], r[2]) for r in kept.collect()]
+    assert sorted((i for i, _ in got), key=str) == sorted(want, key=str)
+    assert (1, "a short unlike text of its own") in got and (None, "all alone here") in got
 
 
 def test_components_of_a_long_chain_and_a_star(spark):

@@ -5,8 +5,9 @@ import re
 import __spark_entry__
 import corpus_pipeline
 from conftest import DATA
+from test_dedup import brute_components, brute_fingerprint
 
-from crmweave.llm import packing, simhash
+from crmweave.llm import packing
 
 
 def test_stages(spark):
@@ -33,12 +34,8 @@ def test_stages(spark):
     best = {min(g, key=lambda i: (-len(texts[i]), i)) for g in groups.values()}
     assert kept["exact_dedup"] == best
 
-    root = {i: i for i in best}
-    for i in sorted(best):
-        for j in sorted(best):
-            if j < i and root[i] != root[j] and simhash.similarity(texts[i], texts[j], 5) >= 0.8:
-                a, b = sorted((root[i], root[j]))
-                root = {k: a if v == b else v for k, v in root.items()}
+    prints = {i: brute_fingerprint(texts[i], 4) for i in best}
+    root = brute_components(sorted(best), lambda i, j: (prints[i] ^ prints[j]).bit_count() <= 4)
     assert kept["near_dedup"] == set(root.values())
 
     def words(text):

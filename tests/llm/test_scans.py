@@ -102,19 +102,39 @@ def test_license_places(docs_of):
     assert license_scan.scan_licenses(docs_of([])).count() == 0
 
 
-@pytest.mark.parametrize("text,want", [
-    ("MIT", {("mit",)}),
-    ("MIT OR Apache-2.0", {("mit",), ("apache-2.0",)}),
-    ("MIT AND (Apache-2.0 OR GPL-2.0+)", {("apache-2.0", "mit"), ("gpl-2.0+", "mit")}),
-    ("A OR B AND C", {("a",), ("b", "c")}),
-    ("(A or B) and C", {("a", "c"), ("b", "c")}),
-    ("GPL-2.0 WITH Classpath-exception-2.0 OR MIT", {("gpl-2.0 with classpath-exception-2.0",), ("mit",)}),
-    ("A OR A AND B", {("a",)}),
-    ("MIT */", {("mit",)}),
+@pytest.mark.parametrize("text,needed,named", [
+    ("MIT", {"mit"}, {"mit"}),
+    ("MIT OR Apache-2.0", set(), {"mit", "apache-2.0"}),
+    ("MIT AND (Apache-2.0 OR GPL-2.0+)", {"mit"}, {"mit", "apache-2.0", "gpl-2.0+"}),
+    ("A OR B AND C", set(), {"a", "b", "c"}),
+    ("(A or B) and C", {"c"}, {"a", "b", "c"}),
+    ("(A OR B AND C) AND C", {"c"}, {"a", "b", "c"}),
+    ("GPL-2.0 WITH Classpath-exception-2.0 OR MIT", set(), {"gpl-2.0 with classpath-exception-2.0", "mit"}),
+    ("A OR A AND B", {"a"}, {"a"}),
+    ("A AND B OR A", {"a"}, {"a"}),
+    ("MIT */", {"mit"}, {"mit"}),
 ])
-def test_license_expressions(text, want):
-    offers = license_scan.alternatives(license_scan.to_postfix(text))
-    assert {tuple(sorted(o)) for o in offers} == want
+def test_license_expressions(text, needed, named):
+    offers = license_scan.evaluate(license_scan.to_postfix(text))
+    assert (offers.needed, offers.named) == (needed, named)
+
+
+def test_expressions_of_any_size():
+    """What WITH, AND and OR mean does not depend on how many of them there are."""
+    for n in (2, 6, 40):
+        many = " AND ".join(f"L{i}-1.0" for i in range(n))
+        expressions, labels = license_scan.tag_labels(
+            f"SPDX-License-Identifier: {many} AND GPL-2.0 WITH Classpath-exception-2.0")
+        assert len(expressions) == 1 and labels == sorted({"gpl"} | {f"l{i}-1.0" for i in range(n)})
+        options = " AND ".join(f"(L{i} OR M{i})" for i in range(n))
+        offers = license_scan.evaluate(license_scan.to_postfix(f"({options}) AND X OR X"))
+        assert offers.named == {"x"}
+
+
+def test_creative_commons_labels_and_narrowed_labels(docs_of):
+    rows = [(1, "SPDX-License-Identifier: CC-BY-NC-4.0"), (2, "Apache License, Version 2.0")]
+    digest = license_scan.license_digest(license_scan.scan_licenses(docs_of(rows))).collect()
+    assert [(r.labels, r.score) for r in sorted(digest)] == [("cc-by,cc-by-nc", 0.9), ("apache,apache-2.0", 0.6)]
 
 
 @pytest.mark.parametrize("text", ["", "AND", "A AND", "(A", "()", "A OR (B", "*"])
