@@ -15,30 +15,46 @@ from crmweave.llm.common import table
 from crmweave.session import write_table
 
 VOCABULARY, SEQUENCE, END = "word_bpe_49k.json", 4096, 1
+SHINGLE, RADIUS = 4, 4
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier, fitted on these documents' labels, lets pass."""
+    """Documents that the quality classifier, fitted on these documents' labels, lets pass.
+
+    A null text counts as empty; repeated rows are judged alike.
+    """
     return quality.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def no_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One of each group of texts that are equal without white space: the longest as written."""
+    """One of each group of texts that are equal without white space: the longest as written.
+
+    Null and empty texts are one group; of repeated rows one stays.
+    """
     return exact_dedup.keep_unique(docs)
 
 
 def no_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One of each group of near copies: five-word shingles alike by 0.8 or more."""
-    return simhash.keep_one_of_each(docs, shingle=5, least_similarity=0.8)
+    """One of each group of near copies: fingerprints of four words, at most four bits apart.
+
+    Null and empty texts are one group; of repeated rows one stays.
+    """
+    return simhash.keep_one_of_each(docs, SHINGLE, RADIUS)
 
 
 def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage that is like a benchmark item by 0.8 or more."""
+    """Documents without a passage that is like a benchmark item by 0.8 or more.
+
+    Null and empty texts hold none and stay; repeated rows are judged alike.
+    """
     return decontaminate.keep_clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Where each piece of each document lies in the training sequences."""
+    """Where each piece of each document lies in the training sequences.
+
+    A null text counts as empty, which is one end token; repeated rows are packed each.
+    """
     return packing.pack_documents(docs, public_tokenizers.path(VOCABULARY), SEQUENCE, END)
 
 
