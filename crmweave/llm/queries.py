@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from crmweave.llm import (
     decontaminate,
     exact_dedup,
+    lexical_search,
     license_scan,
     packing,
     quality,
@@ -111,6 +112,47 @@ FROM ruled
 """
 
 
+RESULTS = 20
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return lexical_search.search(docs, items, RESULTS)
+
+
+OP13_SQL = r"""
+WITH words AS (
+    SELECT doc_id, regexp_extract_all(
+               translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS words
+    FROM documents
+), sized AS (
+    SELECT row_number() OVER () AS r, doc_id, words, len(words) AS n FROM words WHERE len(words) > 0
+), corpus AS (
+    SELECT count(*)::BIGINT AS big_n, sum(n)::BIGINT AS big_l FROM sized
+), tfs AS (
+    SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(words) AS term FROM sized) GROUP BY r, term
+), weights AS (
+    SELECT term, floor(1000 * ln((2 * big_n + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+    FROM tfs, corpus GROUP BY term, big_n
+), asked AS (
+    SELECT item_id, unnest(regexp_extract_all(
+               translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM (SELECT DISTINCT item_id, text FROM benchmark)
+), scored AS (
+    SELECT item_id, doc_id, r,
+           sum(w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * big_n) // big_l))))::BIGINT AS score
+    FROM asked JOIN weights USING (term) JOIN tfs USING (term) JOIN sized USING (r), corpus
+    GROUP BY item_id, doc_id, r
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank
+    FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_repeated_spans": op2_repeated_spans,
@@ -122,5 +164,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_packing": op9_packing,
     "op10_url_filter": op10_url_filter,
+    "op13_lexical_search": op13_lexical_search,
 }
-ORACLES = {"op6_exact_dedup": OP6_SQL, "op10_url_filter": OP10_SQL}
+ORACLES = {"op6_exact_dedup": OP6_SQL, "op10_url_filter": OP10_SQL, "op13_lexical_search": OP13_SQL}
