@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from crmweave.llm import (
     decontaminate,
     exact_dedup,
+    hard_negatives,
     lexical_search,
     license_scan,
     packing,
@@ -20,7 +22,7 @@ from crmweave.llm import (
     token_count,
     url_filter,
 )
-from crmweave.llm.common import table
+from crmweave.llm.common import pick, table
 
 SHARDS = 24
 COUNTED, PACKED = "byte_bpe_50k.json", "word_bpe_49k.json"
@@ -112,6 +114,40 @@ FROM ruled
 """
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh row's label is moved on by one first."""
+    vectors = pick(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", "label")
+    moved = F.expr("if(vec_id % 7 = 0, (label + 1) % 10, label)")
+    return hard_negatives.mine(vectors.withColumn("label", moved), "vec_id % 50 = 0", 5, 3, 50, 95)
+
+
+OP11_SQL = r"""
+WITH held AS (
+    SELECT row_number() OVER () AS r, vec_id,
+           CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           [floor(256 * x::DOUBLE)::BIGINT for x in embedding] AS v
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+      AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+), scored AS (
+    SELECT a.r AS a, a.vec_id AS anchor_id, b.r AS b, b.vec_id, a.label = b.label AS alike,
+           list_inner_product(a.v::DOUBLE[], b.v::DOUBLE[])::BIGINT AS score
+    FROM held a, held b WHERE a.vec_id % 50 = 0 AND a.r <> b.r
+), positives AS (
+    SELECT *, row_number() OVER (PARTITION BY a ORDER BY score DESC, vec_id, b) AS place
+    FROM scored WHERE alike
+), negatives AS (
+    SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id,
+           p.score AS positive_score, n.score AS negative_score,
+           row_number() OVER (PARTITION BY p.a, p.place ORDER BY n.score DESC, n.vec_id, n.b)::INTEGER AS rank
+    FROM positives p JOIN scored n ON n.a = p.a AND NOT n.alike
+     AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+    WHERE p.place <= 5
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score
+FROM negatives WHERE rank <= 3
+"""
+
 RESULTS = 20
 
 
@@ -164,6 +200,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_packing": op9_packing,
     "op10_url_filter": op10_url_filter,
+    "op11_hard_negatives": op11_hard_negatives,
     "op13_lexical_search": op13_lexical_search,
 }
-ORACLES = {"op6_exact_dedup": OP6_SQL, "op10_url_filter": OP10_SQL, "op13_lexical_search": OP13_SQL}
+ORACLES = {
+    "op6_exact_dedup": OP6_SQL,
+    "op10_url_filter": OP10_SQL,
+    "op11_hard_negatives": OP11_SQL,
+    "op13_lexical_search": OP13_SQL,
+}
