@@ -14,6 +14,7 @@ from crmweave.llm import (
     hard_negatives,
     lexical_search,
     license_scan,
+    maxent_lm,
     packing,
     quality,
     sharding,
@@ -148,6 +149,10 @@ SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score
 FROM negatives WHERE rank <= 3
 """
 
+def op12_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent_lm.score_documents(table(spark, sf_dir, "documents"), folds=10)
+
+
 RESULTS = 20
 
 
@@ -201,6 +206,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_packing": op9_packing,
     "op10_url_filter": op10_url_filter,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_lm_scores": op12_lm_scores,
     "op13_lexical_search": op13_lexical_search,
 }
 ORACLES = {

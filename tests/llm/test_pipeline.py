@@ -59,6 +59,6 @@ def packing_capacity():
 
 def test_every_query_is_registered():
     names = set(__spark_entry__.queries())
-    assert {n.split("_")[0] for n in names if re.match(r"op\d", n)} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in names if re.match(r"op\d", n)} == {f"op{i}" for i in range(1, 14)}
     assert "pipeline" in names
     assert len(corpus_pipeline.STAGES) == 5
