@@ -39,8 +39,8 @@ ROOT = CLASSES
 START = CLASSES * SLOTS
 # Rows of the weight table, and rows that are added up together.
 ROWS, PART = 1 << 16, 128
-# Words of a block, and events that are scored at once.
-BLOCK, EVENTS = 1 << 21, 1 << 15
+# Words of a block, words whose events are gathered, and distinct events scored at once.
+BLOCK, EVENTS, SCORED = 1 << 21, 1 << 19, 1 << 14
 # Fixed value: what is added to every count.
 SMOOTHING = 0.1
 # Rounds after the first, and how far each of them goes.
@@ -206,32 +206,48 @@ def feature_rows(context: np.ndarray, before: np.ndarray, second: np.ndarray) ->
 
 @dataclass
 class Events:
-    """Two events a word: its class after the history, and its slot within the class."""
+    """Two events a word: its class after the history, and its slot within the class.
+
+    Events that share context and history share their features, so they are kept once:
+    ``which`` says for each word which of them is its own.
+    """
 
     context: np.ndarray
-    target: np.ndarray
     rows: list[np.ndarray]
+    which: np.ndarray
+    target: np.ndarray
+
+    def slices(self) -> Iterator[slice]:
+        return (slice(at, at + SCORED) for at in range(0, len(self.context), SCORED))
 
 
 def events_of(symbols: np.ndarray, starts: np.ndarray) -> Iterator[tuple[slice, Events]]:
-    """Events of the words of some texts, some thousand words at a time, classes and slots apart."""
+    """Events of the words of some texts, some at a time, classes and slots apart."""
     before = np.r_[np.uint16(START), symbols[:-1]]
     before[starts] = START
     second = np.r_[np.uint16(START), before[:-1]]
     second[starts] = START
+    wide = np.uint32(START + 1)
     for at in range(0, len(symbols), EVENTS):
         part = slice(at, at + EVENTS)
         kind, slot = np.divmod(symbols[part], np.uint16(SLOTS))
+        history = before[part] * wide + second[part]
         for context, target in ((np.full(len(kind), ROOT, np.uint16), kind), (kind, slot)):
-            yield part, Events(context, target, feature_rows(context, before[part], second[part]))
+            alike, which = np.unique(context * wide * wide + history, return_inverse=True)
+            alike, second_of = np.divmod(alike, wide)
+            context_of, before_of = np.divmod(alike, wide)
+            rows = feature_rows(context_of, before_of, second_of)
+            yield part, Events(context_of, rows, which, target)
 
 
-def scores_of(events: Events, bias: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """Per event the exponential of each slot's score. Weights are limited, so none overflows."""
-    scores = bias[events.context]
+def scores_of(events: Events, part: slice, bias: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Per distinct event the probability of each slot. Weights are limited, so none overflows."""
+    scores = bias[events.context[part]]
     for rows in events.rows:
-        scores += weights[rows]
-    return np.exp(scores, out=scores)
+        scores += weights[rows[part]]
+    np.exp(scores, out=scores)
+    scores /= scores.sum(axis=1, keepdims=True)
+    return scores
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, pa.RecordBatch, int]]:
@@ -260,10 +276,11 @@ def first_gradient(bias: np.ndarray) -> Callable:
         observed = np.zeros(ROWS * SLOTS, np.int64)
         contexts = np.zeros(ROWS * (CLASSES + 1), np.int64)
         for _, events in _learned(batches):
+            number = np.bincount(events.which, minlength=len(events.context))
             for rows in events.rows:
                 wide = rows.astype(np.int64)
-                observed += np.bincount(wide * SLOTS + events.target, minlength=len(observed))
-                contexts += np.bincount(wide * (CLASSES + 1) + events.context, minlength=len(contexts))
+                observed += np.bincount(wide[events.which] * SLOTS + events.target, minlength=len(observed))
+                np.add.at(contexts, wide * (CLASSES + 1) + events.context, number)
         expected = contexts.reshape(ROWS, -1) @ plain
         yield np.hstack([observed.reshape(ROWS, SLOTS), expected])
 
@@ -274,16 +291,18 @@ def gradient(bias: np.ndarray, weights: np.ndarray) -> Callable:
     """Observed less expected counts of every weight."""
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
-        total = np.zeros((ROWS, SLOTS))
+        total = np.zeros((ROWS, SLOTS), np.float32)
         for _, events in _learned(batches):
-            part = scores_of(events, bias, weights)
-            part /= -part.sum(axis=1, keepdims=True)
-            part[np.arange(len(part)), events.target] += 1
+            number = np.bincount(events.which, minlength=len(events.context)).astype(np.float32)
             for rows in events.rows:
-                order = np.argsort(rows, kind="stable")
-                ranked = rows[order]
-                first = np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]])
-                total[ranked[first]] += np.add.reduceat(part[order], first, axis=0)
+                places = rows.astype(np.int64)[events.which] * SLOTS + events.target
+                total += np.bincount(places, minlength=total.size).reshape(ROWS, SLOTS)
+            for part in events.slices():
+                expected = scores_of(events, part, bias, weights)
+                expected *= number[part, None]
+                for rows in events.rows:
+                    places = rows[part].astype(np.int64)[:, None] * SLOTS + np.arange(SLOTS)
+                    np.subtract.at(total.reshape(-1), places.ravel(), expected.ravel())
         yield total
 
     return summed
@@ -345,10 +364,9 @@ def _scored(ready: DataFrame, bias: np.ndarray, weights: np.ndarray) -> DataFram
         for symbols, lengths, batch, i in _texts(batches):
             starts = np.r_[0, np.cumsum(lengths)[:-1]]
             logs = np.zeros(len(symbols))
-            for part, events in events_of(symbols, starts):
-                scores = scores_of(events, bias, weights)
-                reached = scores[np.arange(len(scores)), events.target]
-                logs[part] += np.log(reached / scores.sum(axis=1))
+            for words, events in events_of(symbols, starts):
+                by_slot = [np.log(scores_of(events, part, bias, weights)) for part in events.slices()]
+                logs[words] += np.concatenate(by_slot)[events.which, events.target]
             model = np.add.reduceat(logs, starts) / log(10) + batch.column("tail")[i].values.to_numpy()
             take = lambda name: batch.column(name)[i].values
             columns = [take("doc_ids"), take("held"), pa.array(lengths, pa.int64()), take("known")]

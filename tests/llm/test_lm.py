@@ -107,8 +107,8 @@ def test_probabilities_sum_to_one(docs_of):
         scored = []
         for context in range(lm.CLASSES + 1):
             rows_ = lm.feature_rows(np.array([context], np.uint16), *history)
-            part = lm.scores_of(lm.Events(np.array([context]), np.array([0]), rows_), bias, weights)[0]
-            scored.append(part / part.sum())
+            events = lm.Events(np.array([context]), rows_, np.array([0]), np.array([0]))
+            scored.append(lm.scores_of(events, slice(0, 1), bias, weights)[0])
         joint = scored[lm.ROOT][:, None] * np.array(scored[: lm.CLASSES])
         slots = joint.ravel()
         words = slots[: len(known.head)].sum()
@@ -137,12 +137,13 @@ def test_gradient_is_observed_less_expected():
 
     def likelihood(w):
         return sum(
-            np.log(s[np.arange(len(s)), e.target] / s.sum(axis=1)).sum()
-            for _, e in learned for s in [lm.scores_of(e, bias, w).astype(float)]
+            np.log(lm.scores_of(e, slice(None), bias, w).astype(float))[e.which, e.target].sum()
+            for _, e in learned
         )
 
     [got] = lm.gradient(bias, weights)(iter([batch]))
-    for row, slot in zip(learned[0][1].rows[0][:8], learned[0][1].target[:8]):
+    events = learned[0][1]
+    for row, slot in zip(events.rows[0][events.which][:8], events.target[:8]):
         step = np.zeros_like(weights)
         step[row, slot] = 0.05
         slope = (likelihood(weights + step) - likelihood(weights - step)) / 0.1
