@@ -8,6 +8,9 @@ from checks.registry import check
 from checks.views import Tables
 from crmweave.operators import accounts, dedupe, enrich
 from crmweave.operators.dedupe import HASH, content_hash
+from crmweave.operators.mapping import EXTERNAL_ID
+from crmweave.session import scratch_path
+from crmweave.sinks.snapshots import SnapshotStore
 
 SQL_HASH = "sha256(to_json({'annual_revenue': annual_revenue, 'externalId': \"externalId\", 'name': name})::VARCHAR)"
 
@@ -44,31 +47,50 @@ def sent_or_changed(t: Tables):
     return dedupe.drop_sent(_batch(t), t.view("contact_id_map"), changed)
 
 
-@check(
-    "detect_changed",
-    f"""SELECT c."externalId", c.h AS content_hash
+CHANGED_SQL = f"""SELECT c."externalId", c.h AS content_hash
     FROM (SELECT *, {SQL_HASH} AS h FROM current_accounts) c
     LEFT JOIN (SELECT *, {SQL_HASH} AS h FROM previous_accounts) p USING ("externalId")
-    WHERE p.h IS NULL OR p.h <> c.h""",
-)
+    WHERE p.h IS NULL OR p.h <> c.h"""
+
+
+@check("detect_changed", CHANGED_SQL)
 def changed(t: Tables):
     return dedupe.detect_changed(t.view("current_accounts"), _stored(t))
 
 
-@check(
-    "upsert_snapshot",
-    """SELECT "externalId", priority FROM account_changes
+UPSERT_SQL = """SELECT "externalId", priority FROM account_changes
     QUALIFY row_number() OVER (PARTITION BY "externalId" ORDER BY version DESC) = 1
     UNION ALL
     SELECT "externalId", priority FROM account_state
-    WHERE "externalId" NOT IN (SELECT "externalId" FROM account_changes)""",
-)
+    WHERE "externalId" NOT IN (SELECT "externalId" FROM account_changes)"""
+
+
+@check("detect_changed_pruned", CHANGED_SQL)
+def changed_pruned(t: Tables):
+    """State in a store, of which only the parts are read that the batch's ids can lie in."""
+    store = SnapshotStore(t.spark, scratch_path(t.spark, "state"))
+    store.commit({"accounts": store.upsert("accounts", _stored(t))})
+    current = t.view("current_accounts")
+    return dedupe.detect_changed(current, store.read("accounts", current))
+
+
+@check("upsert_snapshot", UPSERT_SQL)
 def upsert(t: Tables):
     return dedupe.upsert_snapshot(
         t.view("account_state"), t.view("account_changes"), order_by="version"
     )
 
 
+@check("upsert_store", UPSERT_SQL)
+def upsert_store(t: Tables):
+    """The same through a store whose parts are split as the state grows."""
+    store = SnapshotStore(t.spark, scratch_path(t.spark, "state"), part_bytes=1 << 10)
+    store.commit({"accounts": store.upsert("accounts", t.view("account_state"))})
+    changes = dedupe.latest_per_key(t.view("account_changes"), EXTERNAL_ID, "version")
+    store.commit({"accounts": store.upsert("accounts", changes)})
+    return store.read("accounts")
+
+
 @check(
     "split_contact_lead",
     """SELECT id, CASE WHEN m.InputId IS NULL THEN 'Lead' ELSE 'Contact' END AS kind

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from crmweave.jvm import delete_path
 from crmweave.operators.accounts import CONTACT, LEAD
+from crmweave.operators.mapping import EXTERNAL_ID
 from crmweave.plans import common, hubspot, marketo, salesforce
 from crmweave.plans.result import FieldMaps, WriteResult
 from crmweave.session import prepare_session
@@ -97,8 +98,11 @@ class SyncRun:
         df.write.parquet(path)
         return self.spark.read.parquet(path)
 
-    def state(self, name: str) -> DataFrame | None:
-        return self.store.read(f"{name}_{self.flow}")
+    def state(self, name: str, batch: DataFrame | None = None, key: str = EXTERNAL_ID) -> DataFrame | None:
+        """Stored state; with ``batch``, the parts of it that the batch's ``key`` can be in."""
+        if batch is None or key not in batch.columns:
+            return self.store.read(f"{name}_{self.flow}")
+        return self.store.read(f"{name}_{self.flow}", batch, key)
 
     def emit(self, stream: str, df: DataFrame, **options) -> str | None:
         return write_singer(df, stream, self.output_dir, **options)
@@ -144,8 +148,8 @@ def _salesforce_write(
     accounts = run.stream("accounts")
     if accounts is not None:
         result = salesforce.accounts_write(
-            accounts, run.by_connector, run.id_map("Account"), run.state("Account.content"),
-            run.write_table,
+            accounts, run.by_connector, run.id_map("Account"),
+            run.state("Account.content", accounts, "id"), run.write_table,
         )
         paths += run.write(result)
     contacts = run.stream("contacts", with_line=True)
@@ -179,8 +183,9 @@ def _hubspot_write(run: SyncRun) -> list[str]:
     accounts = run.stream("accounts")
     if accounts is not None and "accounts" in run.stream_names:
         name = run.stream_names["accounts"]
+        key = EXTERNAL_ID if EXTERNAL_ID in accounts.columns else "id"
         result = hubspot.accounts_write(
-            accounts, run.stream_names, run.id_map(name), run.state(f"{name}.content"),
+            accounts, run.stream_names, run.id_map(name), run.state(f"{name}.content", accounts, key),
             run.write_table,
         )
         paths += run.write(result)

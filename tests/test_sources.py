@@ -1,11 +1,14 @@
 import json
+import threading
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
-from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from crmweave.session import scratch_path
+from crmweave.sinks import snapshots
 from crmweave.sinks.singer import observed_types, singer_records, singer_schema, write_singer
-from crmweave.sinks.snapshots import SnapshotStore
+from crmweave.sinks.snapshots import CommitConflict, SnapshotStore
 from crmweave.sources import tenants
 from crmweave.sources.id_maps import LINE, read_id_map
 from crmweave.sources.streams import read_typed, scan_stream
@@ -173,7 +176,7 @@ def test_snapshots_count_once_committed(spark, tmp_path):
     assert one.read("a").count() == 3 and one.read("b").count() == 1
     one.commit({"a": one.upsert("a", keyed(spark, [2, 3, None], "y"))})
     # The second run started from the same commit; what it would write is out of date.
-    with pytest.raises(AnalysisException):
+    with pytest.raises(CommitConflict):
         two.commit({"a": two.upsert("a", keyed(spark, range(9)))})
     now = SnapshotStore(spark, str(tmp_path))
     found = sorted((r.externalId or "", r.v) for r in now.read("a").collect())
@@ -190,11 +193,99 @@ def test_untouched_parts_keep_their_files(spark, tmp_path):
     before = dict(store.states["a"])
     store.commit({"a": store.upsert("a", keyed(spark, [7], "y"))})
     changed = {k for k, v in store.states["a"].items() if before[k] != v}
-    assert len(before) == 64 and len(changed) == 1
+    assert before["parts"] == "64" and len(before) == 65 and len(changed) == 1
     assert store.read("a").count() == 500 and store.read("a").where("v = 'y'").count() == 1
     assert store.upsert("a", keyed(spark, [])) == store.states["a"]
 
 
+def test_one_of_two_writers_wins(spark, tmp_path):
+    """Fifty rounds of two threads that commit from one base."""
+    for n in range(1, 51):
+        stores = [SnapshotStore(spark, str(tmp_path)) for _ in range(2)]
+        start = threading.Barrier(2)
+
+        def commit(i, stores=stores, start=start, n=n):
+            start.wait()
+            try:
+                stores[i].commit({"a": {"0": f"round{n}-of{i}"}})
+            except CommitConflict:
+                return "lost"
+            return f"round{n}-of{i}"
+
+        with ThreadPoolExecutor(2) as pool:
+            ends = list(pool.map(commit, range(2)))
+        assert sorted(e == "lost" for e in ends) == [False, True]
+        [commit_file] = (tmp_path / "_commits").glob(f"commit={n:08d}")
+        assert len(commit_file.read_text().splitlines()) == 1
+        assert SnapshotStore(spark, str(tmp_path)).states["a"]["0"] == next(e for e in ends if e != "lost")
+    assert not list((tmp_path / "_commits").glob("_draft*"))
+
+
+def test_a_writer_that_lost_takes_back_its_tables(spark, tmp_path):
+    one, two = (SnapshotStore(spark, str(tmp_path)) for _ in range(2))
+    states = [s.upsert("a", keyed(spark, [n])) for n, s in enumerate((one, two))]
+    one.commit({"a": states[0]})
+    with pytest.raises(CommitConflict):
+        two.commit({"a": states[1]})
+    assert len(list((tmp_path / "a").glob("table=*"))) == 1
+    assert [r.externalId for r in SnapshotStore(spark, str(tmp_path)).read("a").collect()] == ["0"]
+
+
+def test_commits_written_as_folders_are_read(spark, tmp_path):
+    spark.range(3).selectExpr("CAST(id AS string) AS externalId").write.parquet(str(tmp_path / "a/table=1/__part=5"))
+    states = '{"a": {"5": "table=1/__part=5"}}'
+    spark.createDataFrame([(states,)], "v string").coalesce(1).write.text(str(tmp_path / "_commits/commit=00000003"))
+    store = SnapshotStore(spark, str(tmp_path))
+    assert store.base == 3 and store.read("a").count() == 3
+    store.commit({})
+    assert SnapshotStore(spark, str(tmp_path)).base == 4
+
+
+@pytest.mark.parametrize("before,after", [(64, 65), (64, 200), (65, 130), (4, 31)])
+def test_added_parts_take_keys_from_one_part_each(spark, before, after):
+    key = F.col("id").cast("string")
+    rows = spark.range(20000).select(
+        snapshots.part_of(key, before).alias("old"), snapshots.part_of(key, after).alias("new")
+    ).distinct().collect()
+    assert {r.new for r in rows} == set(range(after)) and {r.old for r in rows} == set(range(before))
+    assert all(snapshots._old_part(r.new, before) == r.old for r in rows)
+
+
+def test_a_state_that_outgrows_its_parts_splits_some(spark, tmp_path):
+    store = SnapshotStore(spark, str(tmp_path))
+    store.commit({"a": store.upsert("a", keyed(spark, range(2000)))})
+    before = dict(store.states["a"])
+    reader = SnapshotStore(spark, str(tmp_path))
+    size = sum(f.stat().st_size for f in (tmp_path / "a").rglob("*.parquet"))
+    growing = SnapshotStore(spark, str(tmp_path), part_bytes=size // 70)
+    growing.commit({"a": growing.upsert("a", keyed(spark, [7, 5000], "y"))})
+    after = growing.states["a"]
+    added = int(after["parts"]) - 64
+    assert 5 <= added <= 8
+    kept = {k for k in before if before[k] == after.get(k)}
+    # What is split is rewritten, and the parts of the two keys; all others keep their files.
+    assert set(map(str, range(added))) & kept == set() and len(kept) >= 64 - added - 2
+    rows = growing.read("a").collect()
+    assert len(rows) == 2001 and {r.externalId for r in rows if r.v == "y"} == {"7", "5000"}
+    assert reader.read("a").where("v = 'x'").count() == 2000
+    fresh = SnapshotStore(spark, str(tmp_path))
+    fresh.commit({"a": fresh.upsert("a", keyed(spark, [1999], "z"))})
+    assert fresh.read("a").count() == 2001 and fresh.states["a"]["parts"] == after["parts"]
+
+
+def test_only_the_parts_of_a_batch_are_read(spark, tmp_path):
+    store = SnapshotStore(spark, str(tmp_path))
+    assert store.read("a", keyed(spark, [1])) is None
+    store.commit({"a": store.upsert("a", keyed(spark, range(500)))})
+    batch = keyed(spark, [7, 8, 9000, None])
+    few, whole = store.read("a", batch), store.read("a")
+    parts = {p.split("__part=")[1].split("/")[0] for p in few.inputFiles()}
+    assert len(parts) <= 3 and {r.externalId for r in few.collect()} >= {"7", "8"}
+    assert len(few.inputFiles()) < len(whole.inputFiles()) / 10
+    missing = store.read("a", keyed(spark, [None]))
+    assert missing.count() == 0 and missing.columns == whole.columns
+
+
 def test_old_state_is_removed(spark, tmp_path):
     for n in range(1, 7):
         store = SnapshotStore(spark, str(tmp_path))
