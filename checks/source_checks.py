@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from checks.registry import check
 from checks.views import Tables
+from crmweave.operators.dedupe import latest_per_key
 from crmweave.session import scratch_path
 from crmweave.sources import tenants
 from crmweave.sources.id_maps import read_id_map
+from crmweave.sources.lines import LINE
 from crmweave.sources.streams import read_typed, scan_stream
 
 
@@ -55,6 +57,54 @@ def scan_lines(t: Tables):
     return scan_stream(t.spark, folder, "events", "event_id long, event_type string, value double")
 
 
+_MIXED = """SELECT {id} AS id, c_name AS name, {balance} AS balance, {tags} AS tags
+  FROM customer WHERE c_custkey % 3 = {third}"""
+
+
+@check(
+    "scan_stream_mixed",
+    "\nUNION ALL\n".join([
+        _MIXED.format(third=0, id="CAST(c_custkey AS VARCHAR)", balance="c_custkey * 1.0::DOUBLE", tags="NULL"),
+        _MIXED.format(third=1, id="'c' || c_custkey", balance="c_acctbal::DOUBLE", tags="c_mktsegment"),
+        _MIXED.format(
+            third=2, id="CAST(c_custkey AS VARCHAR)", balance="NULL",
+            tags="""'{"k":' || c_nationkey || ',"s":"' || c_mktsegment || '"}'""",
+        ),
+    ]),
+)
+def scan_mixed(t: Tables):
+    """Files of one stream with ids as numbers and as text, and a column of three types."""
+    folder = scratch_path(t.spark, "staged")
+    customers = t.table("customer")
+    files = [
+        ("c_custkey AS id", "CAST(c_custkey AS int) AS balance", "CAST(NULL AS int) AS tags"),
+        ("'c' || c_custkey AS id", "CAST(c_acctbal AS double) AS balance", "c_mktsegment AS tags"),
+        ("CAST(c_custkey AS int) AS id", None, "struct(c_nationkey AS k, c_mktsegment AS s) AS tags"),
+    ]
+    for third, columns in enumerate(files):
+        part = customers.where(F.col("c_custkey") % 3 == third)
+        part = part.selectExpr("c_name AS name", *[c for c in columns if c])
+        part.write.parquet(f"{folder}/customers-{third}.parquet")
+    found = scan_stream(t.spark, folder, "customers")
+    return found.select("id", "name", "balance", "tags")
+
+
+@check(
+    "scan_records_last",
+    """SELECT user_id, event_id, value FROM events
+    QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1""",
+)
+def scan_last(t: Tables):
+    """Message files in which the last record of a user counts."""
+    folder = scratch_path(t.spark, "staged")
+    lines = t.table("events").select("event_id", "user_id", "value").sort("event_id")
+    record = F.to_json(F.struct("event_id", "user_id", "value"))
+    lines.select(record).coalesce(1).write.text(f"{folder}/events-1.jsonl")
+    records = scan_stream(t.spark, folder, "events", with_line=True)
+    last = latest_per_key(records, "user_id", LINE)
+    return last.select("user_id", "event_id", "value")
+
+
 @check("read_id_map", "SELECT InputId, RemoteId FROM account_id_map")
 def id_map(t: Tables):
     folder = scratch_path(t.spark, "snapshots")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +13,8 @@ from crmweave.functions.jsontext import is_json_sql
 from crmweave.functions.text import strip
 from crmweave.jvm import matches
 from crmweave.session import scratch_path
-from crmweave.sources.lines import LINE, parquet_line
+from crmweave.sources.lines import LINE, parquet_line, text_line
+from crmweave.sources.merging import read_parquet
 
 logger = logging.getLogger(__name__)
 
@@ -50,55 +51,80 @@ def scan_stream(
 ) -> DataFrame:
     """All files of a stream as one frame; parquet wins over record files.
 
-    Without a schema, the columns of record files are inferred from all their records, which
-    are written once, under ``scratch(label)``, for that. ``with_line`` adds the position of
-    parquet rows, for "the last row wins". A stream without files gives no rows.
+    Parquet files may differ in columns and in types (``merging``). Without a schema, the columns
+    of record files are inferred from all their records, which are written once, under
+    ``scratch(label)``, for that. ``with_line`` adds the position of each row, for "the last row
+    wins". A stream without files gives no rows.
     """
     files = stream_paths(spark, input_dir, stream, [PARQUET_EXTENSION])
     if files:
-        reader = spark.read.schema(schema) if schema else spark.read.option("mergeSchema", True)
-        rows = reader.parquet(*files)
+        if schema is None:
+            return read_parquet(spark, files, with_line)
+        rows = spark.read.schema(schema).parquet(*files)
         return rows.withColumn(LINE, parquet_line()) if with_line else rows
     files = stream_paths(spark, input_dir, stream, RECORD_EXTENSIONS)
     if files:
-        records = parse_records(spark.read.text(files), stream, schema)
+        lines = spark.read.text(files)
+        lines = lines.withColumn(LINE, text_line()) if with_line else lines
+        records = parse_records(lines, stream, schema, keep=[LINE] if with_line else [])
         if schema is not None:
             return records
         path = scratch(stream) if scratch else scratch_path(spark, stream)
-        records.write.text(path)
-        return spark.read.options(**_STRICT).json(path)
+        return _inferred(records, path, with_line)
     logger.warning("no file for stream %r in %s", stream, input_dir)
     return spark.createDataFrame([], schema or T.StructType([]))
 
 
+def _inferred(records: DataFrame, path: str, with_line: bool) -> DataFrame:
+    """Records with the columns that all of them together have, by way of a written copy.
+
+    With lines, a record is written beside its own.
+    """
+    spark = records.sparkSession
+    if with_line:
+        parts = F.lit('{"record":'), F.col("record"), F.lit(',"line":'), F.to_json(LINE), F.lit("}")
+        records = records.select(F.concat(*parts))
+    records.write.text(path)
+    found = spark.read.options(**_STRICT).json(path)
+    if not with_line:
+        return found
+    if "record" not in found.columns:
+        return spark.createDataFrame([], T.StructType([]))
+    return found.select("record.*", F.col("line").alias(LINE))
+
+
 def read_typed(spark: SparkSession, input_dir: str, stream: str, schema: Schema) -> DataFrame:
     """A stream with declared types; columns a file lacks are null."""
     return scan_stream(spark, input_dir, stream, schema)
 
 
 def parse_records(
-    lines: DataFrame, stream: str, schema: Schema | None = None, column: str = "value"
+    lines: DataFrame,
+    stream: str,
+    schema: Schema | None = None,
+    column: str = "value",
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Records of one stream out of JSON lines.
 
     RECORD messages of this stream, or naming none, give their ``record`` (the whole message
     without one); SCHEMA and STATE messages, blank, malformed and non-object lines are
-    skipped; any other object is itself a record.
+    skipped; any other object is itself a record. Columns in ``keep`` stay beside the record.
     """
     text = strip(F.col(column))
     messages = F.from_json(F.concat(F.lit("["), text, F.lit("]")), _MESSAGES, _STRICT)
     parsed = (
-        lines.select(text.alias("text"), messages.alias("messages"))
+        lines.select(text.alias("text"), messages.alias("messages"), *keep)
         .where(f"startswith(text, '{{') AND {is_json_sql('text')} AND size(messages) = 1")
-        .select("text", F.get("messages", F.lit(0)).alias("m"))
+        .select("text", F.get("messages", F.lit(0)).alias("m"), *keep)
     )
     kind = F.coalesce(F.col("m.type"), F.lit(""))
     is_record = kind == "RECORD"
     ours = F.coalesce(F.col("m.stream"), F.lit(stream)) == stream
     payload = F.when(is_record, F.coalesce("m.record", "text")).otherwise(F.col("text"))
     records = parsed.where(~kind.isin("SCHEMA", "STATE") & (~is_record | ours)).select(
-        payload.alias("record")
+        payload.alias("record"), *keep
     )
     if schema is None:
         return records
-    return records.select(F.from_json("record", schema).alias("r")).select("r.*")
+    return records.select(F.from_json("record", schema).alias("r"), *keep).select("r.*", *keep)

@@ -5,11 +5,13 @@ from concurrent.futures import ThreadPoolExecutor
 import pytest
 from pyspark.sql import functions as F
 
+from crmweave.operators.dedupe import latest_per_key
+from crmweave.operators.enrich import list_lookup
 from crmweave.session import scratch_path
 from crmweave.sinks import snapshots
 from crmweave.sinks.singer import observed_types, singer_records, singer_schema, write_singer
 from crmweave.sinks.snapshots import CommitConflict, SnapshotStore
-from crmweave.sources import tenants
+from crmweave.sources import merging, tenants
 from crmweave.sources.id_maps import LINE, read_id_map
 from crmweave.sources.streams import read_typed, scan_stream
 
@@ -161,6 +163,60 @@ def test_written_stream_opens_with_its_schema(spark, tmp_path):
     assert [p.read_text() for p in (tmp_path / "empty").glob("*/part-*") if p.stat().st_size] == []
 
 
+def stage(spark, folder, name, sql):
+    spark.sql(sql).coalesce(1).write.parquet(str(folder / name))
+
+
+def test_files_of_different_types(spark, tmp_path):
+    stage(spark, tmp_path, "s-1.parquet", "SELECT 1 AS id, 1.5D AS x, named_struct('a', 1) AS n, array(1) AS l, true AS b")
+    stage(spark, tmp_path, "s-2.parquet", "SELECT 'a' AS id, 2 AS x, named_struct('a', 'q', 'z', 2L) AS n, array('p') AS l, 7 AS b")
+    stage(spark, tmp_path, "s-3.parquet", "SELECT 3L AS id, named_struct('a', 5) AS n, DATE'2024-01-02' AS d")
+    stage(spark, tmp_path, "s-4.parquet", "SELECT TIMESTAMP'2024-01-03 04:05:06' AS d, 4 AS id, array(3) AS n")
+    rows = scan_stream(spark, str(tmp_path), "s", with_line=True)
+    assert rows.columns[:-1] == ["id", "x", "n", "l", "b", "d"] and rows.columns[-1] == LINE
+    found = [r[:-1] for r in sorted(rows.collect(), key=lambda r: r[-1])]
+    assert [r[0] for r in found] == ["1", "a", "3", "4"] and [r[1] for r in found] == [1.5, 2.0, None, None]
+    assert [r[2] for r in found] == ['{"a":1}', '{"a":"q","z":2}', '{"a":5}', "[3]"]
+    assert [r[3] for r in found] == [["1"], ["p"], None, None] and [r[4] for r in found] == ["true", "7", None, None]
+    assert [str(r[5]) for r in found] == ["None", "None", "2024-01-02 00:00:00", "2024-01-03 04:05:06"]
+
+
+def test_a_folder_whose_files_disagree(spark, tmp_path):
+    for n, sql in enumerate(["SELECT 1 AS id", "SELECT 'a' AS id", "SELECT 2 AS id", "SELECT 3 AS id, 1 AS y"]):
+        spark.sql(sql).coalesce(1).write.mode("append").parquet(str(tmp_path / "s.parquet"))
+    found = scan_stream(spark, str(tmp_path), "s")
+    assert sorted(map(tuple, found.collect()), key=str) == [("1", None), ("2", None), ("3", 1), ("a", None)]
+    calls = merging.schema_groups(spark, [str(p) for p in sorted((tmp_path / "s.parquet").glob("part*"))])
+    assert sorted(len(files) for _, files in calls) == [1, 3]
+
+
+@pytest.mark.parametrize("a,b,want", [
+    ("int", "bigint", "bigint"), ("bigint", "double", "double"), ("float", "double", "double"),
+    ("void", "int", "int"), ("decimal(10,2)", "bigint", "decimal(21,2)"), ("decimal(38,30)", "bigint", "double"),
+    ("decimal(10,2)", "decimal(5,4)", "decimal(12,4)"), ("decimal(10,2)", "float", "double"),
+    ("boolean", "int", "string"), ("date", "string", "string"), ("array<int>", "array<string>", "array<string>"),
+    ("struct<a:int>", "struct<b:string,a:bigint>", "struct<a:bigint,b:string>"), ("struct<a:int>", "int", "string"),
+])
+def test_common_types(spark, a, b, want):
+    kind = lambda t: spark.sql(f"SELECT CAST(NULL AS {t}) AS x").schema["x"].dataType
+    assert merging.common_type(kind(a), kind(b)).simpleString() == want
+
+
+@pytest.mark.parametrize("schema", [None, "listId string, name string"])
+def test_the_last_row_of_record_files_wins(spark, tmp_path, schema):
+    lines = [{"listId": "1", "name": "old"}, {"listId": "2", "name": "zz"}, {"listId": "1", "name": "a new"}]
+    (tmp_path / "lists-1.jsonl").write_text("\n".join(map(json.dumps, lines)))
+    (tmp_path / "lists-2.jsonl").write_text('{"type": "RECORD", "stream": "lists", "record": {"listId": "2", "name": "b"}}')
+    rows = scan_stream(spark, str(tmp_path), "lists", schema, with_line=True)
+    assert {r.listId: r.name for r in latest_per_key(rows, "listId", LINE).collect()} == {"1": "a new", "2": "b"}
+    assert dict(list_lookup(rows).collect()) == {"1": "a new", "2": "b"}
+
+
+def test_record_files_without_records_have_no_line(spark, tmp_path):
+    (tmp_path / "s.jsonl").write_text('{"type": "STATE"}\n')
+    assert scan_stream(spark, str(tmp_path), "s", with_line=True).columns == []
+
+
 def keyed(spark, ids, value="x"):
     rows = [(None if i is None else str(i), value) for i in ids]
     return spark.createDataFrame(rows, "externalId string, v string")
