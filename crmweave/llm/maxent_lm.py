@@ -40,7 +40,7 @@ START = CLASSES * SLOTS
 # Rows of the weight table, and rows that are added up together.
 ROWS, PART = 1 << 16, 128
 # Words of a block, words whose events are gathered, and distinct events scored at once.
-BLOCK, EVENTS, SCORED = 1 << 21, 1 << 19, 1 << 14
+BLOCK, EVENTS, SCORED = 1 << 21, 1 << 20, 1 << 12
 # Fixed value: what is added to every count.
 SMOOTHING = 0.1
 # Rounds after the first, and how far each of them goes.
@@ -279,7 +279,7 @@ def first_gradient(bias: np.ndarray) -> Callable:
             number = np.bincount(events.which, minlength=len(events.context))
             for rows in events.rows:
                 wide = rows.astype(np.int64)
-                observed += np.bincount(wide[events.which] * SLOTS + events.target, minlength=len(observed))
+                np.add.at(observed, wide[events.which] * SLOTS + events.target, 1)
                 np.add.at(contexts, wide * (CLASSES + 1) + events.context, number)
         expected = contexts.reshape(ROWS, -1) @ plain
         yield np.hstack([observed.reshape(ROWS, SLOTS), expected])
@@ -296,7 +296,7 @@ def gradient(bias: np.ndarray, weights: np.ndarray) -> Callable:
             number = np.bincount(events.which, minlength=len(events.context)).astype(np.float32)
             for rows in events.rows:
                 places = rows.astype(np.int64)[events.which] * SLOTS + events.target
-                total += np.bincount(places, minlength=total.size).reshape(ROWS, SLOTS)
+                np.add.at(total.reshape(-1), places, np.float32(1))
             for part in events.slices():
                 expected = scores_of(events, part, bias, weights)
                 expected *= number[part, None]
