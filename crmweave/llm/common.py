@@ -18,7 +18,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def bounded_batches(df: DataFrame) -> DataFrame:
-    """``df``, with the session set to small Arrow batches."""
+    """``df``, with its session set to small Arrow batches, which it stays after the query."""
     for name, value in ARROW_LIMITS.items():
         df.sparkSession.conf.set(name, value)
     return df
