@@ -108,12 +108,16 @@ def resolve_sf_account(df: DataFrame, id_map: DataFrame | None) -> DataFrame:
     return lookup_join(df.drop("accountId"), lookup, "AccountId", "salesforce_account_id")
 
 
-def resolve_company_account(df: DataFrame, lookup: DataFrame | None) -> DataFrame:
+def resolve_company_account(
+    df: DataFrame, lookup: DataFrame | None, keys_from: DataFrame | None = None
+) -> DataFrame:
     """``associatedcompanyid`` becomes the app's ``accountId``; unknown companies give null."""
     rest = df.drop("accountId")
     if lookup is None or "associatedcompanyid" not in df.columns:
         resolved = rest.withColumn("accountId", F.lit(None).cast("string"))
     else:
         accounts = lookup.select(F.col("InputId"), F.col("RemoteId").alias("accountId"))
-        resolved = lookup_join(rest, accounts, "associatedcompanyid", "InputId")
+        resolved = lookup_join(
+            rest, accounts, "associatedcompanyid", "InputId", keys_from=keys_from
+        )
     return resolved.drop("associatedcompanyid")

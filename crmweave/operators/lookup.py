@@ -16,12 +16,13 @@ keys is split by AQE's skew join, which the plain exchange under the join allows
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from crmweave.functions.jsontext import quoted
 from crmweave.functions.text import id_as_text, named
@@ -38,6 +39,7 @@ _HIT = "__hit"
 _HOT_HIT = "__hot_hit"
 _MEMBER = "__member"
 _JOINABLE = "__joinable"
+_COMBINED = "__combined"
 
 _LARGE: ContextVar[bool] = ContextVar("large_lookups", default=False)
 
@@ -154,6 +156,38 @@ def lookup_join(
     return joined.selectExpr(*kept, *answers)
 
 
+def join_combined(
+    facts: DataFrame,
+    columns: list[str],
+    resolve: Callable[[DataFrame], DataFrame],
+    keys_from: DataFrame | None = None,
+) -> DataFrame:
+    """Answers to several large lookups, with one shuffle of ``facts``.
+
+    ``resolve`` gets the distinct combinations of ``columns``, other types than arrays as text,
+    and adds its answers to them, keeping the column that names the combination. It may drop
+    ``columns``; the answers replace columns of ``facts`` of their names, and ``columns`` stay
+    there. Only what is as narrow as the keys is shuffled once per lookup, and rows that share
+    their keys are resolved once. ``keys_from`` as in ``lookup_join``.
+    """
+    fields = [facts.schema[c] for c in columns]
+    arrays = {f.name for f in fields if isinstance(f.dataType, T.ArrayType)}
+    parts = [named(c) if c in arrays else id_as_text(named(c)).alias(c) for c in columns]
+    combined = F.to_json(F.struct(*parts), {"ignoreNullFields": "false"})
+    text = T.StringType()
+    schema = T.StructType([f if f.name in arrays else T.StructField(f.name, text) for f in fields])
+
+    narrow = (facts if keys_from is None else keys_from).select(combined.alias(_COMBINED))
+    keys = narrow.distinct().select(_COMBINED, F.from_json(_COMBINED, schema).alias(_KEY))
+    answers = resolve(keys.select(_COMBINED, f"{_KEY}.*")).drop(*columns)
+    kept = facts.drop(*[c for c in answers.columns if c != _COMBINED])
+    joined = lookup_join(
+        kept.withColumn(_COMBINED, combined), answers.withColumnRenamed(_COMBINED, "__answered"),
+        _COMBINED, "__answered", keys_from=narrow,
+    )
+    return joined.drop(_COMBINED)
+
+
 def anti_join(
     facts: DataFrame,
     keys: DataFrame,

@@ -1,8 +1,12 @@
-"""Counts that a run reports, each as a small DataFrame from one pass."""
+"""Counts that a run reports, each as a small DataFrame from one pass.
+
+The ``..._metrics`` are the counts as columns, for ``agg`` here and for runs that count while
+they write.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crmweave.functions.jsontext import quoted
@@ -17,48 +21,71 @@ from crmweave.operators.accounts import CONTACT, HELD, ROUTE, route_contacts
 from crmweave.operators.filters import approval_state, has_lookup_key, is_flagged
 
 
-def split_counts(contacts: DataFrame, id_map: DataFrame | None) -> DataFrame:
-    """Contacts in all, linked to an account, and not linked."""
+def split_metrics() -> list[Column]:
+    """For rows routed to contacts and leads."""
     linked = F.col(ROUTE) == CONTACT
-    return route_contacts(contacts, id_map).agg(
+    return [
         F.count("*").alias("total"),
         F.count_if(linked).alias("contacts"),
         F.count_if(~linked).alias("leads"),
-    )
+    ]
 
 
-def held_back_count(contacts: DataFrame, id_map: DataFrame | None) -> DataFrame:
-    """Contacts that wait for their account."""
-    return route_contacts(contacts, id_map).agg(F.count_if(F.col(ROUTE) == HELD).alias("held_back"))
+def held_back_metrics() -> list[Column]:
+    """For rows routed to contacts and leads."""
+    return [F.count_if(F.col(ROUTE) == HELD).alias("held_back")]
 
 
-def removed_counts(df: DataFrame, flag: str, lookup_field: str) -> DataFrame:
-    """Rows a read removes: flagged ones first, then those without a lookup value."""
+def removed_metrics(df: DataFrame, flag: str, lookup_field: str) -> list[Column]:
     flagged = is_flagged(df, flag)
-    return df.agg(
+    return [
         F.count("*").alias("total"),
         F.count_if(flagged).alias("flagged"),
         F.count_if(~flagged & ~has_lookup_key(lookup_field)).alias("without_lookup_key"),
-    )
+    ]
 
 
-def approval_counts(df: DataFrame, field: str) -> DataFrame:
-    """Pending, rejected and skipped rows; a row can be both pending and rejected."""
+def approval_metrics(df: DataFrame, field: str) -> list[Column]:
     pending_ok, rejected_ok = approval_state(df, field)
-    return df.agg(
+    return [
         F.count_if(~pending_ok).alias("pending"),
         F.count_if(~rejected_ok).alias("rejected"),
         F.count_if(~(pending_ok & rejected_ok)).alias("skipped"),
-    )
+    ]
 
 
-def enrichment_coverage(df: DataFrame) -> DataFrame:
-    """Rows with a resolved account and with list memberships."""
-    return df.agg(
+def coverage_metrics() -> list[Column]:
+    """For rows with account and list columns."""
+    return [
         F.count("*").alias("total"),
         F.count("accountId").alias("with_account"),
         F.count("crmListMembershipDetails").alias("with_memberships"),
-    )
+    ]
+
+
+def split_counts(contacts: DataFrame, id_map: DataFrame | None) -> DataFrame:
+    """Contacts in all, linked to an account, and not linked."""
+    return route_contacts(contacts, id_map).agg(*split_metrics())
+
+
+def held_back_count(contacts: DataFrame, id_map: DataFrame | None) -> DataFrame:
+    """Contacts that wait for their account."""
+    return route_contacts(contacts, id_map).agg(*held_back_metrics())
+
+
+def removed_counts(df: DataFrame, flag: str, lookup_field: str) -> DataFrame:
+    """Rows a read removes: flagged ones first, then those without a lookup value."""
+    return df.agg(*removed_metrics(df, flag, lookup_field))
+
+
+def approval_counts(df: DataFrame, field: str) -> DataFrame:
+    """Pending, rejected and skipped rows; a row can be both pending and rejected."""
+    return df.agg(*approval_metrics(df, field))
+
+
+def enrichment_coverage(df: DataFrame) -> DataFrame:
+    """Rows with a resolved account and with list memberships."""
+    return df.agg(*coverage_metrics())
 
 
 _NO_ENTRIES = "cast(array() AS array<struct<column_name:string,value:string>>)"

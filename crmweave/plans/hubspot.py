@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -12,7 +13,10 @@ from crmweave.functions.text import is_blank, named, unsubscribe_path
 from crmweave.operators.accounts import resolve_company_account
 from crmweave.operators.dedupe import drop_sent
 from crmweave.operators.enrich import (
+    DETAILS,
+    INLINE_LIST_BYTES,
     MEMBERSHIPS,
+    OWNER_COLUMNS,
     account_lookup,
     enrich_list_memberships,
     enrich_owner,
@@ -21,6 +25,7 @@ from crmweave.operators.enrich import (
 )
 from crmweave.operators.envelope import wrap_envelope
 from crmweave.operators.filters import approval_gate, drop_archived, is_flagged
+from crmweave.operators.lookup import fits_broadcast, join_combined
 from crmweave.operators.mapping import (
     HUBSPOT_COMPANY_READ_ONLY,
     HUBSPOT_CONTACT_READ_ONLY,
@@ -29,7 +34,9 @@ from crmweave.operators.mapping import (
     ensure_columns,
     prune_columns,
 )
+from crmweave.operators.reports import approval_metrics, coverage_metrics, removed_metrics
 from crmweave.plans.common import write_if_new_or_changed
+from crmweave.plans.counts import Watch, unwatched
 from crmweave.plans.result import WriteResult
 from crmweave.session import Materialise, stay_lazy
 
@@ -73,13 +80,17 @@ def accounts_write(
     return write_if_new_or_changed(writable, stream_names["accounts"], sent, stored, materialise)
 
 
-def unsubscribe_requests(contacts: DataFrame) -> DataFrame:
-    """One request ``path`` per contact that asked out, is approved and has an email."""
+def unsubscribe_requests(contacts: DataFrame, watch: Watch = unwatched) -> DataFrame:
+    """One request ``path`` per contact that asked out, is approved and has an email.
+
+    ``watch`` counts those who asked and wait for approval or were rejected.
+    """
     needed = prune_columns(contacts, UNSUBSCRIBE_COLUMNS)
     empty = contacts.sparkSession.createDataFrame([], "email string, path string")
     if UNSUBSCRIBE_FLAG not in needed.columns or "email" not in needed.columns:
         return empty
     asked = needed.where(is_flagged(needed, UNSUBSCRIBE_FLAG))
+    asked = watch(asked, UNSUBSCRIBE_FLAG, approval_metrics(asked, UNSUBSCRIBE_FLAG))
     allowed = approval_gate(asked, UNSUBSCRIBE_FLAG)
     return allowed.where(~is_blank(named("email"))).select(
         F.col("email"), unsubscribe_path(named("email")).alias("path")
@@ -119,20 +130,85 @@ def _has(df: DataFrame | None, *names: str) -> bool:
     return df is not None and set(names) <= set(df.columns)
 
 
-def enrich_read(stream: DataFrame, name: str, lookups: Lookups) -> DataFrame:
-    """Live rows of a read stream with account, owner and list columns."""
+def enrich_read(
+    stream: DataFrame, name: str, lookups: Lookups, watch: Watch = unwatched
+) -> DataFrame:
+    """Live rows of a read stream with account, owner and list columns.
+
+    Small lookups are joined where the rows are. Where several are large, they are resolved
+    per combination of their keys first, so that the rows are shuffled once for all of them.
+    ``watch`` counts the rows and those that are removed, and what the others were given.
+    """
     owner_column = OWNER_COLUMN if OWNER_COLUMN in stream.columns else None
-    base = live = ensure_columns(drop_archived(stream), EXPECTED[name])
+    base = ensure_columns(drop_archived(stream), EXPECTED[name])
+    steps: list[_Step] = []
     if name == "contacts":
-        live = resolve_company_account(live, lookups.companies)
-    live = enrich_owner(live, lookups.owners, owner_column, keys_from=base)
-    return enrich_list_memberships(live, lookups.lists, keys_from=base)
-
-
-def read_stream(stream: DataFrame, name: str, lookups: Lookups) -> DataFrame:
+        steps.append(_Step(
+            "associatedcompanyid", lookups.companies, ["accountId"],
+            lambda df, keys: resolve_company_account(df, lookups.companies, keys),
+        ))
+    steps.append(_Step(
+        owner_column, lookups.owners, OWNER_COLUMNS,
+        lambda df, keys: enrich_owner(df, lookups.owners, owner_column, keys),
+    ))
+    steps.append(_Step(
+        MEMBERSHIPS, lookups.lists, [DETAILS],
+        lambda df, keys: enrich_list_memberships(df, lookups.lists, keys), INLINE_LIST_BYTES,
+    ))
+    together = [s for s in steps if s.shuffles()]
+    # Keys are taken from ``base``, so that what is watched passes once.
+    live = base
+    if {"id", READ_STREAMS[name]} <= set(stream.columns):
+        removed = removed_metrics(stream, "archived", READ_STREAMS[name])
+        watched = watch(stream, name, removed, bool(together))
+        live = ensure_columns(drop_archived(watched), EXPECTED[name])
+    if len(together) < 2:
+        for step in steps:
+            live = step.apply(live, base)
+        return live
+
+    def resolve(keys: DataFrame) -> DataFrame:
+        resolved = keys
+        for step in together:
+            resolved = step.apply(resolved, keys)
+        return resolved
+
+    columns = [s.column for s in together]
+    live = join_combined(live, columns, resolve, keys_from=base).drop(*columns)
+    for step in steps:
+        if step not in together:
+            live = step.apply(live, base)
+    # As the steps one by one would have it.
+    added = [c for s in steps for c in s.added if c in live.columns]
+    return live.select(*[named(c) for c in live.columns if c not in added], *map(named, added))
+
+
+@dataclass(eq=False)
+class _Step:
+    """One enrichment: its key column and lookup, the columns it adds, and how."""
+
+    column: str | None
+    lookup: DataFrame | None
+    added: list[str]
+    apply: Callable[[DataFrame, DataFrame], DataFrame]
+    limit: int | None = None
+
+    def shuffles(self) -> bool:
+        """Whether the lookup is too large to be joined without a shuffle of the rows."""
+        if self.column is None or self.lookup is None:
+            return False
+        return not fits_broadcast(self.lookup, self.limit)
+
+
+def read_stream(
+    stream: DataFrame, name: str, lookups: Lookups, watch: Watch = unwatched
+) -> DataFrame:
     """Contacts or companies as envelopes."""
+    enriched = enrich_read(stream, name, lookups, watch)
+    if {"id", READ_STREAMS[name], "accountId"} <= set(enriched.columns):
+        enriched = watch(enriched, f"{name}.enriched", coverage_metrics())
     return wrap_envelope(
-        enrich_read(stream, name, lookups),
+        enriched,
         SOURCE,
         name,
         id_field="id",
@@ -153,11 +229,12 @@ def read(
     stream_names: dict[str, str],
     accounts: DataFrame | None,
     materialise: Materialise = stay_lazy,
+    watch: Watch = unwatched,
 ) -> dict[str, DataFrame]:
     """Contacts and companies among the streams, enriched and wrapped, by output stream."""
     lookups = prepare_lookups(streams.get("owners"), streams.get("lists"), accounts, materialise)
     return {
-        output_name(name, stream_names): read_stream(streams[name], name, lookups)
+        output_name(name, stream_names): read_stream(streams[name], name, lookups, watch)
         for name in READ_STREAMS
         if name in streams
     }

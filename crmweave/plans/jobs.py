@@ -17,6 +17,7 @@ from crmweave.jvm import delete_path
 from crmweave.operators.accounts import CONTACT, LEAD
 from crmweave.operators.mapping import EXTERNAL_ID
 from crmweave.plans import common, hubspot, marketo, salesforce
+from crmweave.plans.counts import Counts
 from crmweave.plans.result import FieldMaps, WriteResult
 from crmweave.session import prepare_session
 from crmweave.sinks.singer import write_singer
@@ -26,7 +27,7 @@ from crmweave.sources.lines import LINE
 from crmweave.sources.streams import Schema, scan_stream
 from crmweave.sources.tenants import flow_mapping
 
-ENVELOPE_JSON = {"data": "object"}
+ENVELOPE_JSON = ("data",)
 Schemas = dict[str, Schema]
 
 
@@ -34,7 +35,8 @@ class SyncRun:
     """Paths and tenant settings of one run.
 
     ``mapping`` is the flow's ``{"target/connector": {source field: target field}}``;
-    ``schemas`` gives the input schema per stream, where files alone do not settle it.
+    ``schemas`` gives the input schema per stream, where files alone do not settle it. After
+    the run ``counts`` has what was read, split, held back, left out and enriched, by stream.
     """
 
     def __init__(
@@ -62,6 +64,8 @@ class SyncRun:
         self.store = SnapshotStore(self.spark, snapshot_dir)
         self.scratch = f"{output_dir.rstrip('/')}/_scratch"
         self.next_states: dict[str, Parts] = {}
+        self.tally = Counts()
+        self.counts: dict[str, dict[str, int]] = {}
 
     @classmethod
     def of_tenant(
@@ -120,6 +124,7 @@ class SyncRun:
         """Commit what the body writes if it ends well; drop its scratch tables in any case."""
         try:
             yield
+            self.counts = self.tally.collect()
             if self.next_states:
                 self.store.commit(self.next_states)
                 self.next_states = {}
@@ -165,6 +170,7 @@ def _salesforce_write(
             dynamic_contact_mapping,
             order_by or (LINE if LINE in contacts.columns else None),
             materialise=run.write_table,
+            watch=run.tally.watch,
         )
         paths += run.write(result)
     return paths
@@ -194,7 +200,7 @@ def _hubspot_write(run: SyncRun) -> list[str]:
         name = run.stream_names["contacts"]
         records = hubspot.contacts_write(contacts, run.id_map(name), materialise=run.write_table)
         paths.append(run.emit(name, records))
-        requests = hubspot.unsubscribe_requests(contacts)
+        requests = hubspot.unsubscribe_requests(contacts, run.tally.watch)
         paths.append(run.emit("unsubscribe_requests", requests))
     return [p for p in paths if p]
 
@@ -217,7 +223,7 @@ def salesforce_read(run: SyncRun) -> list[str]:
     with run.whole():
         streams = {s: run.stream(s) for s in run.routes}
         streams = {s: df for s, df in streams.items() if df is not None}
-        wrapped = salesforce.read(streams, run.routes, run.id_map("Account"))
+        wrapped = salesforce.read(streams, run.routes, run.id_map("Account"), run.tally.watch)
         paths = [run.emit(s, df, json_columns=ENVELOPE_JSON) for s, df in wrapped.items()]
     return [p for p in paths if p]
 
@@ -231,7 +237,9 @@ def hubspot_read(run: SyncRun) -> list[str]:
         streams |= {s: run.stream(s, with_line=True) for s in ("owners", "lists")}
         streams = {s: df for s, df in streams.items() if df is not None}
         accounts = run.id_map("accounts", malformed="absent")
-        wrapped = hubspot.read(streams, run.stream_names, accounts, run.write_table)
+        wrapped = hubspot.read(
+            streams, run.stream_names, accounts, run.write_table, run.tally.watch
+        )
         paths = [run.emit(s, df, json_columns=ENVELOPE_JSON) for s, df in wrapped.items()]
     return [p for p in paths if p]
 

@@ -21,9 +21,12 @@ from crmweave.operators.accounts import (
 from crmweave.operators.dedupe import carried_over, drop_sent, latest_per_key
 from crmweave.operators.envelope import union_person_streams, wrap_envelope
 from crmweave.operators.filters import drop_deleted
+from crmweave.operators.lookup import fits_broadcast
 from crmweave.operators.mapping import EXTERNAL_ID, map_stream, mapped_sources, select_output
 from crmweave.operators.nesting import nest_columns
+from crmweave.operators.reports import held_back_metrics, removed_metrics, split_metrics
 from crmweave.plans.common import write_if_new_or_changed
+from crmweave.plans.counts import Watch, unwatched
 from crmweave.plans.result import FieldMaps, WriteResult
 from crmweave.session import Materialise, stay_lazy
 
@@ -59,6 +62,7 @@ def contacts_write(
     order_by: str | None = None,
     unique_ids: bool = False,
     materialise: Materialise = stay_lazy,
+    watch: Watch = unwatched,
 ) -> WriteResult:
     """App contacts to ``Contact`` and ``Lead``.
 
@@ -66,10 +70,12 @@ def contacts_write(
     record snapshot of each object. A run emits the whole batch, and the rows of earlier
     batches that were never acknowledged. Of several rows with one id the last by
     ``order_by`` counts; ``unique_ids`` says there are none, so the batch is not shuffled.
-    With ``materialise``, an object the batch has no rows for is left as it is.
+    With ``materialise``, an object the batch has no rows for is left as it is, and ``watch``
+    counts the rows of the batch by where they go.
     """
     if dynamic_contact_mapping:
         routed = route_contacts(contacts, accounts, keep_remote=True)
+        routed = watch(routed, "contacts", split_metrics() + held_back_metrics())
         # Read and joined once for both objects.
         routed = materialise(routed.where(F.col(ROUTE) != HELD), "contacts.routed")
     else:
@@ -128,25 +134,42 @@ def add_domain(accounts: DataFrame) -> DataFrame:
     return accounts.withColumn("domain", domain_from_website(named("Website").cast("string")))
 
 
-def read_stream(stream: DataFrame, target: str, accounts: DataFrame | None) -> DataFrame:
-    """One Salesforce object as envelopes of an app stream."""
+def read_stream(
+    stream: DataFrame,
+    target: str,
+    accounts: DataFrame | None,
+    name: str = "",
+    watch: Watch = unwatched,
+) -> DataFrame:
+    """One Salesforce object, ``name``, as envelopes of an app stream.
+
+    ``watch`` counts its rows and those that are left out.
+    """
+    is_account = target == "accounts"
+    lookup_field = "domain" if is_account else "Email"
+    if is_account:
+        stream = add_domain(stream)
+    if lookup_field in stream.columns:
+        shuffled = not is_account and accounts is not None and not fits_broadcast(accounts)
+        stream = watch(stream, name, removed_metrics(stream, "IsDeleted", lookup_field), shuffled)
     live = drop_deleted(stream)
-    if target == "accounts":
-        live, lookup_field = add_domain(live), "domain"
-    else:
-        live, lookup_field = resolve_sf_account(live, accounts), "Email"
+    if not is_account:
+        live = resolve_sf_account(live, accounts)
     return wrap_envelope(
         nest_columns(live), SOURCE, target, id_field="Id", lookup_field=lookup_field, sanitize=True
     )
 
 
 def read(
-    streams: dict[str, DataFrame], routes: dict[str, str], accounts: DataFrame | None
+    streams: dict[str, DataFrame],
+    routes: dict[str, str],
+    accounts: DataFrame | None,
+    watch: Watch = unwatched,
 ) -> dict[str, DataFrame]:
     """Mapped objects as envelopes by app stream; ``routes`` maps object to app stream."""
     wrapped: dict[str, list[DataFrame]] = {}
     for name in sorted(streams):
         if name in routes:
-            envelope = read_stream(streams[name], routes[name], accounts)
+            envelope = read_stream(streams[name], routes[name], accounts, name, watch)
             wrapped.setdefault(routes[name], []).append(envelope)
     return {target: union_person_streams(*parts) for target, parts in wrapped.items()}

@@ -39,6 +39,7 @@ def world(spark, tmp_path):
                 spark, str(tmp_path / "input"), str(tmp_path / "snapshots"), str(out), "F1", mapping
             )
             job(run, **options)
+            self.counts = run.counts
             assert not (out / "_scratch").exists()
             written = {}
             for folder in sorted(out.iterdir()) if out.exists() else []:
@@ -105,6 +106,7 @@ def test_hubspot_accounts_and_unsubscribes(world):
         "email": "a/b@x.com",
         "path": "communication-preferences/v4/statuses/a%2Fb%40x.com/unsubscribe-all?channel=EMAIL",
     }]
+    assert world.counts == {"globalUnsubscribe": {"pending": 1, "rejected": 1, "skipped": 2}}
     world.acknowledge("companies", [("1", "R1"), ("2", "R2")])
     assert "companies" not in world.run(jobs.hubspot_write, mapping)
 
@@ -126,6 +128,7 @@ def test_salesforce_people_over_several_runs(world):
             {"FirstName": "Lead", "externalId": "4"},
         ],
     }
+    assert world.counts == {"contacts": {"total": 4, "contacts": 1, "leads": 3, "held_back": 1}}
     # The next batch has other people. Leads 3 and 4 were sent, 4 was acknowledged; contact 1
     # was not, so it comes again. The account of 2 has arrived.
     world.acknowledge("Account", [("a1", "R1"), ("a2", "R2")])
@@ -180,6 +183,11 @@ def test_salesforce_read(world):
     world.stage("Other", [("O1",)], "Id string")
     world.acknowledge("Account", [("app1", "A1")])
     got = world.run(jobs.salesforce_read, SF_MAPPING)
+    assert world.counts == {
+        "Account": {"total": 3, "flagged": 1, "without_lookup_key": 1},
+        "Contact": {"total": 3, "flagged": 0, "without_lookup_key": 1},
+        "Lead": {"total": 1, "flagged": 0, "without_lookup_key": 0},
+    }
     assert got["accounts"] == [{
         "data": {"Id": "A1", "Website": "http://www.x.com/y", "IsDeleted": False, "domain": "x.com"},
         "sourceRecordId": "A1", "source": "SALESFORCE", "lookupKey": "x.com",
@@ -191,7 +199,7 @@ def test_salesforce_read(world):
     }
 
 
-def test_hubspot_read(world):
+def test_hubspot_read(world, join_mode):
     world.stage(
         "contacts",
         [("1", "a@x", "true", None, "10", "5", "[7, 8]"), ("2", "b@x", "no", True, None, None, None),
@@ -213,6 +221,11 @@ def test_hubspot_read(world):
         },
         "sourceRecordId": "1", "source": "HUBSPOT", "lookupKey": "a@x",
     }]
+    assert world.counts == {
+        "contacts": {"total": 3, "flagged": 1, "without_lookup_key": 1},
+        "contacts.enriched": {"total": 2, "with_account": 1, "with_memberships": 1},
+        "companies": {"total": 1, "flagged": 0, "without_lookup_key": 0},
+    }
     company = got["accounts"][0]["data"]
     assert company == {
         "id": "9", "domain": "x.com", "hubspot_owner_id": None, "is_public": None,

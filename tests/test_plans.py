@@ -1,5 +1,7 @@
 """Physical plans: what is read, and what is shuffled."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -75,6 +77,74 @@ def test_a_large_id_map_is_shuffled_once_per_side(spark, contacts, tmp_path):
     assert plan(unsent).count("FileScan") <= 4
 
 
+def wide_exchanges(df, column):
+    """Exchanges of the plan that move a column."""
+    mode = df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    text = df._jdf.queryExecution().explainString(mode)
+    moved = re.findall(r"\) Exchange\nInput \[\d+\]: \[([^\n]*)\]", text)
+    return sum(f"{column}#" in columns for columns in moved)
+
+
+@pytest.fixture
+def hubspot_tables(frame):
+    people = [
+        (str(i), f"u{i}@x", f"wide{i}", str(i % 7) if i % 3 else None, i % 5 if i % 4 else None,
+         [None, "[1, 2]", "2,9", "", '["1"]'][i % 5], i % 11 == 0, "old", i)
+        for i in range(300)
+    ] + [("hot", "h@x", "wide", "3", 2, "[1]", False, "old", 0)] * 200
+    contacts = frame(
+        people,
+        "id string, email string, wide string, associatedcompanyid string, hubspot_owner_id int,"
+        " _hg_list_memberships string, archived boolean, accountId string, __combine int",
+    )
+    owners = frame([(str(i), f"O{i}", None, f"o{i}@x") for i in range(4)],
+                   "id string, firstName string, lastName string, email string")
+    lists = frame([("1", "One"), ("2", "Two")], "listId string, name string")
+    accounts = frame([(str(i), f"A{i}") for i in range(5)], "InputId string, RemoteId string")
+    return contacts, hubspot.prepare_lookups(owners, lists, accounts)
+
+
+def test_rows_are_moved_once_for_all_large_lookups(spark, hubspot_tables):
+    contacts, lookups = hubspot_tables
+    small = hubspot.enrich_read(contacts, "contacts", lookups)
+    assert wide_exchanges(small, "wide") == 0
+    expected = sorted(map(str, small.collect()))
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    try:
+        large = hubspot.enrich_read(contacts, "contacts", lookups)
+        assert wide_exchanges(large, "wide") == 1
+        got = sorted(map(str, large.collect()))
+    finally:
+        spark.conf.set(threshold, before)
+    assert small.columns == large.columns
+    assert got == expected and len(got) == 472
+
+
+@pytest.mark.parametrize("absent", ["associatedcompanyid", "hubspot_owner_id", "_hg_list_memberships"])
+def test_large_lookups_without_a_key_column(hubspot_tables, absent):
+    contacts, lookups = hubspot_tables
+    contacts = contacts.drop(absent)
+    small = hubspot.enrich_read(contacts, "contacts", lookups)
+    with large_lookups():
+        large = hubspot.enrich_read(contacts, "contacts", lookups)
+    assert small.columns == large.columns
+    assert sorted(map(str, large.collect())) == sorted(map(str, small.collect()))
+
+
+def test_large_lookups_with_lists_as_arrays(hubspot_tables):
+    contacts, lookups = hubspot_tables
+    arrays = contacts.withColumn("_hg_list_memberships", F.expr(
+        "CASE __combine % 4 WHEN 0 THEN array('1', NULL, '2') WHEN 1 THEN array('1, 2') WHEN 2 THEN array() END"))
+    small = hubspot.enrich_read(arrays, "contacts", lookups)
+    with large_lookups():
+        large = hubspot.enrich_read(arrays, "contacts", lookups)
+        empty = hubspot.enrich_read(arrays.limit(0), "contacts", lookups)
+    assert sorted(map(str, large.collect())) == sorted(map(str, small.collect()))
+    assert empty.count() == 0
+
+
 def test_chained_joins_read_the_batch_once_each_way(spark, contacts, tmp_path):
     """Contacts are read for their data and for hot keys, whatever is chained behind."""
     path = str(tmp_path / "map")

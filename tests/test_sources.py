@@ -355,3 +355,15 @@ def test_scratch_lies_in_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     one, two = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert one.startswith(shared) and one != two
+
+
+def test_schema_lines_follow_the_json_of_their_rows(spark, tmp_path):
+    rows = [('{"a":1}', "[1]", None), (None, ' {"b":2}', None), ("{}", None, None)]
+    df = spark.createDataFrame(rows, "data string, mixed string, none string").repartition(3)
+    path = write_singer(df, "s", str(tmp_path), ("data", "mixed", "none"))
+    line = json.loads(spark.read.text(f"{path}/0-schema").first().value)
+    base = ["null", "boolean", "string", "integer", "number"]
+    assert {k: v["type"] for k, v in line["schema"]["properties"].items()} == {
+        "data": base + ["object"], "mixed": base + ["object", "array"], "none": base,
+    }
+    assert write_singer(df.limit(0), "empty", str(tmp_path), ("data",)) is None
