@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crmweave.llm.common import pick
+from crmweave.session import write_table
 
 PREFIX_BYTES = 4
 ALLOW, BLOCK = "allow", "block"
@@ -83,9 +84,11 @@ def url_verdicts(urls: DataFrame, rules: DataFrame, default: str = ALLOW) -> Dat
 def filter_urls(pages: DataFrame, rules: DataFrame, default: str = ALLOW) -> DataFrame:
     """``(page_id, host, path, rule, verdict)`` for every row of ``pages``.
 
-    Repeated rows and rows with a null id stay. Only ``page_id`` and ``url`` are read.
+    Repeated rows and rows with a null id stay. Only ``page_id`` and ``url`` are read. The
+    verdicts are written before they are joined: their side of the join then is a plain
+    exchange, and the rows of a hot URL, or of none, can be dealt over several tasks.
     """
     rows = pick(pages, "page_id", "url")
-    verdicts = url_verdicts(rows, rules, default).withColumnRenamed("url", "__url")
+    verdicts = write_table(url_verdicts(rows, rules, default), "verdicts").withColumnRenamed("url", "__url")
     joined = rows.join(verdicts, F.col("url").eqNullSafe(F.col("__url")))
     return joined.select("page_id", "host", "path", "rule", "verdict")

@@ -61,6 +61,32 @@ def test_urls_without_rules_or_pages(spark):
     assert url_filter.filter_urls(pages.where("false"), none).count() == 0
 
 
+def test_rows_of_a_hot_url_are_dealt_over_tasks(spark):
+    rules = spark.createDataFrame([("a.b", "/", "block")], "host string, path string, verdict string")
+    pages = spark.range(0, 8000, 1, 8).selectExpr(
+        "id AS page_id", "CASE id % 3 WHEN 0 THEN 'https://a.b/hot' WHEN 2 THEN concat('x://h', id) END AS url")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        found = url_filter.filter_urls(pages, rules)
+        got = found.collect()
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert "SortMergeJoin(skew=true)" in plan
+    assert len(got) == 8000 and sum(r.verdict == "block" for r in got) == 2667
+    assert {r.page_id % 3 for r in got if r.rule} == {0}
+
+
 def test_url_plans_stay_in_the_jvm(spark):
     rules = spark.sql(URL_RULES).toDF("host", "path", "verdict")
     pages = spark.createDataFrame([(1, "https://a.b/c")], "page_id bigint, url string")
@@ -287,6 +313,32 @@ def test_leaks(docs_of, spark):
     assert sorted(got, key=str) == sorted(brute_leaks(rows, items), key=str)
 
 
+@pytest.mark.parametrize("alike", [0.8, 0.85, 0.9])
+@pytest.mark.parametrize("scattered", [False, True])
+def test_recall_of_leaks(docs_of, spark, alike, scattered):
+    """Passages just above a similarity, changed in one block or here and there."""
+    rng = random.Random(int(alike * 100) + scattered)
+    items, rows, wanted = [], [], 0
+    for i in range(100):
+        item = [f"w{rng.randrange(5000)}" for _ in range(rng.randrange(60, 300))]
+        near, at = list(item), rng.randrange(len(item) - 50)
+        places = rng.sample(range(len(item)), len(item)) if scattered else range(at, len(item))
+        want = Counter(" ".join(item[j : j + 5]) for j in range(len(item) - 4))
+        for j in places:
+            changed = near[:j] + [f"x{rng.randrange(5000)}"] + near[j + 1 :]
+            got = Counter(" ".join(changed[m : m + 5]) for m in range(len(item) - 4))
+            shared = sum((want & got).values())
+            if shared < alike * (2 * sum(want.values()) - shared):
+                break
+            near = changed
+        items.append((i, " ".join(item)))
+        rows.append((i, " ".join(near)))
+    table = spark.createDataFrame(items, "item_id bigint, text string")
+    found = {(r.doc_id, r.item_id) for r in decontaminate.find_leaks(docs_of(rows), table).collect()}
+    print(f"recall at {alike}, {'scattered' if scattered else 'one block'}: {len(found)} of 100")
+    assert found <= {(i, i) for i in range(100)} and len(found) >= 97
+
+
 def test_leaks_of_nothing(docs_of, spark):
     items = spark.createDataFrame([(1, None), (2, "a b c d e f")], "item_id bigint, text string")
     docs = docs_of([(1, "x y z"), (None, None)])
