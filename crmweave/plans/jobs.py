@@ -19,7 +19,7 @@ from crmweave.operators.mapping import EXTERNAL_ID
 from crmweave.plans import common, hubspot, marketo, salesforce
 from crmweave.plans.counts import Counts
 from crmweave.plans.result import FieldMaps, WriteResult
-from crmweave.session import prepare_session
+from crmweave.session import prepare_session, write_and_read
 from crmweave.sinks.singer import write_singer
 from crmweave.sinks.snapshots import Parts, SnapshotStore
 from crmweave.sources.id_maps import read_id_map
@@ -96,11 +96,9 @@ class SyncRun:
     def _scratch_path(self, label: str) -> str:
         return f"{self.scratch}/{label}-{uuid.uuid4().hex}"
 
-    def write_table(self, df: DataFrame, label: str) -> DataFrame:
+    def write_table(self, df: DataFrame, label: str, by: str | None = None) -> DataFrame:
         """An intermediate table in the run's own folder, which lies on shared storage."""
-        path = self._scratch_path(label)
-        df.write.parquet(path)
-        return self.spark.read.parquet(path)
+        return write_and_read(df, self._scratch_path(label), by)
 
     def state(self, name: str, batch: DataFrame | None = None, key: str = EXTERNAL_ID) -> DataFrame | None:
         """Stored state; with ``batch``, the parts of it that the batch's ``key`` can be in."""

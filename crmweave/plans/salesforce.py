@@ -76,8 +76,8 @@ def contacts_write(
     if dynamic_contact_mapping:
         routed = route_contacts(contacts, accounts, keep_remote=True)
         routed = watch(routed, "contacts", split_metrics() + held_back_metrics())
-        # Read and joined once for both objects.
-        routed = materialise(routed.where(F.col(ROUTE) != HELD), "contacts.routed")
+        # Read and joined once for both objects, each of which then reads its own folder.
+        routed = materialise(routed.where(F.col(ROUTE) != HELD), "contacts.routed", by=ROUTE)
     else:
         routed = contacts.withColumn(ROUTE, F.lit(CONTACT))
     result = WriteResult()

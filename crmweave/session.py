@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from crmweave.jvm import checkpoint_dir
 
-# Writes an intermediate table and returns it as read back.
-Materialise = Callable[[DataFrame, str], DataFrame]
+# Writes an intermediate table, one folder per value of a column where one is named (``by``),
+# and returns it as read back.
+Materialise = Callable[..., DataFrame]
 
 # CRM field names differ by case alone (``id``/``Id``, ``accountId``/``AccountId``),
 # and every timestamp leaves in UTC.
@@ -47,13 +48,21 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def stay_lazy(df: DataFrame, label: str) -> DataFrame:
+def stay_lazy(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
     """The ``Materialise`` that writes nothing."""
     return df
 
 
-def write_table(df: DataFrame, label: str) -> DataFrame:
+def write_table(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
     """Write an intermediate table: lineage ends there, and its size is known from its files."""
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return write_and_read(df, scratch_path(df.sparkSession, label), by)
+
+
+def write_and_read(df: DataFrame, path: str, by: str | None = None) -> DataFrame:
+    """A frame as a table under a path; with ``by``, text, a filter on it picks folders."""
+    if by is None:
+        df.write.parquet(path)
+        return df.sparkSession.read.parquet(path)
+    df.write.partitionBy(by).parquet(path)
+    # Without rows there are no files that would tell the columns.
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from crmweave.operators.dedupe import drop_sent
 from crmweave.operators.lookup import large_lookups
 from crmweave.plans import hubspot, marketo, salesforce
+from crmweave.session import write_and_read
 
 
 @pytest.fixture
@@ -155,10 +156,8 @@ def test_chained_joins_read_the_batch_once_each_way(spark, contacts, tmp_path):
     old = spark.read.parquet(str(tmp_path / "old"))
     made = iter(range(100))
 
-    def written(df, label):
-        where = str(tmp_path / f"{label}{next(made)}")
-        df.write.parquet(where)
-        return spark.read.parquet(where)
+    def written(df, label, by=None):
+        return write_and_read(df, str(tmp_path / f"{label}{next(made)}"), by)
 
     with large_lookups():
         result = salesforce.contacts_write(
@@ -169,3 +168,32 @@ def test_chained_joins_read_the_batch_once_each_way(spark, contacts, tmp_path):
     text = plan(result.records["Contact"])
     assert f"{tmp_path}/contacts" not in text.replace("contacts.routed", "routed")
     assert text.count("FileScan") <= 10
+
+
+def test_each_person_object_reads_its_own_part_of_the_routed_rows(spark, contacts, tmp_path):
+    path = str(tmp_path / "map")
+    spark.range(10).selectExpr("cast(id AS string) AS InputId", "'x' AS RemoteId").write.parquet(path)
+    people = contacts.withColumn("accountId", F.expr("CASE WHEN id < '5' THEN accountId END"))
+    written = {}
+
+    def keep(df, label, by=None):
+        if label != "contacts.routed":
+            return df
+        written[label] = write_and_read(df, str(tmp_path / label), by)
+        return written[label]
+
+    mapping = {s: {"email": "Email"} for s in ("Contact", "Lead")}
+    for batch, found in ((people, ["Contact", "Lead"]), (people.limit(0), [])):
+        result = salesforce.contacts_write(
+            batch, mapping, spark.read.parquet(path), dynamic_contact_mapping=True,
+            unique_ids=True, materialise=keep,
+        ).records
+        assert sorted(result) == found
+        for stream, records in result.items():
+            text = plan(records)
+            # The batch is not read again, and of the routed rows one folder is.
+            assert f"{tmp_path}/contacts]" not in text and text.count("FileScan") == 1
+            assert re.search(rf"PartitionFilters: \[[^]]*__route#\d+ = {stream}\)", text)
+            assert "Join" not in text
+        assert sum(df.count() for df in result.values()) == written["contacts.routed"].count()
+        tmp_path = tmp_path / "empty"
