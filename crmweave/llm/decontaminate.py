@@ -1,17 +1,20 @@
 """Benchmark decontamination: documents that hold a benchmark item, found by SimHash windows.
 
-Every window of a document that has as many words as an item, and shares a word shingle with it
-at all, gets a SimHash fingerprint over its shingles. Fingerprints within the radius of an
-item's agree with it on one of ``radius + 1`` blocks of bits, so an equi-join on length, block
-number and block value meets all of them. What is within the radius is verified by the exact
-similarity of shingle multisets. Only DataFrame functions are used.
+A window of a document has as many words as an item. One that shares too few word shingles with
+all items of its length to be similar is passed over, which sums over shingle hits tell; every
+other gets a SimHash fingerprint over its shingles. Bits are cut into few wide blocks.
+Fingerprints within the radius are, on some block, within that block's share of it, so an
+equi-join of windows with the item's blocks and all values so near to them meets all pairs
+within the radius. Those are verified by the exact similarity of shingle multisets. Only
+DataFrame functions are used.
 """
 
 from __future__ import annotations
 
 from functools import reduce
+from itertools import combinations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from crmweave.llm.common import documents, text_hash
@@ -21,6 +24,9 @@ BITS = 64
 SHINGLE, SIMILARITY = 5, 0.8
 # Two windows of similarity 0.8 differ in 9.7 of 64 bits on average, with a deviation of 2.9.
 RADIUS = 18
+# Blocks of the index. An item has a row for each value near its own on a block: five blocks of
+# 13 bits and 3 different ones make 1,600 rows, and unlike fingerprints meet in one of five cases.
+BLOCKS = 5
 # Up to so many rows of 16 bytes, item shingles and keys of hit texts are broadcast.
 BROADCAST_ROWS = 500_000
 
@@ -48,32 +54,73 @@ def simhash_sql(hashes: str) -> str:
     return f"aggregate(sequence(0, {BITS - 1}), 0L, (acc, b) -> acc | {bit})"
 
 
-def _edges(radius: int) -> list[tuple[int, int]]:
-    """First bit and end of each of the ``radius + 1`` blocks."""
-    edges = [BITS * i // (radius + 1) for i in range(radius + 2)]
-    return list(zip(edges, edges[1:]))
+def blocks(radius: int) -> list[tuple[int, int, int]]:
+    """First bit, end, and differing bits allowed in each block.
+
+    One more than the allowed bits, summed over the blocks, is one more than the radius: if all
+    blocks differed in more, the fingerprints would differ in more than the radius. A block
+    that allows -1 bits, where the radius is small, meets nothing.
+    """
+    cut = lambda total, i: total * i // BLOCKS
+    return [
+        (cut(BITS, i), cut(BITS, i + 1), cut(radius + 1, i + 1) - cut(radius + 1, i) - 1)
+        for i in range(BLOCKS)
+    ]
+
+
+def _bits(fingerprint: str, first: int, end: int) -> str:
+    return f"(shiftrightunsigned({fingerprint}, {first}) & {(1 << (end - first)) - 1}L)"
 
 
 def blocks_sql(fingerprint: str, radius: int) -> str:
     """Array of ``(number, value)`` of the blocks of the bits."""
     parts = [
-        f"struct({i} AS number, shiftrightunsigned({fingerprint}, {a}) & {(1 << (b - a)) - 1}L AS value)"
-        for i, (a, b) in enumerate(_edges(radius))
+        f"struct({i} AS number, {_bits(fingerprint, a, b)} AS value)"
+        for i, (a, b, allowed) in enumerate(blocks(radius))
+        if allowed >= 0
     ]
     return f"array({', '.join(parts)})"
 
 
-def first_equal_sql(difference: str, number: str, radius: int) -> str:
-    """Whether the blocks before ``number`` all differ, so that a pair is met only once."""
-    masks = [((1 << (b - a)) - 1) << a for a, b in _edges(radius)]
-    signed = ", ".join(f"{m - (1 << BITS) if m >> (BITS - 1) else m}L" for m in masks)
-    return f"forall(slice(array({signed}), 1, {number}), m -> ({difference}) & m != 0)"
+def probes_sql(fingerprint: str, radius: int) -> str:
+    """Array of ``(number, value)`` of all values within a block's share of the radius."""
+    parts = []
+    for i, (a, b, allowed) in enumerate(blocks(radius)):
+        flips = [
+            sum(1 << bit for bit in chosen)
+            for n in range(allowed + 1)
+            for chosen in combinations(range(b - a), n)
+        ]
+        value = f"{_bits(fingerprint, a, b)} ^ m"
+        listed = f"array({', '.join(f'{f}L' for f in flips)})"
+        if flips:
+            parts.append(f"transform({listed}, m -> struct({i} AS number, {value} AS value))")
+    return f"concat({', '.join(parts)})"
+
+
+def first_met_sql(difference: str, number: str, radius: int) -> str:
+    """Whether the blocks before ``number`` all differ by more than their share.
+
+    A pair meets on every block within its share, and is taken from the first one only.
+    """
+    apart = [f"bit_count({_bits(difference, a, b)}) > {allowed}" for a, b, allowed in blocks(radius)]
+    return f"forall(slice(array({', '.join(apart)}), 1, {number}), apart -> apart)"
+
+
+def repeated_sql(array: str) -> str:
+    """The elements that an array holds more than once."""
+    again = "array_distinct(filter(s, (x, i) -> i > 0 AND x = get(s, i - 1)))"
+    return f"transform(array(array_sort({array})), s -> {again})[0]"
 
 
-def shared_sql(one: str, other: str) -> str:
-    """How many elements two arrays share, repeats counted as often as both have them."""
+def shared_sql(one: str, other: str, repeated: str) -> str:
+    """How many elements two arrays share, repeats counted as often as both have them.
+
+    ``repeated`` is an array of those that both hold more than once; only they are counted.
+    """
     least = f"least(size(filter({one}, y -> y = x)), size(filter({other}, y -> y = x)))"
-    return f"aggregate(array_distinct({one}), 0, (acc, x) -> acc + {least})"
+    more = f"aggregate({repeated}, 0, (acc, x) -> acc + {least} - 1)"
+    return f"size(array_intersect({one}, {other})) + {more}"
 
 
 def _small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -81,6 +128,33 @@ def _small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
+def _windows(hits: DataFrame, k: int, similarity: float) -> DataFrame:
+    """``(key, n, start)`` of the windows with enough hits to be as similar as asked.
+
+    ``hits`` has ``(key, size, n, pos)``: the shingle at ``pos`` of a text of ``size`` words is
+    one of an item of n words. A window shares at most its hits with any item, so with h hits, w
+    shingles of its own and i of the item the similarity is at most h / (w + i - h). A hit adds
+    one to a run of starts; where runs begin and end is summed along the text, so a hit costs
+    two rows whatever the length of the item.
+    """
+    first, last = f"greatest(pos - n + {k}, 0)", "greatest(least(pos, size - n), 0)"
+    turns = f"inline(array(struct({first} AS at, 1L AS turn), struct({last} + 1 AS at, -1L AS turn)))"
+    turns = hits.selectExpr("key", "size", "n", turns)
+    turns = turns.groupBy("key", "size", "n", "at").agg(F.sum("turn").alias("turn"))
+    # One text and one length of items: no more rows than the text has words.
+    along = Window.partitionBy("key", "size", "n").orderBy("at")
+    runs = turns.select(
+        "key", "size", "n", "at", F.sum("turn").over(along).alias("hits"),
+        F.lead("at").over(along).alias("until"),
+    )
+    shingles = f"least(size, n) + n - {2 * (k - 1)}"
+    # Rounding must not lose a window that is just as similar as asked.
+    enough = f"hits * {1 + similarity} >= {similarity} * ({shingles}) - 1e-6"
+    return runs.where(f"hits > 0 AND {enough}").selectExpr(
+        "key", "n", "explode(sequence(at, until - 1)) AS start"
+    )
+
+
 def _leaks(texts: DataFrame, items: DataFrame, k: int, similarity: float, radius: int) -> DataFrame:
     """``(key, item_id, similarity, first_word, n_words)`` per window that is like an item.
 
@@ -88,22 +162,23 @@ def _leaks(texts: DataFrame, items: DataFrame, k: int, similarity: float, radius
     """
     listed = items.withColumn("hashes", F.expr(hashes_sql("words", k))).selectExpr(
         "item_id",
+        "md5(array_join(words, ' ')) AS item",
         "size(words) AS n",
         "hashes",
         f"{shingles_sql('words', k, 'array_join({s}, \' \')')} AS shingles",
+        f"{repeated_sql('hashes')} AS item_again",
         f"{simhash_sql('hashes')} AS item_fp",
     )
     listed = write_table(listed, "items")
     known = write_table(listed.selectExpr("n", "explode(hashes) AS hash").distinct(), "item-shingles")
-    # Windows that hold a shingle of some item of their length; the others are like none.
     hits = texts.selectExpr("key", f"{words_sql('text')} AS words").selectExpr(
         "key", "size(words) AS size", f"posexplode({hashes_sql('words', k)}) AS (pos, hash)"
     )
     hits = hits.join(_small(known), "hash").select("key", "size", "n", "pos").distinct()
-    starts = f"sequence(greatest(pos - n + {k}, 0), greatest(least(pos, size - n), 0))"
-    windows = hits.selectExpr("key", "n", f"explode({starts}) AS start").distinct()
     # A text has no more windows than words times lengths of items.
-    windows = windows.groupBy("key").agg(F.expr("collect_list(struct(n, start)) AS windows"))
+    windows = _windows(hits, k, similarity).groupBy("key").agg(
+        F.expr("collect_list(struct(n, start)) AS windows")
+    )
     windows = write_table(windows, "windows")
     # The text again, one of all its copies. Only the keys, of 16 bytes each, may be broadcast.
     hit = texts.join(_small(windows.select("key")), "key", "left_semi").dropDuplicates(["key"])
@@ -117,23 +192,29 @@ def _leaks(texts: DataFrame, items: DataFrame, k: int, similarity: float, radius
     # Written at each step: what a step makes is used many times by the next one.
     marked = write_table(marked, "window-hashes")
     marked = write_table(marked.withColumn("fp", F.expr(simhash_sql("hashes"))), "window-prints")
-    indexed = marked.withColumn("block", F.expr(f"explode({blocks_sql('fp', radius)})"))
-    index = listed.selectExpr(
-        "item_id", "n AS item_n", "item_fp", "shingles", "hashes AS item_hashes",
-        f"explode({blocks_sql('item_fp', radius)}) AS item_block",
-    )
-    met = indexed.join(index, F.expr("n = item_n AND block = item_block"))
+    # Windows and items meet by fingerprint alone; words and shingles come to those that are near.
+    prints = marked.selectExpr("key", "n", "start", "fp", f"explode({blocks_sql('fp', radius)}) AS block")
+    index = listed.selectExpr("item", "n AS item_n", "item_fp").distinct()
+    index = index.withColumn("item_block", F.expr(f"explode({probes_sql('item_fp', radius)})"))
+    met = prints.join(index, F.expr("n = item_n AND block = item_block"))
     near = met.where(f"bit_count(fp ^ item_fp) <= {radius}")
-    near = near.where(first_equal_sql("fp ^ item_fp", "block.number", radius))
+    near = near.where(first_met_sql("fp ^ item_fp", "block.number", radius))
+    near = write_table(near.select("key", "n", "start", "item"), "near-prints")
+    wanted = listed.select("item", "item_id", "shingles", F.col("hashes").alias("item_hashes"), "item_again")
+    near = near.join(marked.drop("fp"), ["key", "n", "start"]).join(wanted, "item")
     # Shingles that the item does not have bound the similarity from above.
     missing = "size(array_except(hashes, item_hashes))"
     bound = f"(size(hashes) - {missing}) / (size(item_hashes) + {missing}) >= {similarity}"
     found = near.where(bound).select(
         "key", "item_id", "start", "words", "shingles",
         F.expr(shingles_sql("words", k, "array_join({s}, ' ')")).alias("found"),
+        # Shingles repeated on both sides; without any, which is the rule, nothing is compared.
+        F.expr(f"size(array_intersect({repeated_sql('hashes')}, item_again)) > 0").alias("twice"),
     )
     shared = write_table(found, "near")
-    shared = shared.withColumn("shared", F.expr(shared_sql("found", "shingles")))
+    both = f"array_intersect({repeated_sql('found')}, {repeated_sql('shingles')})"
+    shared = shared.withColumn("again", F.expr(f"if(twice, {both}, array())"))
+    shared = shared.withColumn("shared", F.expr(shared_sql("found", "shingles", "again")))
     return shared.selectExpr(
         "key", "item_id", "shared / (size(found) + size(shingles) - shared) AS similarity",
         "start AS first_word", "size(words) AS n_words",

@@ -313,6 +313,51 @@ def test_leaks(docs_of, spark):
     assert sorted(got, key=str) == sorted(brute_leaks(rows, items), key=str)
 
 
+@pytest.mark.parametrize("radius", [0, 3, 18, 30])
+def test_blocks_meet_all_within_the_radius_once(spark, radius):
+    rng = random.Random(radius)
+    pairs = []
+    for i in range(300):
+        one = other = rng.getrandbits(64)
+        for bit in rng.sample(range(64), rng.randint(0, radius + 6)):
+            other ^= 1 << bit
+        pairs.append((i, *(v - (v >> 63 << 64) for v in (one, other))))
+    df = spark.createDataFrame(pairs, "i bigint, one bigint, other bigint")
+    left = df.selectExpr("i", "one", f"explode({decontaminate.blocks_sql('one', radius)}) AS block")
+    right = df.selectExpr("i AS j", "other", f"explode({decontaminate.probes_sql('other', radius)}) AS near")
+    met = left.join(right, left.i.eqNullSafe(right.j) & (left.block == right.near))
+    met = met.where(f"bit_count(one ^ other) <= {radius}")
+    met = met.where(decontaminate.first_met_sql("one ^ other", "block.number", radius))
+    want = [i for i, one, other in pairs if ((one ^ other) & (1 << 64) - 1).bit_count() <= radius]
+    assert sorted(r.i for r in met.select("i").collect()) == want
+
+
+def test_unlike_fingerprints_seldom_meet():
+    rng = random.Random(5)
+    met = 0
+    for _ in range(4000):
+        apart = rng.getrandbits(64)
+        for first, end, allowed in decontaminate.blocks(decontaminate.RADIUS):
+            met += (apart >> first & (1 << end - first) - 1).bit_count() <= allowed
+    assert met < 0.25 * 4000
+
+
+def test_leaks_of_repeated_passages(docs_of, spark):
+    """Shingles that one or both sides hold many times, and items longer than the document."""
+    rng = random.Random(3)
+    line = [f"l{i}" for i in range(7)]
+    items = [(1, " ".join(line * 6)), (2, " ".join(line * 3 + ["tail"] * 12)), (3, "ha " * 40)]
+    rows = []
+    for i in range(30):
+        text = line * rng.randint(1, 9) + ["tail"] * rng.randint(0, 14) + ["ha"] * rng.choice([0, 30, 36, 45])
+        at = rng.randint(0, len(text))
+        rows.append((i, " ".join([*text[:at], *["x"] * rng.randint(0, 2), *text[at:]])))
+    table = spark.createDataFrame(items, "item_id bigint, text string")
+    found = decontaminate.find_leaks(docs_of(rows), table, radius=40)
+    got = [(r.doc_id, r.item_id, round(r.similarity, 9), r.first_word, r.n_words) for r in found.collect()]
+    assert got and sorted(got) == sorted(brute_leaks(rows, items))
+
+
 @pytest.mark.parametrize("alike", [0.8, 0.85, 0.9])
 @pytest.mark.parametrize("scattered", [False, True])
 def test_recall_of_leaks(docs_of, spark, alike, scattered):
