@@ -118,10 +118,14 @@ def _sorted_block(block: pa.Table) -> pa.Table:
 
 
 def _meet(anchors: DataFrame, vectors: DataFrame) -> Column:
-    """Blocks of anchors and of vectors, every pair of blocks one group."""
+    """Blocks of anchors and of vectors, every pair of blocks one group.
+
+    Both sides number their blocks in one type: keys of unlike types hash apart, and a group's
+    two sides would come to different tasks.
+    """
     blocks = lambda df, size: max(1, -(-df.count() // size))
     na, nv = blocks(anchors, ANCHORS), blocks(vectors, VECTORS)
-    own = lambda n: F.pmod(F.xxhash64("row"), F.lit(n))
+    own = lambda n: F.pmod(F.xxhash64("row"), F.lit(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     left = anchors.withColumn("a", own(na)).withColumn("v", each(nv))
     right = vectors.withColumn("v", own(nv)).withColumn("a", each(na))

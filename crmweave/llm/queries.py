@@ -118,7 +118,7 @@ FROM ruled
 def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every seventh row's label is moved on by one first."""
     vectors = pick(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", "label")
-    moved = F.expr("if(vec_id % 7 = 0, (label + 1) % 10, label)")
+    moved = F.expr("if(vec_id % 7 = 0, (bigint(label) + 1) % 10, label)")
     return hard_negatives.mine(vectors.withColumn("label", moved), "vec_id % 50 = 0", 5, 3, 50, 95)
 
 

@@ -8,6 +8,7 @@ import pytest
 
 from crmweave.llm import hard_negatives
 from crmweave.llm.hard_negatives import mine
+from crmweave.llm.queries import op11_hard_negatives
 
 SCHEMA = "vec_id bigint, embedding array<float>, label int"
 
@@ -71,6 +72,21 @@ def test_small_blocks_change_nothing(spark, monkeypatch):
     assert found(spark.createDataFrame(rows, SCHEMA)) == want
 
 
+def test_blocks_meet_whatever_task_they_come_to(spark, monkeypatch):
+    rows = vectors(400, 8, 5)
+    want = brute(rows)
+    monkeypatch.setattr(hard_negatives, "VECTORS", 30)
+    monkeypatch.setattr(hard_negatives, "ANCHORS", 2)
+    # Groups this small would else be put back into one task.
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        assert want and found(spark.createDataFrame(rows, SCHEMA)) == want
+    finally:
+        spark.conf.set(name, before)
+
+
 def test_odd_rows_ties_and_repeats(spark):
     rng = random.Random(2)
     rows = [(i, [rng.choice([-0.5, 0.0, 0.25, 0.5]) for _ in range(4)], rng.randint(0, 2)) for i in range(160)]
@@ -123,3 +139,10 @@ def test_nothing_to_mine(spark):
     assert found(df) == []
     assert found(spark.createDataFrame([(1, [0.5], 0), (2, [0.5], 1)], SCHEMA)) == []
     assert found(spark.createDataFrame([(50, [0.5], 0)], SCHEMA)) == []
+
+
+def test_a_label_may_be_the_largest_integer(spark, tmp_path):
+    rows = [(i, v, 2**31 - 1 - k) for i, v, k in vectors(60, 4, 6)]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/embeddings.parquet")
+    moved = [(i, v, (k + 1) % 10 if i % 7 == 0 else k) for i, v, k in rows]
+    assert sorted(map(tuple, op11_hard_negatives(spark, str(tmp_path)).collect()), key=str) == brute(moved)
