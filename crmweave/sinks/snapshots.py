@@ -31,8 +31,9 @@ PARTS, KEYLESS = 64, -1
 # Parts are split so that they hold so many bytes on average at most.
 PART_BYTES = 1 << 30
 
-# A part is written by so many tasks.
+# A part is written by one task for so many of its bytes, and by so many tasks at most.
 WRITERS = 8
+FILE_BYTES = PART_BYTES // WRITERS
 
 # So many commits keep their tables; readers of an older one have to start again.
 KEPT_COMMITS = 3
@@ -140,8 +141,15 @@ class SnapshotStore:
         if not parts:
             wide = int(self.spark.conf.get("spark.sql.shuffle.partitions")) // WRITERS
             return max(count, min(wide, ceil(estimated_bytes(new) / self.part_bytes)))
-        size = sum(size_of(self.spark, f"{self.root}/{name}/{f}") for f in parts.values())
-        return max(count, ceil(size / self.part_bytes))
+        return max(count, ceil(self._size(name, parts) / self.part_bytes))
+
+    def _size(self, name: str, parts: Parts) -> int:
+        return sum(size_of(self.spark, f"{self.root}/{name}/{f}") for f in parts.values())
+
+    def _writers(self, name: str, parts: Parts, new: DataFrame, count: int) -> int:
+        """Tasks that write a part: files take time each, so small parts get one."""
+        size = max(self._size(name, parts), estimated_bytes(new))
+        return max(1, min(WRITERS, ceil(size / count / FILE_BYTES)))
 
     def upsert(self, name: str, new: DataFrame, pk: str = EXTERNAL_ID) -> Parts:
         """Write the parts that rows of ``new`` (one per key) belong in, merged with theirs.
@@ -160,7 +168,8 @@ class SnapshotStore:
         table = f"{_TABLE}{self.base + 1:08d}-{uuid.uuid4().hex}"
         self._written.append(f"{self.root}/{name}/{table}")
         key = id_as_text(named(pk))
-        spread = F.pmod(F.xxhash64(F.lit(1), key), F.lit(WRITERS))
+        writers = self._writers(name, parts, new, count)
+        spread = F.pmod(F.xxhash64(F.lit(1), key), F.lit(writers))
         rows = merged.withColumn(_PART, part_of(key, count)).repartition(_PART, spread)
         rows.write.partitionBy(_PART).parquet(f"{self.root}/{name}/{table}")
         made = glob_paths(self.spark, f"{self.root}/{name}/{table}/{_PART}=*")

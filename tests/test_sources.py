@@ -329,6 +329,32 @@ def test_a_state_that_outgrows_its_parts_splits_some(spark, tmp_path):
     assert fresh.read("a").count() == 2001 and fresh.states["a"]["parts"] == after["parts"]
 
 
+def test_parts_get_files_by_their_size(spark, tmp_path, frame, monkeypatch):
+    """Files of small parts would outgrow the state: one each, and several once they are large."""
+
+    def files(root, rows):
+        store = SnapshotStore(spark, str(tmp_path / root), part_bytes=400)
+        for batch in rows:
+            store.commit({"a": store.upsert("a", batch)})
+        assert sorted(int(r.externalId) for r in store.read("a").collect()) == list(range(2000))
+        return len(store.read("a").inputFiles()), len(store.states["a"]) - 1
+
+    schema = "externalId string, v string"
+    halves = [frame([(str(i), "x") for i in range(n, n + 1000)], schema) for n in (0, 1000)]
+    # Writers this small would else be put back into one task.
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        made, parts = files("small", halves)
+        assert parts > 64 and made == parts
+        monkeypatch.setattr(snapshots, "FILE_BYTES", 40)
+        made, parts = files("large", halves)
+        assert made > 2 * parts
+    finally:
+        spark.conf.set(name, before)
+
+
 def test_only_the_parts_of_a_batch_are_read(spark, tmp_path):
     store = SnapshotStore(spark, str(tmp_path))
     assert store.read("a", keyed(spark, [1])) is None
