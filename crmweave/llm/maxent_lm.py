@@ -221,6 +221,24 @@ class Events:
         return (slice(at, at + SCORED) for at in range(0, len(self.context), SCORED))
 
 
+def distinct(keys: np.ndarray, below: int) -> tuple[np.ndarray, np.ndarray]:
+    """``np.unique`` of whole numbers with the inverse, in a fraction of its time.
+
+    Keys below a small number are marked in a table; others are sorted with their places in tow.
+    """
+    if below <= 2 * EVENTS:
+        seen = np.zeros(below, bool)
+        seen[keys] = True
+        return np.flatnonzero(seen).astype(keys.dtype), (np.cumsum(seen, dtype=np.int32) - 1)[keys]
+    low = np.uint64(32)
+    both = np.sort(keys.astype(np.uint64) << low | np.arange(len(keys), dtype=np.uint64))
+    ordered = (both >> low).astype(keys.dtype)
+    first = np.r_[True, ordered[1:] != ordered[:-1]]
+    which = np.empty(len(keys), np.int64)
+    which[both.astype(np.uint32)] = np.cumsum(first) - 1
+    return ordered[first], which
+
+
 def events_of(symbols: np.ndarray, starts: np.ndarray) -> Iterator[tuple[slice, Events]]:
     """Events of the words of some texts, some at a time, classes and slots apart."""
     before = np.r_[np.uint16(START), symbols[:-1]]
@@ -232,10 +250,13 @@ def events_of(symbols: np.ndarray, starts: np.ndarray) -> Iterator[tuple[slice,
         part = slice(at, at + EVENTS)
         kind, slot = np.divmod(symbols[part], np.uint16(SLOTS))
         history = before[part] * wide + second[part]
-        for context, target in ((np.full(len(kind), ROOT, np.uint16), kind), (kind, slot)):
-            alike, which = np.unique(context * wide * wide + history, return_inverse=True)
+        for contexts, target in ((1, kind), (CLASSES, slot)):
+            own = kind if contexts > 1 else np.uint16(0)
+            alike, which = distinct(own * wide * wide + history, contexts * int(wide) ** 2)
             alike, second_of = np.divmod(alike, wide)
             context_of, before_of = np.divmod(alike, wide)
+            if contexts == 1:
+                context_of = np.full(len(alike), ROOT, np.uint32)
             rows = feature_rows(context_of, before_of, second_of)
             yield part, Events(context_of, rows, which, target)
 
@@ -244,7 +265,8 @@ def scores_of(events: Events, part: slice, bias: np.ndarray, weights: np.ndarray
     """Per distinct event the probability of each slot. Weights are limited, so none overflows."""
     scores = bias[events.context[part]]
     for rows in events.rows:
-        scores += weights[rows[part]]
+        # Rows are 16-bit numbers, all in the table, so that nothing is clipped.
+        scores += weights.take(rows[part], axis=0, mode="clip")
     np.exp(scores, out=scores)
     scores /= scores.sum(axis=1, keepdims=True)
     return scores
@@ -292,6 +314,8 @@ def gradient(bias: np.ndarray, weights: np.ndarray) -> Callable:
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         total = np.zeros((ROWS, SLOTS), np.float32)
+        # Two floats to a complex number take half the places.
+        pairs, lanes = total.reshape(-1).view(np.complex64), np.arange(SLOTS // 2)
         for _, events in _learned(batches):
             number = np.bincount(events.which, minlength=len(events.context)).astype(np.float32)
             for rows in events.rows:
@@ -301,8 +325,8 @@ def gradient(bias: np.ndarray, weights: np.ndarray) -> Callable:
                 expected = scores_of(events, part, bias, weights)
                 expected *= number[part, None]
                 for rows in events.rows:
-                    places = rows[part].astype(np.int64)[:, None] * SLOTS + np.arange(SLOTS)
-                    np.subtract.at(total.reshape(-1), places.ravel(), expected.ravel())
+                    places = rows[part].astype(np.int64)[:, None] * (SLOTS // 2) + lanes
+                    np.subtract.at(pairs, places.ravel(), expected.view(np.complex64).ravel())
         yield total
 
     return summed
@@ -365,8 +389,8 @@ def _scored(ready: DataFrame, bias: np.ndarray, weights: np.ndarray) -> DataFram
             starts = np.r_[0, np.cumsum(lengths)[:-1]]
             logs = np.zeros(len(symbols))
             for words, events in events_of(symbols, starts):
-                by_slot = [np.log(scores_of(events, part, bias, weights)) for part in events.slices()]
-                logs[words] += np.concatenate(by_slot)[events.which, events.target]
+                by_slot = [scores_of(events, part, bias, weights) for part in events.slices()]
+                logs[words] += np.log(np.concatenate(by_slot)[events.which, events.target])
             model = np.add.reduceat(logs, starts) / log(10) + batch.column("tail")[i].values.to_numpy()
             take = lambda name: batch.column(name)[i].values
             columns = [take("doc_ids"), take("held"), pa.array(lengths, pa.int64()), take("known")]

@@ -7,6 +7,7 @@ from collections import Counter
 from math import isclose, log10
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from crmweave.llm import maxent_lm as lm
@@ -152,3 +153,36 @@ def test_gradient_is_observed_less_expected():
     [both] = lm.first_gradient(bias)(iter([batch]))
     [plain] = lm.gradient(bias, zero)(iter([batch]))
     assert np.allclose(both[:, : lm.SLOTS] - both[:, lm.SLOTS :], plain, atol=1e-3)
+
+
+@pytest.mark.parametrize("below", [1, 50, 40_000_000])
+def test_distinct_keys(below):
+    rng = np.random.default_rng(3)
+    keys = rng.integers(0, below, 3000).astype(np.uint32)
+    keys[:1000] = keys[1000:2000]
+    want, want_which = np.unique(keys, return_inverse=True)
+    found, which = lm.distinct(keys, below)
+    assert found.dtype == keys.dtype and found.tolist() == want.tolist() and which.tolist() == want_which.tolist()
+
+
+def test_events_are_not_found_by_an_indirect_sort(monkeypatch):
+    """Nor is a gradient that takes its table two values at a time another than the plain one."""
+    rng = np.random.default_rng(4)
+    symbols, lengths = rng.integers(0, 1024, 900).astype(np.uint16) // 3, [500, 1, 399]
+    weights = rng.normal(size=(lm.ROWS, 32)).astype(np.float32)
+    bias = np.log(rng.dirichlet(np.ones(32), 33)).astype(np.float32)
+    monkeypatch.setattr(np, "unique", None)
+    columns = {"held": [[False, True, False]], "lengths": [lengths], "symbols": [symbols.tobytes()]}
+    [found] = lm.gradient(bias, weights)(iter(pa.table(columns).to_batches()))
+    want = np.zeros((lm.ROWS, 32))
+    for text in (symbols[:500], symbols[501:]):
+        before = second = lm.START
+        for symbol in map(int, text):
+            for context, target in ((lm.ROOT, symbol // 32), (symbol // 32, symbol % 32)):
+                rows = lm.feature_rows(*(np.array([x], np.uint32) for x in (context, before, second)))
+                scores = np.exp(bias[context] + sum(weights[r[0]].astype(float) for r in rows))
+                for r in rows:
+                    want[r[0], target] += 1
+                    want[r[0]] -= scores / scores.sum()
+            before, second = symbol, before
+    assert np.abs(found - want).max() < 1e-3
